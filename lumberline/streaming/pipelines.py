@@ -1,0 +1,52 @@
+"""Parsing and windowed counts on a stream."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from lumberline.functions.parsing import instant, wall_clock
+from lumberline.operators.parse import parse_logs
+
+
+def stream_parse_to_json(
+    lines: DataFrame, out: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Starts parsing a stream of lines to JSON files.
+
+    Stateless, with the batch job's own expressions. The file sink and the checkpoint give each
+    line exactly one output row, also after a restart. ``trigger`` holds the arguments of
+    ``DataStreamWriter.trigger``, such as ``{"availableNow": True}``.
+    """
+    writer = (
+        parse_logs(lines)
+        .writeStream.format("json")
+        .option("path", out)
+        .option("checkpointLocation", checkpoint)
+        .option("compression", "none")
+        .option("ignoreNullFields", "true")
+        .outputMode("append")
+    )
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()
+
+
+def stream_level_counts(
+    lines: DataFrame, bucket: str = "1 hour", delay: str = "1 hour"
+) -> DataFrame:
+    """``bucket, level, count`` of a stream of lines, for use with append mode.
+
+    A bucket is emitted once, when the newest time seen is ``delay`` beyond its end; rows that come
+    later than that are dropped, as are rows without a real time. The state holds one counter per
+    open bucket and level.
+    """
+    logs = parse_logs(lines)
+    timed = logs.select(instant(F.col("timestamp")).alias("event_ts"), "level")
+    counts = (
+        timed.filter(F.col("event_ts").isNotNull())
+        .withWatermark("event_ts", delay)
+        .groupBy(F.window("event_ts", bucket), "level")
+        .count()
+    )
+    return counts.select(wall_clock(F.col("window.start")).alias("bucket"), "level", "count")
