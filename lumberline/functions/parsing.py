@@ -26,23 +26,31 @@ def is_log_line(value: Column) -> Column:
     return value.rlike(VALID_LINE)
 
 
-def log_fields(value: Column) -> dict[str, Column]:
-    """The four fields of a line. Meaningful only where :func:`is_log_line` holds."""
+def id_suffix(value: Column) -> Column:
+    """The id at the end of the line, or the empty text; an id itself is never empty."""
+    return F.regexp_extract(value, ID_SUFFIX, 1)
+
+
+def log_fields(value: Column, suffix: Column) -> dict[str, Column]:
+    """The four fields of a line, given its :func:`id_suffix`.
+
+    Meaningful only where :func:`is_log_line` holds.
+    """
     colon = F.locate(":", value, _LEVEL_START)
-    log_id = F.nullif(F.regexp_extract(value, ID_SUFFIX, 1), F.lit(""))
 
     # Broken bytes would make character counts wrong, so replace them before slicing the message.
     text = F.make_valid_utf8(value)
-    line_feed = F.when(text.endswith("\n"), 1).otherwise(0)
-    suffix = F.coalesce(F.length(log_id) + _ID_BRACKETS, F.lit(0))
     message_start = colon + 2
-    message_length = F.length(text) - (message_start - 1) - suffix - line_feed
+    after_message = F.when(suffix != "", F.length(suffix) + _ID_BRACKETS).otherwise(0) + F.when(
+        text.endswith("\n"), 1
+    ).otherwise(0)
+    message_length = F.length(text) - (message_start - 1) - after_message
 
     return {
         "timestamp": F.substring(value, 1, TIMESTAMP_LENGTH),
         "level": F.substring(value, F.lit(_LEVEL_START), colon - _LEVEL_START),
         "message": F.substring(text, message_start, message_length),
-        "id": log_id,
+        "id": F.when(suffix != "", suffix),
     }
 
 

@@ -54,8 +54,5 @@ def level_timeseries(logs: DataFrame, bucket: str = "1 hour") -> DataFrame:
     """Rows per level and time bucket of the given width. Empty buckets are absent."""
     event_ts = F.col("event_ts") if "event_ts" in logs.columns else event_time(F.col("timestamp"))
     timed = logs.select(event_ts.alias("event_ts"), "level").filter(F.col("event_ts").isNotNull())
-    return (
-        timed.groupBy(F.window("event_ts", bucket), "level")
-        .count()
-        .select(F.col("window.start").alias("bucket"), "level", "count")
-    )
+    start = F.window("event_ts", bucket)["start"]
+    return timed.groupBy(start.alias("bucket"), "level").count()

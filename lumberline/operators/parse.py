@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lumberline.functions.parsing import event_time, is_log_line, log_fields
+from lumberline.functions.parsing import event_time, id_suffix, is_log_line, log_fields
 
 
 def parse_log_lines(lines: DataFrame) -> DataFrame:
@@ -13,9 +13,12 @@ def parse_log_lines(lines: DataFrame) -> DataFrame:
     A line outside the grammar gives a row of NULLs; :func:`drop_unparsed` removes those.
     """
     value = F.col("value")
-    matched = is_log_line(value)
-    return lines.select(
-        *[F.when(matched, field).alias(name) for name, field in log_fields(value).items()]
+    checked = lines.select(
+        value, is_log_line(value).alias("matched"), id_suffix(value).alias("suffix")
+    )
+    fields = log_fields(value, F.col("suffix"))
+    return checked.select(
+        *[F.when(F.col("matched"), field).alias(name) for name, field in fields.items()]
     )
 
 
@@ -27,10 +30,9 @@ def drop_unparsed(logs: DataFrame) -> DataFrame:
 def parse_logs(lines: DataFrame) -> DataFrame:
     """``drop_unparsed(parse_log_lines(lines))`` with the line checked once instead of twice."""
     value = F.col("value")
-    fields = log_fields(value)
-    return lines.filter(is_log_line(value)).select(
-        *[field.alias(name) for name, field in fields.items()]
-    )
+    valid = lines.filter(is_log_line(value)).select(value, id_suffix(value).alias("suffix"))
+    fields = log_fields(value, F.col("suffix"))
+    return valid.select(*[field.alias(name) for name, field in fields.items()])
 
 
 def to_json_rows(logs: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -17,13 +18,17 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="lumberline-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_dir(spark.sparkContext.applicationId)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below :func:`shared_dir` that nothing has used yet."""
     return f"{shared_dir(spark).rstrip('/')}/lumberline/{label}-{uuid.uuid4().hex}"
+
+
+@cache
+def _local_dir(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix="lumberline-")

@@ -11,11 +11,13 @@ from lumberline.operators.parse import ensure_event_time
 from lumberline.schema import CLEAN_SCHEMA, LOG_SCHEMA
 
 # CSV has one spelling for a missing value and one for an empty text. These options keep the two
-# apart, keep blanks at either end, and let a quoted text hold quotes and backslashes.
+# apart, keep blanks at either end, and let a quoted text hold quotes, backslashes and NUL
+# characters (the default escape of an escape is NUL, which reading would swallow).
 CSV_OPTIONS = {
     "header": "true",
     "nullValue": r"\N",
     "escape": '"',
+    "charToEscapeQuoteEscaping": '"',
     "lineSep": "\n",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
