@@ -64,8 +64,14 @@ def preview_table(spark: SparkSession, table: str | None, n: int = PREVIEW_ROWS)
 
 def stringify_result(result: DataFrame) -> DataFrame:
     """Every cell as text, NULL as the empty text, column names kept."""
-    cells = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in result.columns]
-    return result.select(*cells)
+    # By position, because a query may give two columns the same name.
+    numbered = result.toDF(*[str(i) for i in range(len(result.columns))])
+    return numbered.select(
+        *[
+            F.coalesce(F.col(str(i)).cast("string"), F.lit("")).alias(name)
+            for i, name in enumerate(result.columns)
+        ]
+    )
 
 
 def _as_query(spark: SparkSession, text: str) -> DataFrame:

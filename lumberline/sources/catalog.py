@@ -63,17 +63,13 @@ def cache_result(spark: SparkSession, name: str, result: DataFrame) -> DataFrame
     from the result's own plan.
     """
     drop_cached_result(spark, name)
-    result = result.persist()
     result.createOrReplaceTempView(name)
+    spark.catalog.cacheTable(name)
     return spark.table(name)
 
 
 def drop_cached_result(spark: SparkSession, name: str) -> bool:
     """Forgets a cached result; False if there is none of that name."""
-    views = {t.name for t in spark.catalog.listTables() if t.isTemporary}
-    if name.lower() not in views:
-        return False
-    spark.table(name).unpersist()
     return spark.catalog.dropTempView(name)
 
 

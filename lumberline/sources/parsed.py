@@ -3,16 +3,26 @@
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StructType, VariantType
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    CalendarIntervalType,
+    MapType,
+    NullType,
+    StructType,
+    VariantType,
+)
 
 from lumberline.operators.parse import ensure_event_time
 from lumberline.schema import CLEAN_SCHEMA, LOG_SCHEMA
 
 # CSV has one spelling for a missing value and one for an empty text. These options keep the two
 # apart, keep blanks at either end, and let a quoted text hold quotes, backslashes and NUL
-# characters (the default escape of an escape is NUL, which reading would swallow).
+# characters (the default escape of an escape is NUL, which reading would swallow). The time formats
+# keep microseconds.
 CSV_OPTIONS = {
     "header": "true",
     "nullValue": r"\N",
@@ -21,8 +31,21 @@ CSV_OPTIONS = {
     "lineSep": "\n",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 
+# CSV has no form of its own for these.
+_STORED_AS_TEXT = (
+    ArrayType,
+    BinaryType,
+    CalendarIntervalType,
+    MapType,
+    NullType,
+    StructType,
+    VariantType,
+)
+
 
 def write_json_logs(logs: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One JSON object per line, keys in column order, NULLs left out, uncompressed."""
@@ -87,15 +110,23 @@ def read_clean_logs(
 def store_result(result: DataFrame, location: str, name: str | None = None) -> str:
     """Keeps a query's result as CSV in its own folder below ``location``; returns the folder.
 
-    Nested and binary columns are stored as their text.
+    Nested and binary columns are stored as their text. A column name that occurs again gets its
+    number among its namesakes.
     """
     path = f"{location.rstrip('/')}/{name or uuid.uuid4().hex}"
-    columns = [
-        F.col(f"`{f.name}`").cast("string").alias(f.name) if _needs_text(f.dataType) else
-        F.col(f"`{f.name}`")
-        for f in result.schema.fields
-    ]
-    result.select(*columns).write.mode("errorifexists").options(**CSV_OPTIONS).csv(path)
+    numbered = result.toDF(*[str(i) for i in range(len(result.columns))])
+    seen = Counter()
+    columns = []
+    for i, field in enumerate(result.schema.fields):
+        cell = F.col(str(i))
+        seen[field.name.lower()] += 1
+        repeat = seen[field.name.lower()]
+        columns.append(
+            (cell.cast("string") if isinstance(field.dataType, _STORED_AS_TEXT) else cell).alias(
+                field.name if repeat == 1 else f"{field.name}_{repeat}"
+            )
+        )
+    numbered.select(*columns).write.mode("errorifexists").options(**CSV_OPTIONS).csv(path)
     return path
 
 
@@ -103,10 +134,6 @@ def read_result(spark: SparkSession, path: str, schema: StructType | str) -> Dat
     return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
 
 
-def _needs_text(kind: DataType) -> bool:
-    return isinstance(kind, (ArrayType, MapType, StructType, BinaryType, VariantType))
-
-
 def _check_format(format: str) -> None:
     if format not in ("parquet", "csv"):
         raise ValueError(f"clean logs are stored as parquet or csv, not {format!r}")

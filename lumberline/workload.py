@@ -15,21 +15,49 @@ RANGE_START, RANGE_END = "2024-01-05", "2024-01-08"
 RANGE_START_TIME, RANGE_END_TIME = "2024-01-06 09:30:00", "2024-01-20 17:45:00"
 STREAM_BUCKET, STREAM_DELAY = "1 day", "1 hour"
 
-_tables: dict[tuple[str, str], str] = {}
+_made: dict[tuple[str, str, str], str] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, what: str, make: Callable[[], str]) -> str:
+    """The folder or table that ``make`` returned, made once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, what)
+    if key not in _made:
+        _made[key] = make()
+    return _made[key]
+
+
+def _raw_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Every event as a line of a text file."""
+
+    def make() -> str:
+        path = scratch_path(spark, "raw")
+        event_lines(spark, sf_dir).write.text(path)
+        return path
+
+    return _once(spark, sf_dir, "raw", make)
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ll.read_raw_logs(spark, _raw_folder(spark, sf_dir))
 
 
 def _logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ll.parse_logs(event_lines(spark, sf_dir))
+    return ll.parse_logs(_lines(spark, sf_dir))
 
 
-def _columns(logs: DataFrame) -> DataFrame:
-    return logs.select(*ll.LOG_SCHEMA.names)
+def _document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of every document, in a text file too; only a line feed ends a line."""
 
+    def make() -> str:
+        path = scratch_path(spark, "documents")
+        document_lines(spark, sf_dir).write.text(path)
+        return path
 
-def _raw_folder(spark: SparkSession, sf_dir: str) -> str:
-    path = scratch_path(spark, "raw")
-    event_lines(spark, sf_dir).write.text(path)
-    return path
+    return ll.read_raw_logs(spark, _once(spark, sf_dir, "documents", make), line_sep="\n")
+
+
+def _columns(logs: DataFrame) -> DataFrame:
+    return logs.select(*ll.LOG_SCHEMA.names)
 
 
 def _json_folder(spark: SparkSession, sf_dir: str) -> str:
@@ -45,20 +73,21 @@ def _clean_folder(spark: SparkSession, sf_dir: str, format: str) -> str:
 
 
 def _logs_table(spark: SparkSession, sf_dir: str) -> str:
-    """``database.parsed_logs`` over the events' JSON lines, written once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _tables:
+    """``database.parsed_logs`` over the events' JSON lines."""
+
+    def make() -> str:
         table = f"logs_{uuid.uuid4().hex}.parsed_logs"
         ll.register_logs(spark, table, _json_folder(spark, sf_dir))
-        _tables[key] = table
-    return _tables[key]
+        return table
+
+    return _once(spark, sf_dir, "table", make)
 
 
 # Sources and sinks
 
 
 def read_raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ll.read_raw_logs(spark, _raw_folder(spark, sf_dir))
+    return _lines(spark, sf_dir)
 
 
 def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,15 +148,15 @@ def cached_result(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ll.drop_unparsed(ll.parse_log_lines(event_lines(spark, sf_dir)))
+    return ll.drop_unparsed(ll.parse_log_lines(_lines(spark, sf_dir)))
 
 
 def parse_keeps_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ll.parse_log_lines(document_lines(spark, sf_dir))
+    return ll.parse_log_lines(_document_lines(spark, sf_dir))
 
 
 def parse_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ll.parse_logs(document_lines(spark, sf_dir))
+    return ll.parse_logs(_document_lines(spark, sf_dir))
 
 
 def to_json_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

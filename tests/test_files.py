@@ -184,16 +184,26 @@ def test_time_range_prunes_days(spark, folder, capsys):
 def test_store_result(spark, folder):
     result = spark.sql(
         "SELECT 1 AS n, CAST(NULL AS string) AS missing, '' AS empty, array(1, 2) AS list,"
-        " TIMESTAMP_NTZ '2024-01-01 00:00:01' AS at, DATE '2024-01-01' AS day, 'x' AS `a.b`"
+        " TIMESTAMP_NTZ '2024-01-01 00:00:01.000002' AS at, DATE '2024-01-01' AS day, 'x' AS `a.b`,"
+        " NULL AS nothing, TIMESTAMP '2024-01-01 00:00:01.5' AS moment"
     )
     first, second = (ll.store_result(result, folder("results")) for _ in range(2))
     assert first != second
-    schema = "n int, missing string, empty string, list string, at timestamp_ntz, day date, `a.b` string"
+    schema = (
+        "n int, missing string, empty string, list string, at timestamp_ntz, day date, `a.b` string,"
+        " nothing string, moment timestamp"
+    )
     expected = rows(result.withColumn("list", result["list"].cast("string")))
     assert rows(ll.read_result(spark, first, schema)) == expected
     assert ll.store_result(result, folder("results"), "named").endswith("/named")
 
 
+def test_store_result_with_repeated_names(spark, folder):
+    path = ll.store_result(spark.sql("SELECT 1 AS id, 2 AS ID, 3 AS id, 4 AS n"), folder("results"))
+    (file,) = data_files(path, ".csv")
+    assert file.read_text() == "id,ID_2,id_3,n\n1,2,3,4\n"
+
+
 def test_raw_to_clean(spark, tmp_path, folder):
     (tmp_path / "raw" / "nested").mkdir(parents=True)
     (tmp_path / "raw" / "nested" / "a.log").write_text(f"{TS}, INFO: x\n{TS}, ERROR: y, (E1)\njunk\n")

@@ -231,12 +231,35 @@ def test_stringify(spark):
     assert {t for _, t in text.dtypes} == {"string"}
 
 
+def test_stringify_with_repeated_names(spark):
+    text = ll.stringify_result(spark.sql("SELECT 1 AS id, CAST(NULL AS int) AS id"))
+    assert text.columns == ["id", "id"] and rows(text) == [("1", "")]
+
+
+def test_check_copes_with_every_kind_of_plan(spark, table):
+    spark.udf.register("shout", lambda s: s.upper())
+    for text in (
+        f"SELECT shout(level) FROM {table}",
+        f"SELECT level, row_number() OVER (PARTITION BY level ORDER BY message) FROM {table}",
+        f"SELECT * FROM (SELECT level, id FROM {table}) PIVOT (count(*) FOR level IN ('ERROR', 'INFO'))",
+        f"SELECT * FROM {table} TABLESAMPLE (100 PERCENT)",
+        f"SELECT a.level, w FROM {table} a LATERAL VIEW explode(split(message, ' ')) AS w",
+        f"SELECT a.level, b.n FROM {table} a, LATERAL (SELECT length(a.message) AS n) b",
+        f"SELECT a.id, b.id FROM {table} a FULL OUTER JOIN {table} b ON a.id = b.id",
+        "SELECT X'00ff', 1.5BD, INTERVAL '1' DAY, TIMESTAMP '2024-01-01 00:00:00', CAST(NULL AS void)",
+        "SELECT parse_json('{\"a\": 1}'), named_struct('a', map(1, array(2)))",
+        "SELECT max_by(id, id) FILTER (WHERE id > 1) FROM range(5) GROUP BY id % 2 HAVING count(*) > 1",
+    ):
+        assert ll.run_query(spark, text).count() > 0
+
+
 def test_cached_result(spark, table):
     name = f"Cached_{uuid.uuid4().hex}"
     counts = ll.count_by_id(spark.table(table), "ERROR")
     cached = ll.cache_result(spark, name, counts)
     assert rows(cached) == rows(counts)
-    assert "InMemoryTableScan" in cached._jdf.queryExecution().executedPlan().toString()
+    assert spark.catalog.isCached(name)
+    assert "In-memory table" in cached._jdf.queryExecution().executedPlan().toString()
     assert rows(ll.run_query(spark, f"SELECT * FROM {name}")) == rows(counts)
 
     warnings = ll.count_by_id(spark.table(table), "WARNING")

@@ -4,6 +4,7 @@ from datetime import datetime
 from pathlib import Path
 
 import pytest
+from pyspark.errors import AnalysisException
 
 import lumberline as ll
 
@@ -87,6 +88,15 @@ def test_nested_folders(spark, folder):
         assert ll.read_parsed_logs(spark, out).count() == messages
 
 
+def test_kafka_needs_its_connector(spark):
+    try:
+        lines = ll.stream_raw_logs(spark, kafka={"kafka.bootstrap.servers": "h:1", "subscribe": "logs"})
+    except AnalysisException as error:
+        assert "kafka" in str(error)
+    else:
+        assert lines.isStreaming and lines.columns == ["value"]
+
+
 def test_one_source_is_needed(spark):
     with pytest.raises(ValueError):
         ll.stream_raw_logs(spark)
