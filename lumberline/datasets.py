@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from lumberline.functions.parsing import log_line
 from lumberline.schema import ERROR_ID_FIRST, IDS_PER_LEVEL, WARNING_ID_FIRST
 from lumberline.sources.raw import render_log_lines
 
@@ -45,3 +46,20 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(", (doc_"), "doc_id", F.lit(")"),
     )
     return texts.select(F.explode(F.array(F.col("text"), as_log)).alias("value"))
+
+
+def odd_time_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as an ERROR line whose time often is none, such as month 14 or day 33."""
+    events = read_table(spark, sf_dir, "events")
+    number, user = F.col("event_id"), F.col("user_id")
+
+    def two_digits(value: Column) -> Column:
+        return F.lpad(value.cast("string"), 2, "0")
+
+    time = F.concat(
+        F.lit("2024-"), two_digits(1 + number % 14), F.lit("-"), two_digits(1 + user % 33),
+        F.lit(" "), two_digits(user % 24), F.lit(":"), two_digits(number % 63), F.lit(":"),
+        two_digits(user % 60),
+    )
+    line = log_line(time, F.lit("ERROR"), F.col("event_type"), F.concat(F.lit("U"), user))
+    return events.select(line.alias("value"))

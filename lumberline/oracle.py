@@ -65,6 +65,18 @@ lines AS (
 logs AS ({_fields("lines")})
 """
 
+ODD_TIMES = f"""
+WITH raw AS (
+  SELECT concat('2024-', lpad(CAST(1 + event_id % 14 AS VARCHAR), 2, '0'), '-',
+    lpad(CAST(1 + user_id % 33 AS VARCHAR), 2, '0'), ' ',
+    lpad(CAST(user_id % 24 AS VARCHAR), 2, '0'), ':', lpad(CAST(event_id % 63 AS VARCHAR), 2, '0'), ':',
+    lpad(CAST(user_id % 60 AS VARCHAR), 2, '0'), ', ERROR: ', event_type,
+    ', (U', CAST(user_id AS VARCHAR), ')') AS value
+  FROM events),
+logs AS ({_fields("raw")}),
+typed AS (SELECT *, TRY_CAST("timestamp" AS TIMESTAMP) AS event_ts FROM logs)
+"""
+
 
 def _list(messages: tuple[str, ...]) -> str:
     return "[" + ", ".join(f"'{m}'" for m in messages) + "]"
@@ -136,6 +148,8 @@ ORACLE: dict[str, str] = {
     "filter_level_range": _ERRORS_IN_RANGE,
     "with_event_time": f"""{EVENTS} SELECT "timestamp", event_ts, CAST(event_ts AS DATE) AS day
         FROM typed""",
+    "with_event_time_impossible": f"""{ODD_TIMES} SELECT "timestamp", id, event_ts,
+        CAST(event_ts AS DATE) AS day FROM typed""",
     "count_by_id_error": _ERROR_COUNTS,
     "count_by_id_warning": EVENTS + _COUNT_BY_ID.format("WARNING"),
     "count_by_id_info": EVENTS + _COUNT_BY_ID.format("INFO"),
@@ -146,6 +160,8 @@ ORACLE: dict[str, str] = {
         FROM logs WHERE level = 'ERROR' GROUP BY id""",
     "count_per_day": f"""{EVENTS} SELECT CAST(event_ts AS DATE) AS day, COUNT(*) AS count
         FROM typed WHERE level = 'ERROR' GROUP BY CAST(event_ts AS DATE)""",
+    "count_per_day_impossible": f"""{ODD_TIMES} SELECT CAST(event_ts AS DATE) AS day, COUNT(*) AS count
+        FROM typed WHERE event_ts IS NOT NULL GROUP BY CAST(event_ts AS DATE)""",
     "level_timeseries": _timeseries("date_trunc('HOUR', event_ts)"),
     "level_timeseries_quarter_hour": _timeseries("time_bucket(INTERVAL 15 MINUTES, event_ts)"),
     "trend_by_day_and_level": f"""{EVENTS} SELECT CAST(event_ts AS DATE) AS day, level,

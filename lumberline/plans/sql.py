@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lumberline.schema import PREVIEW_ROWS
 
-_DOUBLE_QUOTED = "spark.sql.ansi.doubleQuotedIdentifiers"
+# Double quotes around names are part of Spark's ANSI dialect.
+_DOUBLE_QUOTED_NAMES = ("spark.sql.ansi.enabled", "spark.sql.ansi.doubleQuotedIdentifiers")
 
 # Statements that only report on the catalog; every statement that begins so is read-only.
 _CATALOG_REPORT = re.compile(r"(show|describe|desc)\s", re.IGNORECASE)
@@ -37,20 +39,16 @@ def run_query(
     The text is placed where SQL's grammar allows nothing but a query: inside a common table
     expression of a ``SELECT``. What is checked is thus what runs, and a statement that writes
     fails to parse wherever it hides. Trailing semicolons are accepted. ``SHOW`` and ``DESCRIBE``
-    run as they are. ``double_quoted_identifiers`` reads ``"db"."table"`` as names, as ANSI SQL
-    does, instead of texts.
+    run as they are. ``double_quoted_identifiers`` reads the text in the ANSI dialect, where
+    ``"db"."table"`` are names and not texts.
     """
     text = (sql or "").strip().rstrip("; \t\r\n")
     if not text:
         return None
-    previous = spark.conf.get(_DOUBLE_QUOTED)
-    spark.conf.set(_DOUBLE_QUOTED, str(double_quoted_identifiers).lower())
-    try:
+    with _switched_on(spark, _DOUBLE_QUOTED_NAMES if double_quoted_identifiers else ()):
         if _CATALOG_REPORT.match(text):
             return spark.sql(text)
         result = _as_query(spark, text)
-    finally:
-        spark.conf.set(_DOUBLE_QUOTED, previous)
     for name in _class_names(result):
         if name in _OUTSIDE_SQL:
             raise QueryRefused(f"{_OUTSIDE_SQL[name]} is not allowed in a query: {text}")
@@ -74,6 +72,18 @@ def stringify_result(result: DataFrame) -> DataFrame:
     )
 
 
+@contextmanager
+def _switched_on(spark: SparkSession, settings: Iterable[str]) -> Iterator[None]:
+    previous = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name in previous:
+            spark.conf.set(name, "true")
+        yield
+    finally:
+        for name, value in previous.items():
+            spark.conf.set(name, value)
+
+
 def _as_query(spark: SparkSession, text: str) -> DataFrame:
     try:
         return spark.sql(

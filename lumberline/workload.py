@@ -8,7 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import lumberline as ll
-from lumberline.datasets import document_lines, event_lines, event_rows, read_table
+from lumberline.datasets import (
+    document_lines,
+    event_lines,
+    event_rows,
+    odd_time_lines,
+    read_table,
+)
 from lumberline.scratch import scratch_path
 
 RANGE_START, RANGE_END = "2024-01-05", "2024-01-08"
@@ -189,6 +195,11 @@ def with_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ll.with_event_time(_logs(spark, sf_dir)).select("timestamp", "event_ts", "day")
 
 
+def with_event_time_impossible(spark: SparkSession, sf_dir: str) -> DataFrame:
+    logs = ll.parse_logs(odd_time_lines(spark, sf_dir))
+    return ll.with_event_time(logs).select("timestamp", "id", "event_ts", "day")
+
+
 # Aggregations
 
 
@@ -221,6 +232,10 @@ def count_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ll.count_per_day(_logs(spark, sf_dir))
 
 
+def count_per_day_impossible(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ll.count_per_day(ll.parse_logs(odd_time_lines(spark, sf_dir)))
+
+
 def level_timeseries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ll.level_timeseries(_logs(spark, sf_dir))
 
@@ -382,6 +397,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         filter_time_range,
         filter_level_range,
         with_event_time,
+        with_event_time_impossible,
         count_by_id_error,
         count_by_id_warning,
         count_by_id_info,
@@ -389,6 +405,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         dashboard_counts,
         share_by_id,
         count_per_day,
+        count_per_day_impossible,
         level_timeseries,
         level_timeseries_quarter_hour,
         trend_by_day_and_level,
