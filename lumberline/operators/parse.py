@@ -48,7 +48,9 @@ def with_event_time(logs: DataFrame) -> DataFrame:
 
 
 def ensure_event_time(logs: DataFrame) -> DataFrame:
-    """:func:`with_event_time`, unless stored logs already carry the columns."""
-    if {"event_ts", "day"} <= set(logs.columns):
-        return logs
-    return with_event_time(logs)
+    """:func:`with_event_time` for logs that lack the columns or one of them."""
+    if "event_ts" not in logs.columns:
+        return with_event_time(logs)
+    if "day" not in logs.columns:
+        return logs.withColumn("day", F.col("event_ts").cast("date"))
+    return logs

@@ -13,9 +13,8 @@ from lumberline.schema import (
     DEFAULT_LINES_PER_FILE,
     DEFAULT_WARNING_PCT,
     ERROR_ID_FIRST,
-    TIMESTAMP_PATTERN,
+    LINE_PATTERN,
     WARNING_ID_FIRST,
-    WORD,
 )
 from lumberline.sources.synth import DEFAULT_SEED, DEFAULT_START
 from lumberline.workload import (
@@ -27,9 +26,6 @@ from lumberline.workload import (
     STREAM_DELAY,
 )
 
-# Fixed value: the line grammar as one pattern.
-LINE_PATTERN = rf"^({TIMESTAMP_PATTERN}), ({WORD}+): (.*?)(?:, \(({WORD}+)\))?$"
-
 
 def _fields(lines: str) -> str:
     return f"""

@@ -69,8 +69,9 @@ def write_clean_logs(
 
     With ``rebalance`` rows are first brought together by that value, so a day gets a few large
     files and not one per input task. The adaptive planner cuts an oversized day over several
-    tasks and merges small ones, so a day with a third of all rows is no bottleneck. Switch it off
-    where the input is already ordered by time; then nothing is shuffled.
+    tasks and merges small ones, so a day with a third of all rows is no bottleneck; without that
+    planner the hint would send each day to one task, so it is left out. Switch it off where the
+    input is already ordered by time; then nothing is shuffled.
 
     Rows are sorted by level inside each file, which lets Parquet scans skip row groups. Rows
     without a real time are kept, in the folder Spark uses for NULL.
@@ -78,7 +79,8 @@ def write_clean_logs(
     _check_format(format)
     if partition_by in ("day", "event_ts"):
         logs = ensure_event_time(logs)
-    if partition_by is not None and rebalance:
+    adaptive = logs.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    if partition_by is not None and rebalance and adaptive:
         logs = logs.hint("rebalance", F.col(partition_by))
     order = [c for c in (partition_by, "level", "timestamp") if c in logs.columns]
     if order:

@@ -1,6 +1,6 @@
 """Logs as a stream."""
 
-from lumberline.streaming.pipelines import stream_level_counts, stream_parse_to_json
+from lumberline.streaming.logs import stream_level_counts, stream_parse_to_json
 from lumberline.streaming.sources import stream_raw_logs
 
 __all__ = ["stream_level_counts", "stream_parse_to_json", "stream_raw_logs"]

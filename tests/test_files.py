@@ -169,6 +169,16 @@ def test_hot_day_is_cut_over_several_tasks(spark, folder):
     assert got.select("message").distinct().count() == got.count() == 40_000
 
 
+def test_without_adaptive_planner_no_day_goes_to_one_task(spark, folder):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        ll.write_clean_logs(spread_logs(spark), folder("clean"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(data_files(Path(folder("clean")) / "day=2024-01-01")) == 8
+    assert ll.read_clean_logs(spark, folder("clean")).count() == 40_000
+
+
 def test_time_range_prunes_days(spark, folder, capsys):
     ll.write_clean_logs(spread_logs(spark, 1000), folder("clean"))
     clean = ll.read_clean_logs(spark, folder("clean"))

@@ -7,13 +7,12 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 import lumberline as ll
+from lumberline.schema import LINE_GRAMMAR
 from lumberline.sources.raw import read_raw_logs
 
 TS = "2024-01-02 03:04:05"
 
-# Fixed value: the line grammar in Python's notation.
-GRAMMAR = re.compile(r"(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}), (\w+): (.*?)(?:, \((\w+)\))?$")
-
+GRAMMAR = re.compile(LINE_GRAMMAR)
 NO_MATCH = (None, None, None, None)
 
 
@@ -149,6 +148,19 @@ def test_broken_bytes_become_replacement_characters(spark, tmp_path):
     assert got == [(TS, "ERROR", "a\ufffd", "E1"), (TS, "INFO", "\ufffd\ufffd b", None)]
 
 
+def test_very_long_lines(spark):
+    long = 500_000
+    texts = [
+        f"{TS}, INFO: " + "x" * long,
+        f"{TS}, {'L' * long}: m, ({'i' * long})",
+        f"{TS}, INFO: " + ", (a" * long + ", (E1)",
+        f"{TS}, INFO: " + "\u00e9" * long + ", (E1)",
+        "x" * long,
+    ]
+    lines = lines_of(spark, texts)
+    assert parsed(ll.parse_logs(lines)) == [g for g in map(expected, texts) if g != NO_MATCH]
+
+
 def test_no_row_leaves_the_jvm(spark):
     plan = ll.parse_logs(lines_of(spark, ["x"]).filter("value <> ''"))
     text = plan._jdf.queryExecution().optimizedPlan().toString()

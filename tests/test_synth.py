@@ -47,6 +47,12 @@ def test_each_part_sits_in_one_task(spark, files, lines, per_part):
     assert placed.select("task").distinct().count() > 1
 
 
+def test_counts_per_day_of_synthetic_rows(spark):
+    logs = ll.synthesize_logs(spark, 1, 1000, step_seconds=3600)
+    assert ll.trend_by_day_and_level(logs).agg(F.sum("count")).first()[0] == 1000
+    assert ll.count_per_day(logs).count() == 42
+
+
 def test_percentages(spark):
     logs = ll.synthesize_logs(spark, 1, 1000, error_pct=0, warning_pct=100)
     assert rows(logs.groupBy("level").count()) == [("WARNING", 1000)]
