@@ -68,10 +68,9 @@ def instant(timestamp: Column) -> Column:
 
 
 def wall_clock(moment: Column) -> Column:
-    """Inverse of :func:`instant`, to whole seconds."""
-    return F.timestamp_add(
-        "SECOND", F.unix_seconds(moment), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    )
+    """Inverse of :func:`instant`."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(moment), epoch)
 
 
 def timestamp_text(event_ts: Column) -> Column:

@@ -144,8 +144,9 @@ ORACLE: dict[str, str] = {
     "filter_level_range": _ERRORS_IN_RANGE,
     "with_event_time": f"""{EVENTS} SELECT "timestamp", event_ts, CAST(event_ts AS DATE) AS day
         FROM typed""",
-    "with_event_time_impossible": f"""{ODD_TIMES} SELECT "timestamp", id, event_ts,
-        CAST(event_ts AS DATE) AS day FROM typed""",
+    "with_event_time_impossible": f"""{ODD_TIMES} SELECT "timestamp", id,
+        COALESCE(CAST(event_ts AS VARCHAR), '') AS event_ts,
+        COALESCE(CAST(CAST(event_ts AS DATE) AS VARCHAR), '') AS day FROM typed""",
     "count_by_id_error": _ERROR_COUNTS,
     "count_by_id_warning": EVENTS + _COUNT_BY_ID.format("WARNING"),
     "count_by_id_info": EVENTS + _COUNT_BY_ID.format("INFO"),

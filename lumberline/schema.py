@@ -40,7 +40,6 @@ TIMESTAMP_PATTERN = (
 LINE_PATTERN = rf"^({TIMESTAMP_PATTERN}), ({WORD}+): (.*?)(?:, \(({WORD}+)\))?$"
 # The same in Python's notation, whose classes are Unicode ones.
 LINE_GRAMMAR = r"(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}), (\w+): (.*?)(?:, \((\w+)\))?$"
-LEVELS = ("INFO", "WARNING", "ERROR")
 ERROR_ID_PREFIX, ERROR_ID_FIRST = "E", 2001
 WARNING_ID_PREFIX, WARNING_ID_FIRST = "W", 1001
 IDS_PER_LEVEL = 10

@@ -197,7 +197,8 @@ def with_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_event_time_impossible(spark: SparkSession, sf_dir: str) -> DataFrame:
     logs = ll.parse_logs(odd_time_lines(spark, sf_dir))
-    return ll.with_event_time(logs).select("timestamp", "id", "event_ts", "day")
+    timed = ll.with_event_time(logs).select("timestamp", "id", "event_ts", "day")
+    return ll.stringify_result(timed)
 
 
 # Aggregations

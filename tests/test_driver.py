@@ -32,6 +32,24 @@ def test_query(spark, connection, name):
         assert compare(spark, connection, query, sql, FOLDER) == ""
 
 
+NOT_AT_SCALE = (
+    "CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "InArrow", "RDDScan",
+    "ExistingRDD",
+)
+
+
+@pytest.mark.parametrize("name", [n for n in driver.queries() if n != "list_tables"])
+def test_plan_holds_at_scale(spark, name):
+    plan = driver.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert not [node for node in NOT_AT_SCALE if node in plan]
+    # A window must be spread by a key.
+    assert "Window" not in plan or "hashpartitioning(day" in plan
+    if "SinglePartition" in plan:
+        assert name == "share_by_id"  # one partial sum per task
+    if name != "preview_table":
+        assert "CollectLimit" not in plan and "LocalLimit" not in plan
+
+
 def test_only_any_rows_go_without_sql():
     assert set(driver.queries()) - set(driver.oracle_sql()) == {"preview_table"}
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import gzip
 import json
 from pathlib import Path
 
@@ -84,6 +85,23 @@ def test_json_lines(spark, folder):
         ll.write_json_logs(logs, folder("json"))
 
 
+def test_json_rows_as_text_are_the_same_lines(spark, folder):
+    logs = spark.createDataFrame(nasty_logs(), ll.LOG_SCHEMA)
+    ll.write_json_logs(logs, folder("json"))
+    ll.to_json_rows(logs).write.text(folder("text"))
+    lines = [
+        sorted(line for f in data_files(folder(name)) for line in f.read_text().split("\n"))
+        for name in ("json", "text")
+    ]
+    assert lines[0] == lines[1]
+
+
+def test_compressed_raw_files(spark, tmp_path):
+    with gzip.open(tmp_path / "a.log.gz", "wt") as file:
+        file.write(f"{TS}, ERROR: zipped, (E1)\n")
+    assert rows(ll.parse_logs(ll.read_raw_logs(spark, str(tmp_path)))) == [(TS, "ERROR", "zipped", "E1")]
+
+
 def test_json_round_trip(spark, folder):
     logs = spark.createDataFrame(nasty_logs(), ll.LOG_SCHEMA)
     ll.write_json_logs(logs, folder("json"))

@@ -236,6 +236,22 @@ def test_stringify_with_repeated_names(spark):
     assert text.columns == ["id", "id"] and rows(text) == [("1", "")]
 
 
+def test_a_table_may_have_the_inner_name(spark):
+    spark.range(3).createOrReplaceTempView("read_only_query")
+    try:
+        assert ll.run_query(spark, "SELECT * FROM read_only_query").count() == 3
+        assert ll.run_query(spark, "WITH read_only_query AS (SELECT 1) TABLE read_only_query").count() == 1
+    finally:
+        spark.catalog.dropTempView("read_only_query")
+
+
+def test_wrapping_does_not_hinder_the_planner(spark, table, capsys):
+    ll.run_query(spark, f"SELECT id FROM {table} WHERE level = 'ERROR' ORDER BY id LIMIT 5").explain()
+    plan = capsys.readouterr().out
+    assert "EqualTo(level,ERROR)" in plan and "ReadSchema: struct<level:string,id:string>" in plan
+    assert "TakeOrderedAndProject" in plan and "Exchange" not in plan
+
+
 def test_check_copes_with_every_kind_of_plan(spark, table):
     spark.udf.register("shout", lambda s: s.upper())
     for text in (

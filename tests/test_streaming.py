@@ -78,6 +78,19 @@ def test_closed_buckets_equal_batch(spark, folder):
     assert stream == [r for r in batch if r[0].hour < 2]
 
 
+def test_buckets_need_not_be_whole_seconds(spark, folder):
+    raw = folder("raw")
+    times = [f"2024-01-01 00:00:{s:02d}, INFO: x" for s in range(0, 60, 5)]
+    add_file(raw, "1.log", [*times, "2024-01-01 01:00:00, INFO: end"])
+    counts = ll.stream_level_counts(ll.stream_raw_logs(spark, raw), "7500 milliseconds", "0 seconds")
+    writer = counts.writeStream.format("parquet").option("path", folder("out"))
+    writer = writer.option("checkpointLocation", folder("state")).outputMode("append")
+    writer.trigger(**NOW).start().awaitTermination()
+    stream = rows(spark.read.schema(counts.schema).parquet(folder("out")))
+    batch = rows(ll.level_timeseries(ll.parse_logs(ll.read_raw_logs(spark, raw)), "7500 milliseconds"))
+    assert stream == batch[:-1] and any(r[0].microsecond for r in stream)
+
+
 def test_nested_folders(spark, folder):
     add_file(folder("raw"), "1.log", FIRST)
     add_file(folder("raw") + "/nested", "2.log", SECOND)
