@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from lumberline.functions.parsing import event_time, id_suffix, is_log_line, log_fields
+from lumberline.functions.parsing import (
+    event_time,
+    id_suffix,
+    is_log_line,
+    line_head,
+    log_fields,
+)
 
 
 def parse_log_lines(lines: DataFrame) -> DataFrame:
@@ -12,13 +18,9 @@ def parse_log_lines(lines: DataFrame) -> DataFrame:
 
     A line outside the grammar gives a row of NULLs; :func:`drop_unparsed` removes those.
     """
-    value = F.col("value")
-    checked = lines.select(
-        value, is_log_line(value).alias("matched"), id_suffix(value).alias("suffix")
-    )
-    fields = log_fields(value, F.col("suffix"))
+    checked = lines.select(*_line_parts(), is_log_line(F.col("value")).alias("matched"))
     return checked.select(
-        *[F.when(F.col("matched"), field).alias(name) for name, field in fields.items()]
+        *[F.when(F.col("matched"), field).alias(name) for name, field in _fields().items()]
     )
 
 
@@ -29,10 +31,17 @@ def drop_unparsed(logs: DataFrame) -> DataFrame:
 
 def parse_logs(lines: DataFrame) -> DataFrame:
     """``drop_unparsed(parse_log_lines(lines))`` with the line checked once instead of twice."""
+    valid = lines.filter(is_log_line(F.col("value"))).select(*_line_parts())
+    return valid.select(*[field.alias(name) for name, field in _fields().items()])
+
+
+def _line_parts() -> list[Column]:
     value = F.col("value")
-    valid = lines.filter(is_log_line(value)).select(value, id_suffix(value).alias("suffix"))
-    fields = log_fields(value, F.col("suffix"))
-    return valid.select(*[field.alias(name) for name, field in fields.items()])
+    return [value, line_head(value).alias("head"), id_suffix(value).alias("suffix")]
+
+
+def _fields() -> dict[str, Column]:
+    return log_fields(F.col("value"), F.col("head"), F.col("suffix"))
 
 
 def to_json_rows(logs: DataFrame) -> DataFrame:

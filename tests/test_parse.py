@@ -148,6 +148,31 @@ def test_broken_bytes_become_replacement_characters(spark, tmp_path):
     assert got == [(TS, "ERROR", "a\ufffd", "E1"), (TS, "INFO", "\ufffd\ufffd b", None)]
 
 
+def test_broken_bytes_next_to_separators(spark):
+    start = f"{TS}, INFO: ".encode()
+    lines = spark.createDataFrame(
+        [
+            (bytearray(b),)
+            for b in (
+                start + b"a\xf0\n",
+                start + b"\xf0, (E1)\n",
+                start + b"\xe2\x82, (E2)",
+                start + b"x\xf0\ny",
+                start + b"x, (E\xff)",
+                f"{TS}, IN".encode() + b"\xf0FO: x",
+                b"\xf0" + start + b"x",
+            )
+        ],
+        "value binary",
+    ).selectExpr("CAST(value AS string) AS value")
+    assert parsed(ll.parse_logs(lines)) == [
+        (TS, "INFO", "a\ufffd", None),
+        (TS, "INFO", "\ufffd", "E1"),
+        (TS, "INFO", "\ufffd", "E2"),
+        (TS, "INFO", "x, (E\ufffd)", None),
+    ]
+
+
 def test_very_long_lines(spark):
     long = 500_000
     texts = [
