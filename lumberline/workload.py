@@ -62,6 +62,17 @@ def _document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ll.read_raw_logs(spark, _once(spark, sf_dir, "documents", make), line_sep="\n")
 
 
+def _odd_time_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a line whose time often is none, in a text file too."""
+
+    def make() -> str:
+        path = scratch_path(spark, "odd-times")
+        odd_time_lines(spark, sf_dir).write.text(path)
+        return path
+
+    return ll.read_raw_logs(spark, _once(spark, sf_dir, "odd times", make))
+
+
 def _columns(logs: DataFrame) -> DataFrame:
     return logs.select(*ll.LOG_SCHEMA.names)
 
@@ -196,7 +207,7 @@ def with_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_event_time_impossible(spark: SparkSession, sf_dir: str) -> DataFrame:
-    logs = ll.parse_logs(odd_time_lines(spark, sf_dir))
+    logs = ll.parse_logs(_odd_time_lines(spark, sf_dir))
     timed = ll.with_event_time(logs).select("timestamp", "id", "event_ts", "day")
     return ll.stringify_result(timed)
 
@@ -234,7 +245,7 @@ def count_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def count_per_day_impossible(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ll.count_per_day(ll.parse_logs(odd_time_lines(spark, sf_dir)))
+    return ll.count_per_day(ll.parse_logs(_odd_time_lines(spark, sf_dir)))
 
 
 def level_timeseries(spark: SparkSession, sf_dir: str) -> DataFrame:
