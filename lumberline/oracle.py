@@ -161,6 +161,10 @@ ORACLE: dict[str, str] = {
         FROM typed WHERE event_ts IS NOT NULL GROUP BY CAST(event_ts AS DATE)""",
     "level_timeseries": _timeseries("date_trunc('HOUR', event_ts)"),
     "level_timeseries_quarter_hour": _timeseries("time_bucket(INTERVAL 15 MINUTES, event_ts)"),
+    "error_series_in_range": f"""{EVENTS} SELECT date_trunc('HOUR', event_ts) AS bucket, level,
+        COUNT(*) AS count FROM typed WHERE level = 'ERROR'
+        AND event_ts >= TIMESTAMP '{RANGE_START_TIME}' AND event_ts < TIMESTAMP '{RANGE_END_TIME}'
+        GROUP BY 1, level""",
     "trend_by_day_and_level": f"""{EVENTS} SELECT CAST(event_ts AS DATE) AS day, level,
         COUNT(*) AS count FROM typed GROUP BY CAST(event_ts AS DATE), level""",
     "catalog_sql": _ERROR_COUNTS,

@@ -73,8 +73,8 @@ def write_clean_logs(
     planner the hint would send each day to one task, so it is left out. Switch it off where the
     input is already ordered by time; then nothing is shuffled.
 
-    Rows are sorted by level inside each file, which lets Parquet scans skip row groups. Rows
-    without a real time are kept, in the folder Spark uses for NULL.
+    Rows are sorted by level and time inside each file, which lets Parquet scans skip row groups.
+    Rows without a real time are kept, in the folder Spark uses for NULL.
     """
     _check_format(format)
     if partition_by in ("day", "event_ts"):
@@ -82,7 +82,7 @@ def write_clean_logs(
     adaptive = logs.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
     if partition_by is not None and rebalance and adaptive:
         logs = logs.hint("rebalance", F.col(partition_by))
-    order = [c for c in (partition_by, "level", "timestamp") if c in logs.columns]
+    order = [c for c in (partition_by, "level", "event_ts") if c in logs.columns]
     if order:
         logs = logs.sortWithinPartitions(*order)
     writer = logs.write.mode(mode).format(format)

@@ -256,6 +256,13 @@ def level_timeseries_quarter_hour(spark: SparkSession, sf_dir: str) -> DataFrame
     return ll.level_timeseries(_logs(spark, sf_dir), "15 minutes")
 
 
+def error_series_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A level and a time range chosen, then counted by hour, over clean files."""
+    logs = ll.read_clean_logs(spark, _clean_folder(spark, sf_dir, "parquet"))
+    chosen = ll.filter_time_range(ll.filter_level(logs, "ERROR"), RANGE_START_TIME, RANGE_END_TIME)
+    return ll.level_timeseries(chosen)
+
+
 def trend_by_day_and_level(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ll.trend_by_day_and_level(_logs(spark, sf_dir))
 
@@ -420,6 +427,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         count_per_day_impossible,
         level_timeseries,
         level_timeseries_quarter_hour,
+        error_series_in_range,
         trend_by_day_and_level,
         catalog_sql,
         preview_table,
