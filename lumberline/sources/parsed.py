@@ -133,7 +133,12 @@ def store_result(result: DataFrame, location: str, name: str | None = None) -> s
 
 
 def read_result(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    """Reads :func:`store_result` output.
+
+    A cell may hold line feeds, which a parsed message cannot, so each file is read by one task;
+    every task of the query wrote its own.
+    """
+    return spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=True).csv(path)
 
 
 def _check_format(format: str) -> None:

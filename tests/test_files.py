@@ -226,6 +226,13 @@ def test_store_result(spark, folder):
     assert ll.store_result(result, folder("results"), "named").endswith("/named")
 
 
+def test_stored_cells_may_hold_anything(spark, folder):
+    cells = [*NASTY, "two\nlines", "\n", "\r\n", '"\n"', "a,\nb"]
+    result = spark.createDataFrame([(i, c) for i, c in enumerate(cells) if c != "\\N"], "n int, cell string")
+    path = ll.store_result(result, folder("results"))
+    assert rows(ll.read_result(spark, path, result.schema)) == rows(result)
+
+
 def test_store_result_with_repeated_names(spark, folder):
     path = ll.store_result(spark.sql("SELECT 1 AS id, 2 AS ID, 3 AS id, 4 AS n"), folder("results"))
     (file,) = data_files(path, ".csv")
