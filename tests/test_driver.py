@@ -7,7 +7,9 @@ from types import SimpleNamespace
 import pytest
 
 import __spark_entry__ as driver
+from lumberline.oracle import ORACLE
 from lumberline.scratch import scratch_path, shared_dir
+from lumberline.workload import QUERIES
 from tests.oracle_check import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -23,7 +25,7 @@ def test_entry(spark):
     assert driver.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, connection, name):
     query, sql = driver.queries()[name], driver.oracle_sql().get(name)
     if sql is None:
@@ -38,7 +40,7 @@ NOT_AT_SCALE = (
 )
 
 
-@pytest.mark.parametrize("name", [n for n in driver.queries() if n != "list_tables"])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n != "list_tables"])
 def test_plan_holds_at_scale(spark, name):
     plan = driver.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert not [node for node in NOT_AT_SCALE if node in plan]
@@ -51,7 +53,7 @@ def test_plan_holds_at_scale(spark, name):
 
 
 def test_only_any_rows_go_without_sql():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == {"preview_table"}
+    assert set(QUERIES) - set(ORACLE) == {"preview_table"}
 
 
 class Session:
