@@ -21,6 +21,8 @@ SAMPLE_CHARS = 1 << 15
 #: A text is judged by its strongest stretch of so many words.
 WINDOW = 4
 WHOLE_EPOCHS, WINDOW_EPOCHS, BATCH, RATE = 1, 8, 128, 0.05
+#: Small samples are gone through more often, for so many steps at least.
+LEAST_STEPS = 400
 THRESHOLD = 0.7
 
 
@@ -116,13 +118,14 @@ def fit(texts: pa.Array, toxic: np.ndarray, weight: np.ndarray, seed: int = 7) -
     state = [(p, np.zeros_like(p), np.zeros_like(p)) for p in (table, top, bias)]
     target = np.eye(2, dtype=np.float32)[toxic]
     step = 0
-    for epoch in range(WHOLE_EPOCHS + WINDOW_EPOCHS):
+    batches = -(-len(toxic) // BATCH)
+    for epoch in range(max(WHOLE_EPOCHS + WINDOW_EPOCHS, -(-LEAST_STEPS // batches))):
         at, size = words.first[:-1], words.counts
         if epoch >= WHOLE_EPOCHS:
             odds = (table @ (top[:, 1] - top[:, 0])).astype(np.float64)
             sums = np.bincount(owner[order], odds[grams], len(distinct)) / np.maximum(np.diff(first), 1)
             _, at, size = strongest(sums[codes], words.first)
-        for rows in np.array_split(rng.permutation(len(toxic)), -(-len(toxic) // BATCH)):
+        for rows in np.array_split(rng.permutation(len(toxic)), batches):
             document, gram, share = _bag(at[rows], size[rows], codes, grams, first)
             vectors = np.stack(
                 [np.bincount(document, table[gram, d] * share, len(rows)) for d in range(DIMENSIONS)], 1
