@@ -17,7 +17,7 @@ GRAMS = (3, 4, 5)
 DIMENSIONS = 8
 #: The fit uses so many labelled rows of each class at most, of texts up to so many characters.
 SAMPLE_ROWS = 2500
-SAMPLE_CHARS = 1 << 15
+SAMPLE_CHARS = 1 << 14
 #: A text is judged by its strongest stretch of so many words.
 WINDOW = 4
 WHOLE_EPOCHS, WINDOW_EPOCHS, BATCH, RATE = 1, 8, 128, 0.05
@@ -36,7 +36,7 @@ class Model(NamedTuple):
 def subwords(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The word and the bucket of each byte n-gram of ``<word>``."""
     if not len(words):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int32), np.zeros(0, np.int32)
     letters, offsets = flat(words)
     inner = np.diff(offsets)
     sizes = inner + 2
@@ -45,7 +45,7 @@ def subwords(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data[np.arange(len(letters)) + 2 * np.repeat(np.arange(len(inner)), inner) + 1] = letters
     data[ends - sizes], data[ends - 1] = ord("<"), ord(">")
     left = np.repeat(ends, sizes) - np.arange(len(data))
-    owner = np.repeat(np.arange(len(words)), sizes)
+    owner = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
     owners, buckets = [], []
     value = np.zeros(len(data), np.uint64)
     for n in range(1, max(GRAMS) + 1):
@@ -57,7 +57,7 @@ def subwords(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             mixed = value[fits] + np.uint64(n)
             mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
             owners.append(owner[fits])
-            buckets.append((mixed >> np.uint64(40)).astype(np.int64) % BUCKETS)
+            buckets.append(((mixed >> np.uint64(40)) % np.uint64(BUCKETS)).astype(np.int32))
     return np.concatenate(owners), np.concatenate(buckets)
 
 
@@ -110,8 +110,9 @@ def fit(texts: pa.Array, toxic: np.ndarray, weight: np.ndarray, seed: int = 7) -
     codes, distinct = words.coded()
     owner, bucket = subwords(distinct)
     order = np.argsort(owner, kind="stable")
-    grams = bucket[order]
-    first = np.searchsorted(owner[order], np.arange(len(distinct) + 1))
+    grams, owner = bucket[order], owner[order]
+    del order, bucket
+    first = np.searchsorted(owner, np.arange(len(distinct) + 1))
     table = rng.normal(0, 0.05, (BUCKETS, DIMENSIONS)).astype(np.float32)
     top = rng.normal(0, 1, (DIMENSIONS, 2)).astype(np.float32)
     bias = np.zeros(2, np.float32)
@@ -123,7 +124,7 @@ def fit(texts: pa.Array, toxic: np.ndarray, weight: np.ndarray, seed: int = 7) -
         at, size = words.first[:-1], words.counts
         if epoch >= WHOLE_EPOCHS:
             odds = (table @ (top[:, 1] - top[:, 0])).astype(np.float64)
-            sums = np.bincount(owner[order], odds[grams], len(distinct)) / np.maximum(np.diff(first), 1)
+            sums = np.bincount(owner, odds[grams], len(distinct)) / np.maximum(np.diff(first), 1)
             _, at, size = strongest(sums[codes], words.first)
         for rows in np.array_split(rng.permutation(len(toxic)), batches):
             document, gram, share = _bag(at[rows], size[rows], codes, grams, first)
