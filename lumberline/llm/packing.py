@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -23,36 +24,94 @@ UNITS = CAPACITY // WIDTH
 GAP = 0.002
 MOST_ROUNDS = 4000
 #: Words whose ids a Python worker remembers; it then starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 1_200_000
+#: Bytes of text worked on at once.
+SLICE = 8 << 20
+#: Words encoded at once, and what stands between them.
+AT_ONCE = 5000
+MARK = "\x00"
+PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]?").fullmatch
 
 
 class WordIds:
-    """Ids of words. No token spans white space, so a word has the same ids in every text."""
+    """Ids of words. No token spans white space, so a word has the same ids in every text.
+
+    New words are encoded many at once. The tokenizer cuts letters from other signs and ends the last token
+    of each such part with ``</w>``, so words of letters, or of letters and a point or comma, are told apart by
+    the number of their parts; other words get a mark between them that is a token of its own.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.mark = self._encode(MARK)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.sizes = np.zeros(1 << 12, np.int32)
+        self.begins = np.zeros(1 << 12, np.int64)
+        self.ids = np.zeros(1 << 14, np.uint32)
+        self.used = 0
+
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
+    def _by_parts(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        ids = self._encode(" ".join(words))
+        parts = np.fromiter((1 + (w[-1] in ".,") for w in words), np.int64, len(words))
+        ends = np.flatnonzero(self.last[ids])
+        if len(ends) != parts.sum() or (len(ids) and ends[-1] != len(ids) - 1):
+            return None
+        return np.diff(np.concatenate([[-1], ends[np.cumsum(parts) - 1]])), ids
+
+    def _by_mark(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        ids = self._encode(f" {MARK} ".join(words))
+        cuts = np.flatnonzero(ids == self.mark[0])
+        if len(self.mark) != 1 or len(cuts) != len(words) - 1 or any(MARK in w for w in words):
+            return None
+        return np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1, np.delete(ids, cuts)
+
+    def _learn(self, words: list[str], plain: bool) -> None:
+        found = self._by_parts(words) if plain else self._by_mark(words)
+        if found is None:
+            each = [self._encode(w) for w in words]
+            found = np.array([len(x) for x in each], np.int64), np.concatenate(each)
+        sizes, ids = found
+        n = len(self.number)
+        while len(self.sizes) < n + len(words):
+            self.sizes, self.begins = (np.concatenate([x, np.zeros_like(x)]) for x in (self.sizes, self.begins))
+        while len(self.ids) < self.used + len(ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.sizes[n : n + len(words)] = sizes
+        self.begins[n : n + len(words)] = self.used + np.cumsum(sizes) - sizes
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+        self.number.update(zip(words, range(n, n + len(words))))
 
     def __call__(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """For distinct words the number of ids of each, and all ids."""
+        """For distinct words the number of ids of each, and where they begin in ``self.ids``."""
         texts = words.to_pylist()
-        if len(self.known) + len(texts) > REMEMBERED:
-            self.known = {}
-        new = [w for w in texts if w not in self.known]
-        for begin in range(0, len(new), 20_000):
-            part = new[begin : begin + 20_000]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[word] = np.array(found.ids, np.uint32).tobytes()
-        found = [self.known[w] for w in texts]
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        return sizes, np.frombuffer(b"".join(found), np.uint32)
+        if len(self.number) + len(texts) > REMEMBERED:
+            self._forget()
+        new = [w for w in texts if w not in self.number]
+        plain = [w for w in new if PLAIN(w)]
+        other = [w for w in new if not PLAIN(w)]
+        for kind in (plain, other):
+            for begin in range(0, len(kind), AT_ONCE):
+                self._learn(kind[begin : begin + AT_ONCE], kind is plain)
+        at = np.fromiter(map(self.number.__getitem__, texts), np.int64, len(texts))
+        return self.sizes[at].astype(np.int64), self.begins[at]
 
 
 def document_ids(words: Words, ids_of: WordIds) -> tuple[np.ndarray, np.ndarray]:
     """All ids of the documents, each followed by the end id, and where each document begins."""
     codes, distinct = words.coded()
-    ids, begins = spread(codes, *ids_of(distinct))
+    sizes, at = ids_of(distinct)
+    ids, begins = spread(codes, sizes, ids_of.ids, at)
     documents = len(words.first) - 1
     first = begins[words.first] + np.arange(documents + 1)
     out = np.full(first[-1], END, np.uint32)
@@ -71,7 +130,7 @@ def pieces_of(docs: DataFrame, id_col: str, text_col: str, tokenizer: str) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = worker_cache(f"ids {tokenizer}", lambda: WordIds(tokenizer))
         for batch in batches:
-            for begin, end in slices(batch.column(1)):
+            for begin, end in slices(batch.column(1), SLICE):
                 part = batch.slice(begin, end - begin)
                 ids, first = document_ids(Words(part.column(1), lower=False), ids_of)
                 tokens = np.diff(first)

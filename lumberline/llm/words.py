@@ -104,12 +104,18 @@ def hashes(words: pa.Array, hash64) -> np.ndarray:
     return np.fromiter(map(hash64, words.to_pylist()), np.uint64, len(words))
 
 
-def spread(codes: np.ndarray, sizes: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def spread(
+    codes: np.ndarray, sizes: np.ndarray, items: np.ndarray, begins: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """The items of each coded word in order, and where each word's begin (and the end).
 
-    ``items`` holds those of the distinct words one after the other, ``sizes`` of each.
+    ``sizes`` has how many items each distinct word has, and ``begins`` where they begin in ``items``; without
+    it they stand one after the other.
     """
-    begins = np.concatenate([[0], np.cumsum(sizes)])
+    if begins is None:
+        begins = np.cumsum(sizes) - sizes
     n = sizes[codes]
     total = np.concatenate([[0], np.cumsum(n)])
-    return items[np.arange(total[-1]) + np.repeat(begins[codes] - total[:-1], n)], total
+    at = np.repeat(begins[codes] - total[:-1], n)
+    at += np.arange(total[-1])
+    return items[at], total
