@@ -74,7 +74,10 @@ def drop_shared_lines(
     found, _ = shared_lines(docs, text_col, site_col, min_sites)
     shared = found.groupBy("text").agg(F.collect_set("h").alias(OWN + "shared"))
     keyed = docs.withColumn(OWN + "key", F.xxhash64(docs[text_col]))
-    joined = keyed.join(shared.withColumnRenamed("text", OWN + "key"), OWN + "key", "left")
+    # What is shared grows with the corpus, so it is never broadcast; copies of a hot text are split by
+    # the adaptive planner.
+    sets = shared.withColumnRenamed("text", OWN + "key").hint("merge")
+    joined = keyed.join(sets, OWN + "key", "left")
     parts = _parts(F.col(text_col))
     kept = F.filter(parts, lambda line: ~F.array_contains(OWN + "shared", _hash(line)))
     known = F.col(OWN + "shared").isNotNull()
