@@ -24,7 +24,7 @@ UNITS = CAPACITY // WIDTH
 GAP = 0.002
 MOST_ROUNDS = 4000
 #: Words whose ids a Python worker remembers; it then starts afresh.
-REMEMBERED = 1_200_000
+REMEMBERED = 800_000
 #: Bytes of text worked on at once.
 SLICE = 8 << 20
 #: Words encoded at once, and what stands between them.

@@ -16,6 +16,8 @@ from lumberline.llm.words import Words, slices
 BITS = 64
 SEGMENTS = 2
 SEED = 42
+#: Bytes of text worked on at once.
+SLICE = 1 << 20
 #: For each byte, its bits in eight lanes of eight bits.
 _LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64)[:, 0]
 _LANE_MOST = 255
@@ -66,7 +68,7 @@ def with_fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, stop in slices(batch.column(1)):
+            for start, stop in slices(batch.column(1), SLICE):
                 part = batch.slice(start, stop - start)
                 found = fingerprints(part.column(1), shingle).view(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found)], [OWN + "id", OWN + "fp"])
@@ -147,17 +149,20 @@ def simhash_components(
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each group: the row whose id is the group's smallest, all columns as they were.
+    """One document of each group: that whose id is the group's smallest, all columns as they were.
 
-    Rows with a null id stay. Repeated rows of the kept id and text count as one: the first stays.
+    Rows with a null id stay. Of several rows of a kept id one stays; an id whose rows fall into several
+    groups is kept if it is the smallest of one of them.
     """
     found = simhash_components(docs, id_col, text_col)
-    keep = Stored(
-        found.select(F.col(id_col).alias(OWN + "id"), F.col("component_id").alias(OWN + "root"))
-        .filter(F.col(OWN + "id") == F.col(OWN + "root")).select(OWN + "id").distinct(),
-        "simhash-keep",
+    own = F.col(id_col).alias(OWN + "id")
+    fate = found.filter(F.col(id_col).isNotNull()).groupBy(own).agg(
+        F.bool_or(F.col(id_col) == F.col("component_id")).alias(OWN + "kept"),
+        F.count(F.lit(1)).alias(OWN + "rows"),
     )
-    row = docs.withColumn(OWN + "id", docs[id_col])
-    kept = row.filter(F.col(OWN + "id").isNotNull()).join(keep.rows, OWN + "id", "left_semi")
-    one = kept.dropDuplicates([OWN + "id"])
-    return one.unionByName(row.filter(F.col(OWN + "id").isNull())).select(*docs.columns)
+    # Most ids are kept and have one row, so only the others are joined.
+    other = Stored(fate.filter(~F.col(OWN + "kept") | (F.col(OWN + "rows") > 1)), "simhash-fate")
+    rows = docs.withColumn(OWN + "id", docs[id_col]).join(other.rows, OWN + "id", "left")
+    single = rows.filter(F.col(OWN + "rows").isNull())
+    repeated = rows.filter(F.col(OWN + "kept") & (F.col(OWN + "rows") > 1)).dropDuplicates([OWN + "id"])
+    return single.unionByName(repeated).select(*docs.columns)

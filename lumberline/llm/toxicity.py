@@ -24,6 +24,8 @@ WHOLE_EPOCHS, WINDOW_EPOCHS, BATCH, RATE = 1, 8, 128, 0.05
 #: Small samples are gone through more often, for so many steps at least.
 LEAST_STEPS = 400
 THRESHOLD = 0.7
+#: Bytes of text scored at once.
+SLICE = 1 << 20
 
 
 class Model(NamedTuple):
@@ -201,7 +203,7 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", score_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(text_col)
-            for start, stop in slices(texts):
+            for start, stop in slices(texts, SLICE):
                 part = batch.slice(start, stop - start)
                 found = scores(model, part.column(text_col))
                 yield pa.RecordBatch.from_arrays(
