@@ -114,10 +114,12 @@ def _unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
 
 
 def _compare(threshold: float):
-    def run(table: pa.Table) -> pa.Table:
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        same = key[0] == key[1]
+        if not same and table.num_rows == 1:  # the other shard got no vectors
+            return pa.table({c: pa.array([], pa.int64()) for c in ("id", "links", "root")})
         shards = [Shard(row) for row in sorted(table.to_pylist(), key=lambda row: row["shard"])]
         left, right = shards[0], shards[-1]
-        same = len(shards) == 1
         shift = 0 if same else len(left.ids)
         weights = left.weights if same else np.concatenate([left.weights, right.weights])
         ids = left.ids if same else np.concatenate([left.ids, right.ids])

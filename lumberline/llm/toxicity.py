@@ -147,7 +147,9 @@ def fit(texts: pa.Array, toxic: np.ndarray, weight: np.ndarray, seed: int = 7) -
                 v += 0.001 * (grad**2 - v)
                 value -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     odds = top[:, 1] - top[:, 0]
-    return Model((table @ odds).astype(np.float32), float(bias[1] - bias[0]))
+    weights = (table @ odds).astype(np.float32)
+    weights[np.bincount(grams, minlength=BUCKETS) == 0] = 0  # never seen, so still what they were drawn as
+    return Model(weights, float(bias[1] - bias[0]))
 
 
 def _bag(at, counts, codes, grams, first):
