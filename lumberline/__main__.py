@@ -46,7 +46,7 @@ def arguments() -> argparse.ArgumentParser:
     query = command("query", "run read-only SQL", "sql")
     query.add_argument("--store", metavar="LOCATION", help="keep the whole result there as CSV")
     query.add_argument("--double-quoted-names", action="store_true")
-    query.add_argument("--show", type=int, default=20, help="rows to print")
+    query.add_argument("--show", type=int, metavar="N", help="print N rows only")
 
     synth = command("synth", "write a synthetic set of raw logs", "out")
     synth.add_argument("--files", type=int, default=schema.DEFAULT_FILES)
@@ -56,9 +56,14 @@ def arguments() -> argparse.ArgumentParser:
     return parser
 
 
-def show(result: DataFrame | None, rows: int = 20) -> None:
-    if result is not None:
-        ll.stringify_result(result).show(rows, truncate=False)
+def show(result: DataFrame | None, rows: int | None = None) -> None:
+    """Prints the whole result, a row per line; the driver holds one partition at a time."""
+    if result is None:
+        return
+    texts = ll.stringify_result(result if rows is None else result.limit(rows))
+    print("\t".join(texts.columns))
+    for row in texts.toLocalIterator():
+        print("\t".join(row))
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -78,11 +83,11 @@ def main(argv: list[str] | None = None) -> None:
         case "register":
             ll.register_logs(spark, args.table, args.path, args.format, args.partition_by)
         case "tables":
-            show(ll.list_tables(spark, args.database), 1000)
+            show(ll.list_tables(spark, args.database))
         case "preview":
             show(ll.preview_table(spark, args.table))
         case "counts":
-            show(ll.dashboard_counts(spark, args.table), 1000)
+            show(ll.dashboard_counts(spark, args.table))
         case "query":
             result = ll.run_query(spark, args.sql, args.double_quoted_names)
             if result is not None and args.store:

@@ -53,8 +53,11 @@ def write_json_logs(logs: DataFrame, path: str, mode: str = "errorifexists") ->
 
 
 def read_parsed_logs(spark: SparkSession, path: str) -> DataFrame:
-    """Reads :func:`write_json_logs` output with a fixed schema; a missing key is NULL."""
-    return spark.read.schema(LOG_SCHEMA).json(path)
+    """Reads :func:`write_json_logs` output with a fixed schema; a missing key is NULL.
+
+    A line that is no JSON is an error, not a row of NULLs.
+    """
+    return spark.read.schema(LOG_SCHEMA).json(path, mode="FAILFAST")
 
 
 def write_clean_logs(
@@ -70,17 +73,19 @@ def write_clean_logs(
     With ``rebalance`` rows are first brought together by that value, so a day gets a few large
     files and not one per input task. The adaptive planner cuts an oversized day over several
     tasks and merges small ones, so a day with a third of all rows is no bottleneck; without that
-    planner the hint would send each day to one task, so it is left out. Switch it off where the
-    input is already ordered by time; then nothing is shuffled.
+    planner the hint would send each day to one task, so it is an error. Switch it off where the
+    input is already ordered by time; then nothing is shuffled. Whole log rows are stored with their
+    time, whatever the folders are by.
 
     Rows are sorted by level and time inside each file, which lets Parquet scans skip row groups.
     Rows without a real time are kept, in the folder Spark uses for NULL.
     """
     _check_format(format)
-    if partition_by in ("day", "event_ts"):
+    if partition_by in ("day", "event_ts") or set(LOG_SCHEMA.names) <= set(logs.columns):
         logs = ensure_event_time(logs)
-    adaptive = logs.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
-    if partition_by is not None and rebalance and adaptive:
+    if partition_by is not None and rebalance:
+        if logs.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+            raise ValueError("switch adaptive execution on, or rebalance off")
         logs = logs.hint("rebalance", F.col(partition_by))
     order = [c for c in (partition_by, "level", "event_ts") if c in logs.columns]
     if order:

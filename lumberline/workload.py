@@ -294,12 +294,13 @@ SQL_TEXTS = {
                    FROM {logs} WHERE level = 'WARNING' GROUP BY substr(timestamp, 1, 10)) w
         ON e.day = w.day""",
     "sql_semi_anti_join": """
-        SELECT h.hour, count(*) AS errors
-        FROM (SELECT substr(timestamp, 1, 13) AS hour, id FROM {logs} WHERE level = 'ERROR') h
-        WHERE NOT EXISTS (SELECT 1 FROM {logs} w
-                          WHERE w.level = 'WARNING' AND substr(w.timestamp, 1, 13) = h.hour)
-          AND h.hour IN (SELECT substr(timestamp, 1, 13) FROM {logs} WHERE level = 'INFO')
-        GROUP BY h.hour""",
+        SELECT h.hour, h.errors
+        FROM (SELECT substr(timestamp, 1, 13) AS hour, count(*) AS errors
+              FROM {logs} WHERE level = 'ERROR' GROUP BY substr(timestamp, 1, 13)) h
+        WHERE NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT substr(timestamp, 1, 13) AS hour
+                                         FROM {logs} WHERE level = 'WARNING') w
+                          WHERE w.hour = h.hour)
+          AND h.hour IN (SELECT DISTINCT substr(timestamp, 1, 13) FROM {logs} WHERE level = 'INFO')""",
     "sql_window": """
         SELECT day, id, n, CAST(rank() OVER (PARTITION BY day ORDER BY n DESC) AS BIGINT) AS place
         FROM (SELECT substr(timestamp, 1, 10) AS day, id, count(*) AS n
@@ -320,11 +321,11 @@ SQL_TEXTS = {
         SELECT message, count(*) AS n FROM {logs} WHERE level = 'ERROR'
         GROUP BY message ORDER BY n DESC, message LIMIT 10""",
     "sql_set_operations": """
-        (SELECT substr(timestamp, 1, 16) AS minute FROM {logs} WHERE level = 'ERROR'
-         INTERSECT SELECT substr(timestamp, 1, 16) FROM {logs} WHERE level = 'INFO')
+        (SELECT DISTINCT substr(timestamp, 1, 16) AS minute FROM {logs} WHERE level = 'ERROR'
+         INTERSECT SELECT DISTINCT substr(timestamp, 1, 16) FROM {logs} WHERE level = 'INFO')
         UNION ALL
-        (SELECT substr(timestamp, 1, 16) FROM {logs} WHERE level = 'WARNING'
-         EXCEPT SELECT substr(timestamp, 1, 16) FROM {logs} WHERE level = 'INFO')""",
+        (SELECT DISTINCT substr(timestamp, 1, 16) FROM {logs} WHERE level = 'WARNING'
+         EXCEPT SELECT DISTINCT substr(timestamp, 1, 16) FROM {logs} WHERE level = 'INFO')""",
     "sql_functions": """
         WITH parts AS (
           SELECT lower(level) AS level, CAST(timestamp AS DATE) AS day,

@@ -190,7 +190,9 @@ def test_hot_day_is_cut_over_several_tasks(spark, folder):
 def test_without_adaptive_planner_no_day_goes_to_one_task(spark, folder):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        ll.write_clean_logs(spread_logs(spark), folder("clean"))
+        with pytest.raises(ValueError):
+            ll.write_clean_logs(spread_logs(spark), folder("clean"))
+        ll.write_clean_logs(spread_logs(spark), folder("clean"), rebalance=False)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert len(data_files(Path(folder("clean")) / "day=2024-01-01")) == 8
@@ -247,3 +249,14 @@ def test_raw_to_clean(spark, tmp_path, folder):
     )
     got = ll.read_clean_logs(spark, folder("clean"), "csv").select(*ll.LOG_SCHEMA.names)
     assert rows(got) == [(TS, "ERROR", "y", "E1")]
+
+
+@pytest.mark.parametrize("format", ["parquet", "csv"])
+@pytest.mark.parametrize("by", [None, "day", "level"])
+def test_time_is_stored_whatever_the_folders_are_by(spark, folder, format, by):
+    rows = [("2024-01-05 10:00:00", "ERROR", "a", "E1"), ("2024-01-06 11:00:00", "INFO", "b", None)]
+    ll.write_clean_logs(spark.createDataFrame(rows, ll.LOG_SCHEMA), folder("clean"), format, by)
+    logs = ll.read_clean_logs(spark, folder("clean"), format)
+    assert sorted((str(r.day), r["count"]) for r in logs.groupBy("day").count().collect()) == [
+        ("2024-01-05", 1), ("2024-01-06", 1),
+    ]

@@ -5,7 +5,7 @@ import uuid
 import pytest
 
 import lumberline as ll
-from lumberline.__main__ import main
+from lumberline.__main__ import main, show
 
 
 def test_the_whole_way_on_the_command_line(spark, folder, capsys):
@@ -34,3 +34,10 @@ def test_the_whole_way_on_the_command_line(spark, folder, capsys):
     assert ll.read_result(spark, stored, "n bigint").first().n == 1000
     with pytest.raises(ll.QueryRefused):
         main(["query", f"DROP TABLE {table}"])
+
+
+def test_results_are_printed_whole(spark, capsys):
+    show(spark.range(1500).selectExpr("concat('E', id) AS id", "id AS count"))
+    assert capsys.readouterr().out.splitlines() == ["id\tcount", *(f"E{k}\t{k}" for k in range(1500))]
+    show(spark.range(1500), 3)
+    assert len(capsys.readouterr().out.splitlines()) == 4

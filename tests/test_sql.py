@@ -9,7 +9,7 @@ import lumberline as ll
 
 TS = "2024-01-02 03:04:05"
 LOGS = [
-    (TS, "ERROR", "Configuration updated", "E1"),
+    (TS, "ERROR", "Rules were updated twice", "E1"),
     (TS, "ERROR", "drop zone full", "E1"),
     (TS, "ERROR", "x", None),
     (TS, "WARNING", "y", "W1"),
