@@ -18,7 +18,10 @@ from lumberline.llm.words import slices, spread
 SPACE = "▁"
 #: What a character without a piece costs more than the worst piece.
 UNKNOWN = 10.0
-REMEMBERED = 500_000
+REMEMBERED = 300_000
+#: Bytes of text encoded, and ids decoded, at once.
+SLICE = 1 << 20
+IDS_AT_ONCE = 1 << 18
 #: Longer stretches are searched without being remembered.
 REMEMBERED_CHARS = 64
 
@@ -50,6 +53,8 @@ class Pieces:
                 worst = min(worst, score)
         self.unknown = worst - UNKNOWN
         self.longest = max(map(len, self.score), default=1)
+        #: What pieces end in: a stretch that none ends in needs no longer one tried.
+        self.endings = {p[k:] for p in self.score for k in range(len(p))}
         #: No piece has a space after another character: all paths meet before such a space.
         self.by_word = not any(SPACE in p.lstrip(SPACE) for p in self.score)
         self.known: dict[str, bytes] = {}
@@ -61,16 +66,19 @@ class Pieces:
         can begin at the last ``longest`` boundaries only, so a boundary that the best paths to all
         of these have in common is certain, and what lies before it is given out and forgotten.
         """
-        longest, score = self.longest, self.score
+        longest, score, endings = self.longest, self.score, self.endings
         window, best, back = "", [0.0], [(0, -1)]
         due = 2 * longest
         for char in text:
             window += char
             end = len(window)
             value, origin = best[end - 1] + self.unknown, (end - 1, -1)
-            for begin in range(max(0, end - longest), end):
-                piece = score.get(window[begin:end])
-                if piece is not None and best[begin] + piece[0] > value:
+            for begin in range(end - 1, max(0, end - longest) - 1, -1):
+                ending = window[begin:end]
+                if ending not in endings:
+                    break
+                piece = score.get(ending)
+                if piece is not None and best[begin] + piece[0] >= value:
                     value, origin = best[begin] + piece[0], (begin, piece[1])
             best.append(value)
             back.append(origin)
@@ -164,7 +172,7 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", ids_col: str = O
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(model)
         for batch in batches:
-            for start, stop in slices(batch.column(text_col)):
+            for start, stop in slices(batch.column(text_col), SLICE):
                 part = batch.slice(start, stop - start)
                 ids, begins = pieces.encode_all(part.column(text_col))
                 lists = pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(ids, pa.int32()))
@@ -183,14 +191,20 @@ def decode(table: DataFrame, model: str, ids_col: str = OWN + "ids", text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(model)
         for batch in batches:
-            lists = batch.column(ids_col)
-            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            ids = pc.fill_null(lists.flatten(), 0).to_numpy(zero_copy_only=False)
-            begins = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-            texts = [b.decode("utf-8", "replace") for b in pieces.decode_all(ids, begins)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, text_col]
-            )
+            sizes = pc.fill_null(pc.list_value_length(batch.column(ids_col)), 0).to_numpy(zero_copy_only=False)
+            ends = np.cumsum(sizes, dtype=np.int64)
+            start = 0
+            while start < batch.num_rows:
+                done = ends[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, done + IDS_AT_ONCE, side="right")))
+                part = batch.slice(start, stop - start)
+                ids = pc.fill_null(part.column(ids_col).flatten(), 0).to_numpy(zero_copy_only=False)
+                begins = np.concatenate([[0], ends[start:stop] - done]).astype(np.int64)
+                texts = [b.decode("utf-8", "replace") for b in pieces.decode_all(ids, begins)]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(texts, pa.string())], [*part.schema.names, text_col]
+                )
+                start = stop
 
     return table.mapInArrow(run, _with(table, text_col, T.StringType()))
 
