@@ -18,9 +18,9 @@ from lumberline.llm.words import slices, spread
 SPACE = "▁"
 #: What a character without a piece costs more than the worst piece.
 UNKNOWN = 10.0
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 #: Bytes of text encoded, and ids decoded, at once.
-SLICE = 1 << 20
+SLICE = 2 << 20
 IDS_AT_ONCE = 1 << 18
 #: Longer stretches are searched without being remembered.
 REMEMBERED_CHARS = 64
