@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import json
-import re
-from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
+from collections.abc import Iterator
 
 from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -14,11 +12,11 @@ from lumberline.schema import PREVIEW_ROWS
 
 # Double quotes around names are part of Spark's ANSI dialect.
 _DOUBLE_QUOTED_NAMES = ("spark.sql.ansi.enabled", "spark.sql.ansi.doubleQuotedIdentifiers")
+# Files named in a query instead of tables.
+_FILES_AS_TABLES = "spark.sql.runSQLOnFiles"
 
-# Statements that only report on the catalog; every statement that begins so is read-only.
-_CATALOG_REPORT = re.compile(r"(show|describe|desc)\s", re.IGNORECASE)
-# A text that begins so is meant as a query, so the engine's own complaint says it best.
-_MEANT_AS_QUERY = re.compile(r"(select|values|table)\b|\(", re.IGNORECASE)
+# Statements that only report on the catalog; every statement of these kinds is read-only.
+_CATALOG_REPORTS = ("Show", "Describe")
 
 # Expressions and operators that leave SQL: they call a JVM method or start a program.
 _OUTSIDE_SQL = {
@@ -36,23 +34,28 @@ def run_query(
 ) -> DataFrame | None:
     """The whole result of a read-only SQL text; ``None`` for an empty text.
 
-    The text is placed where SQL's grammar allows nothing but a query: inside a common table
-    expression of a ``SELECT``. What is checked is thus what runs, and a statement that writes
-    fails to parse wherever it hides. Trailing semicolons are accepted. ``SHOW`` and ``DESCRIBE``
-    run as they are. ``double_quoted_identifiers`` reads the text in the ANSI dialect, where
-    ``"db"."table"`` are names and not texts.
+    The text must parse to its end as a query, which no statement that writes, changes settings or
+    runs a script does; then it runs as it is. ``SHOW`` and ``DESCRIBE`` run too. A text that is no
+    statement at all gives the engine's complaint. Only tables and views can be read, not files by
+    their path. ``double_quoted_identifiers`` reads the text in the ANSI dialect, where
+    ``"db"."table"`` are names and not texts. The settings of ``spark`` are never changed.
     """
     text = (sql or "").strip().rstrip("; \t\r\n")
     if not text:
         return None
-    with _switched_on(spark, _DOUBLE_QUOTED_NAMES if double_quoted_identifiers else ()):
-        if _CATALOG_REPORT.match(text):
-            return spark.sql(text)
-        result = _as_query(spark, text)
+    settings = {_FILES_AS_TABLES: "false"}
+    if double_quoted_identifiers:
+        settings |= dict.fromkeys(_DOUBLE_QUOTED_NAMES, "true")
+    own = _own_session(spark, settings)
+    if _statement(own, text).startswith(_CATALOG_REPORTS):
+        return own.sql(text)
+    if not _is_query(own, text):
+        raise QueryRefused(f"not a read-only query: {text}")
+    result = own.sql(text)
     for name in _class_names(result):
         if name in _OUTSIDE_SQL:
             raise QueryRefused(f"{_OUTSIDE_SQL[name]} is not allowed in a query: {text}")
-    return result
+    return _in_session(spark, result)
 
 
 def preview_table(spark: SparkSession, table: str | None, n: int = PREVIEW_ROWS) -> DataFrame | None:
@@ -72,35 +75,52 @@ def stringify_result(result: DataFrame) -> DataFrame:
     )
 
 
-@contextmanager
-def _switched_on(spark: SparkSession, settings: Iterable[str]) -> Iterator[None]:
-    previous = {name: spark.conf.get(name) for name in settings}
+def _is_query(spark: SparkSession, text: str) -> bool:
+    # This statement takes a query and nothing else.
     try:
-        for name in previous:
-            spark.conf.set(name, "true")
-        yield
-    finally:
-        for name, value in previous.items():
-            spark.conf.set(name, value)
+        return _statement(spark, f"DESCRIBE QUERY\n{text}") == "DescribeQueryCommand"
+    except ParseException:
+        return False
+
+
+# Spark has no public way to do the following. All of it works on the JVM objects of a classic (not a
+# Connect) session.
+
 
+def _own_session(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """A copy of a session, temporary views and settings included, with further settings."""
+    own = SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
+    for name, value in settings.items():
+        own.conf.set(name, value)
+    return own
 
-def _as_query(spark: SparkSession, text: str) -> DataFrame:
+
+def _in_session(spark: SparkSession, result: DataFrame) -> DataFrame:
+    """A result of another session as one of ``spark``."""
+    dataset = spark._jvm.org.apache.spark.sql.classic.Dataset
+    return DataFrame(dataset.ofRows(spark._jsparkSession, result._jdf.queryExecution().analyzed()), spark)
+
+
+def _statement(spark: SparkSession, text: str) -> str:
+    """The kind of statement that a text parses as; nothing is looked up or run."""
+    # The parser goes by the settings of the thread's active session.
+    sessions = spark._jvm.org.apache.spark.sql.classic.SparkSession
+    before = sessions.getActiveSession()
+    sessions.setActiveSession(spark._jsparkSession)
     try:
-        return spark.sql(
-            f"SELECT * FROM (\nWITH read_only_query AS (\n{text}\n)\nSELECT * FROM read_only_query)"
-        )
-    except ParseException as error:
-        if _MEANT_AS_QUERY.match(text):
-            raise
-        raise QueryRefused(f"not a read-only query: {text}\n{error}") from error
+        plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
+    finally:
+        if before.isDefined():
+            sessions.setActiveSession(before.get())
+        else:
+            sessions.clearActiveSession()
+    return plan.getClass().getSimpleName()
 
 
 def _class_names(result: DataFrame) -> Iterator[str]:
     """Class names of all operators and expressions of the analysed plan, subqueries included.
 
-    Spark has no public way to ask for them, so this takes the JSON form of the plan from the JVM
-    object of a classic (not a Connect) session. Texts inside the query are escaped there and can
-    never pass for a class name.
+    Texts inside the query are escaped in the plan's JSON form and can never pass for a class name.
     """
     pending = [json.loads(result._jdf.queryExecution().analyzed().toJSON())]
     while pending:

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from lumberline.schema import CLEAN_SCHEMA, LOG_SCHEMA
 from lumberline.sources.parsed import CSV_OPTIONS
 
+# The table property that marks a cached result.
+_CACHED_RESULT = "lumberline.cached_result"
+
 
 def register_logs(
     spark: SparkSession,
@@ -57,20 +62,37 @@ def list_tables(spark: SparkSession, database: str) -> DataFrame:
 
 
 def cache_result(spark: SparkSession, name: str, result: DataFrame) -> DataFrame:
-    """Keeps a result for reuse under a view name; an older one of that name is let go.
+    """Keeps a result for reuse as a table ``name``; an older result of that name is replaced.
 
-    Meant for small, often asked results such as dashboard counts. Lost blocks are computed again
-    from the result's own plan.
+    Meant for small, often asked results such as dashboard counts. The older one stays until the new
+    one is whole, and no other query is answered from it. A table that is no such result is not
+    replaced.
     """
-    drop_cached_result(spark, name)
-    result.createOrReplaceTempView(name)
-    spark.catalog.cacheTable(name)
+    kept = _is_cached_result(spark, name)
+    made = f"{name}_{uuid.uuid4().hex}"
+    result.writeTo(made).using("parquet").tableProperty(_CACHED_RESULT, "true").create()
+    if kept:
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"ALTER TABLE {made} RENAME TO {name}")
     return spark.table(name)
 
 
 def drop_cached_result(spark: SparkSession, name: str) -> bool:
-    """Forgets a cached result; False if there is none of that name."""
-    return spark.catalog.dropTempView(name)
+    """Removes a cached result and its files; False if there is none of that name."""
+    found = _is_cached_result(spark, name)
+    if found:
+        spark.sql(f"DROP TABLE {name}")
+    return found
+
+
+def _is_cached_result(spark: SparkSession, name: str) -> bool:
+    """False where there is no table ``name``; a table that is no cached result is an error."""
+    if not spark.catalog.tableExists(name):
+        return False
+    properties = spark.sql(f"SHOW TBLPROPERTIES {name}").filter(F.col("key") == _CACHED_RESULT)
+    if properties.isEmpty():
+        raise ValueError(f"{name} is a table, not a cached result")
+    return True
 
 
 def _identifier(name: str) -> str:

@@ -9,7 +9,7 @@ import lumberline as ll
 
 TS = "2024-01-02 03:04:05"
 LOGS = [
-    (TS, "ERROR", "Rules were updated twice", "E1"),
+    (TS, "ERROR", "The index updated itself", "E1"),
     (TS, "ERROR", "drop zone full", "E1"),
     (TS, "ERROR", "x", None),
     (TS, "WARNING", "y", "W1"),
@@ -127,6 +127,9 @@ def test_empty_text_runs_nothing(spark, text):
         "SHOW TABLES",
         "DESCRIBE {t}",
         "desc {t};",
+        "-- all of them\nSHOW TABLES",
+        "/* a /* nested */ remark */ DESCRIBE {t}",
+        "FROM {t} |> WHERE level = 'ERROR'",
     ],
 )
 def test_queries_run(spark, table, text):
@@ -164,6 +167,8 @@ def test_queries_run(spark, table, text):
         "SELECT 1 WHERE 'E1' IN (SELECT TRANSFORM (id) USING 'cat' AS (x) FROM {t})",
         "WITH a AS (SELECT TRANSFORM (id) USING 'cat' AS (x) FROM {t}) SELECT 1",
         "MAP id USING 'cat' FROM {t}",
+        "/* /* */ SHOW TABLES */ DROP TABLE {t}",
+        "-- goes on \\\nSHOW TABLES\nDROP TABLE {t}",
     ],
 )
 def test_everything_else_is_refused_and_not_run(spark, table, folder, text):
@@ -180,6 +185,8 @@ def test_everything_else_is_refused_and_not_run(spark, table, folder, text):
         "SELECT 1; SELECT 2",
         "SELECT 1) INSERT INTO {t} SELECT * FROM (SELECT 'a', 'b', 'c', 'd'",
         "SELECT * FROM {t} ORDER BY",
+        "SELECT 1 AS a), b AS (SELECT 2",
+        "WITH a AS (SELECT 1) SELEC * FROM a",
     ],
 )
 def test_broken_text_gives_the_engines_reason(spark, table, text):
@@ -202,6 +209,23 @@ def test_refusal_restores_the_quoting_setting(spark, table):
         assert spark.conf.get("spark.sql.ansi.doubleQuotedIdentifiers") == "false"
 
 
+def test_files_are_no_tables(spark, table, folder):
+    for text in ("SELECT * FROM {f}", "WITH a AS (SELECT * FROM {f}) SELECT 1", "DESCRIBE {f}"):
+        with pytest.raises(AnalysisException):
+            ll.run_query(spark, text.format(f=f"text.`{folder('json')}`"))
+    assert spark.conf.get("spark.sql.runSQLOnFiles") == "true"
+
+
+def test_result_belongs_to_the_callers_session(spark, table):
+    result = ll.run_query(spark, f"SELECT level FROM {table}")
+    result.createOrReplaceTempView("own_result")
+    try:
+        assert spark.table("own_result").join(spark.table(table), "level").count() == 11
+        assert ll.run_query(spark, "SELECT * FROM own_result").count() == len(LOGS)
+    finally:
+        spark.catalog.dropTempView("own_result")
+
+
 def test_order_survives(spark):
     result = ll.run_query(
         spark, "SELECT id % 7 AS k, id FROM range(0, 20000, 1, 16) ORDER BY k DESC, id"
@@ -274,13 +298,24 @@ def test_cached_result(spark, table):
     counts = ll.count_by_id(spark.table(table), "ERROR")
     cached = ll.cache_result(spark, name, counts)
     assert rows(cached) == rows(counts)
-    assert spark.catalog.isCached(name)
-    assert "In-memory table" in cached._jdf.queryExecution().executedPlan().toString()
+    assert "In-memory table" not in counts._jdf.queryExecution().executedPlan().toString()
     assert rows(ll.run_query(spark, f"SELECT * FROM {name}")) == rows(counts)
 
     warnings = ll.count_by_id(spark.table(table), "WARNING")
     assert rows(ll.cache_result(spark, name, warnings)) == [("W1", 1)]
-    assert not counts.storageLevel.useMemory
-
+    other = ll.cache_result(spark, f"{name}_too", warnings)
     assert ll.drop_cached_result(spark, name) and not ll.drop_cached_result(spark, name)
-    assert not warnings.storageLevel.useMemory
+    assert rows(other) == [("W1", 1)]
+
+    # A result may be made from the one it takes the place of.
+    again = ll.cache_result(spark, f"{name}_too", other.unionAll(other))
+    assert rows(again) == [("W1", 1)] * 2
+
+
+def test_cached_results_do_not_replace_other_tables(spark, table):
+    for attempt in (
+        lambda: ll.cache_result(spark, table, spark.range(1)), lambda: ll.drop_cached_result(spark, table)
+    ):
+        with pytest.raises(ValueError):
+            attempt()
+    assert spark.table(table).count() == len(LOGS)
