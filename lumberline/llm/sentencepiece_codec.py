@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -22,6 +25,8 @@ REMEMBERED = 600_000
 #: Bytes of text encoded, and ids decoded, at once.
 SLICE = 2 << 20
 IDS_AT_ONCE = 1 << 18
+#: A stream is searched in parts of so many times the longest piece.
+PART = 4
 #: Longer stretches are searched without being remembered.
 REMEMBERED_CHARS = 64
 
@@ -53,12 +58,41 @@ class Pieces:
                 worst = min(worst, score)
         self.unknown = worst - UNKNOWN
         self.longest = max(map(len, self.score), default=1)
-        #: What pieces end in: a stretch that none ends in needs no longer one tried.
-        self.endings = {p[k:] for p in self.score for k in range(len(p))}
+        self._build()
         #: No piece has a space after another character: all paths meet before such a space.
         self.by_word = not any(SPACE in p.lstrip(SPACE) for p in self.score)
         self.known: dict[str, bytes] = {}
 
+    def _build(self) -> None:
+        """An automaton that finds all pieces in a text: length, score and id of each."""
+        self.missing = (1, self.unknown, -1)
+        self.machine = ahocorasick.Automaton()
+        for piece, (score, i) in self.score.items():
+            self.machine.add_word(piece, (len(piece), score, i))
+        self.machine.make_automaton()
+
+    def _extend(self, found: Iterable, begin: int, end: int, best: list[float], back: list[tuple]) -> None:
+        """The best paths to all boundaries up to ``end``, from the pieces found there.
+
+        ``found`` has the place of each piece's last character, counted from ``begin``, the longest piece
+        of a place first; of equal paths the one by the longest piece counts.
+        """
+        missing, unknown = self.missing, self.unknown
+        reached = len(best) - 1
+        for place, piece in found:
+            place += 1 + begin
+            while reached < place:
+                best.append(best[reached] + unknown)
+                back.append(missing)
+                reached += 1
+            value = best[place - piece[0]] + piece[1]
+            if value > best[place] or (value == best[place] and back[place] is missing):
+                best[place] = value
+                back[place] = piece
+        for _ in range(reached, end):
+            best.append(best[-1] + unknown)
+            back.append(missing)
+
     def stream(self, text: Iterable[str]) -> Iterator[int]:
         """Ids of a stream of characters with spaces marked, given out as soon as they are certain.
 
@@ -66,61 +100,61 @@ class Pieces:
         can begin at the last ``longest`` boundaries only, so a boundary that the best paths to all
         of these have in common is certain, and what lies before it is given out and forgotten.
         """
-        longest, score, endings = self.longest, self.score, self.endings
-        window, best, back = "", [0.0], [(0, -1)]
-        due = 2 * longest
-        for char in text:
-            window += char
-            end = len(window)
-            value, origin = best[end - 1] + self.unknown, (end - 1, -1)
-            for begin in range(end - 1, max(0, end - longest) - 1, -1):
-                ending = window[begin:end]
-                if ending not in endings:
-                    break
-                piece = score.get(ending)
-                if piece is not None and best[begin] + piece[0] >= value:
-                    value, origin = best[begin] + piece[0], (begin, piece[1])
-            best.append(value)
-            back.append(origin)
-            if end >= due:
-                certain = self._meet(back, end)
-                if certain:
-                    yield from self._path(window, back, certain)
-                    window, base = window[certain:], best[certain]
-                    best = [x - base for x in best[certain:]]
-                    back = [(max(0, b - certain), i) for b, i in back[certain:]]
-                due = len(window) + longest
+        chars = iter(text)
+        window, best, back = "", [0.0], [self.missing]
+        while part := "".join(islice(chars, PART * self.longest)):
+            known = len(window)
+            window += part
+            # Pieces that end in the new part begin here or later.
+            begin = max(0, known - self.longest + 1)
+            recent = window[begin:]
+            found = (x for x in self.machine.iter(recent) if x[0] + begin >= known)
+            self._extend(found, begin, len(window), best, back)
+            certain = self._meet(back, len(window))
+            if certain:
+                yield from self._path(window, back, certain)
+                window, base = window[certain:], best[certain]
+                best = [x - base for x in best[certain:]]
+                back = back[certain:]
         yield from self._path(window, back, len(window))
 
-    def _meet(self, back: list[tuple[int, int]], end: int) -> int:
+    def _meet(self, back: list[tuple], end: int) -> int:
         """The last boundary that the paths to all of the last ``longest`` boundaries share."""
         live = set(range(max(0, end - self.longest + 1), end + 1))
         while len(live) > 1:
             last = max(live)
             live.discard(last)
-            live.add(back[last][0])
+            live.add(last - back[last][0])
         return live.pop()
 
-    def _path(self, window: str, back: list[tuple[int, int]], end: int) -> list[int]:
+    def _path(self, window: str, back: list[tuple], end: int) -> list[int]:
         ids: list[int] = []
         while end > 0:
-            begin, i = back[end]
+            size, _, i = back[end]
             if i < 0:
-                ids.extend(self.byte[list(window[begin:end].encode())][::-1].tolist())
+                ids.extend(self.byte[list(window[end - 1 : end].encode())][::-1].tolist())
             else:
                 ids.append(i)
-            end = begin
+            end -= size
         return ids[::-1]
 
+    def _search(self, text: str) -> bytes:
+        """The ids of a stretch; one that is no longer than the window needs no stream."""
+        if len(text) > PART * self.longest:
+            return array("i", self.stream(text)).tobytes()
+        best, back = [0.0], [self.missing]
+        self._extend(self.machine.iter(text), 0, len(text), best, back)
+        return array("i", self._path(text, back, len(text))).tobytes()
+
     def stretch(self, text: str) -> bytes:
         """The ids of a stretch between certain boundaries, as little-endian 32-bit numbers."""
         if len(text) > REMEMBERED_CHARS:
-            return np.fromiter(self.stream(text), np.int32).tobytes()
+            return self._search(text)
         found = self.known.get(text)
         if found is None:
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
-            found = self.known[text] = np.fromiter(self.stream(text), np.int32).tobytes()
+            found = self.known[text] = self._search(text)
         return found
 
     def encode(self, text: str) -> np.ndarray:

@@ -434,7 +434,12 @@ def test_streaming_viterbi_finds_the_best_path():
                     value, origin = best[begin] + found[0], (begin, found[1])
             best.append(value)
             back.append(origin)
-        return pieces._path(text, back, len(text))
+        ids, end = [], len(text)
+        while end:
+            begin, i = back[end]
+            ids = ([i] if i >= 0 else pieces.byte[list(text[begin:end].encode())].tolist()) + ids
+            end = begin
+        return ids
 
     samples = ["", "a", "  two  spaces ", "Straße 日本語 \U0001f600\x00 x", sentence(50), "ab" * 300, " " * 100, "line\nline\tend", LONG[:3000]]
     samples += ["".join(RNG.choice("thera n\néß") for _ in range(200)) for _ in range(30)]
