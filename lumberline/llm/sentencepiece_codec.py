@@ -21,10 +21,10 @@ from lumberline.llm.words import slices, spread
 SPACE = "▁"
 #: What a character without a piece costs more than the worst piece.
 UNKNOWN = 10.0
-REMEMBERED = 300_000
+REMEMBERED = 120_000
 #: Bytes of text encoded, and ids decoded, at once.
-SLICE = 2 << 20
-IDS_AT_ONCE = 1 << 18
+SLICE = 1 << 20
+IDS_AT_ONCE = 1 << 17
 #: A stream is searched in parts of so many times the longest piece.
 PART = 4
 #: Longer stretches are searched without being remembered.
@@ -211,6 +211,7 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", ids_col: str = O
                 ids, begins = pieces.encode_all(part.column(text_col))
                 lists = pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], [*part.schema.names, ids_col])
+            pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, _with(docs, ids_col, T.ArrayType(T.IntegerType())))
 
@@ -239,6 +240,7 @@ def decode(table: DataFrame, model: str, ids_col: str = OWN + "ids", text_col: s
                     [*part.columns, pa.array(texts, pa.string())], [*part.schema.names, text_col]
                 )
                 start = stop
+            pa.default_memory_pool().release_unused()
 
     return table.mapInArrow(run, _with(table, text_col, T.StringType()))
 
