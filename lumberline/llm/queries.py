@@ -106,4 +106,70 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+
+#: Lines end at a line feed; blanks around them don't count; a site is a source.
+_LINE_DEDUP = f"""
+WITH parts AS (
+  SELECT doc_id, text, source, string_split(text, chr(10)) AS lines FROM documents),
+lines AS (
+  SELECT doc_id, source, unnest(lines) AS line, unnest(range(len(lines))) AS place FROM parts),
+plain AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS word FROM lines),
+shared AS (
+  SELECT word FROM plain WHERE word <> '' GROUP BY word HAVING count(DISTINCT source) >= {line_dedup.MIN_SITES}),
+kept AS (
+  SELECT doc_id, count(*) AS n_lines, count(s.word) AS n_removed,
+         string_agg(line, chr(10) ORDER BY place) FILTER (WHERE s.word IS NULL) AS rest
+  FROM plain LEFT JOIN shared s ON plain.word = s.word GROUP BY doc_id)
+SELECT p.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+       CASE WHEN n_removed > 0 THEN coalesce(rest, '') ELSE p.text END AS text
+FROM parts p LEFT JOIN kept k ON p.doc_id = k.doc_id"""
+
+_WORDS = r"[^\x20\x09-\x0D]+"
+_SUBSTRING_DEDUP = f"""
+WITH parts AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '{_WORDS}'), []) AS words FROM documents),
+words AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS place, len(words) AS n_words FROM parts),
+windows AS (
+  SELECT doc_id, place, word,
+         CASE WHEN place + {substring_dedup.WINDOW} <= n_words THEN string_agg(word, ' ') OVER (
+           PARTITION BY doc_id ORDER BY place ROWS BETWEEN CURRENT ROW AND {substring_dedup.WINDOW - 1} FOLLOWING) END AS passage
+  FROM words),
+again AS (
+  SELECT doc_id, place, word, passage IS NOT NULL
+         AND row_number() OVER (PARTITION BY passage ORDER BY doc_id, place) > 1 AS repeated FROM windows),
+judged AS (
+  SELECT doc_id, place, word, bool_or(repeated) OVER (
+    PARTITION BY doc_id ORDER BY place ROWS BETWEEN {substring_dedup.WINDOW - 1} PRECEDING AND CURRENT ROW) AS gone
+  FROM again),
+kept AS (
+  SELECT doc_id, count(*) AS n_words, count_if(gone)::BIGINT AS n_removed,
+         string_agg(word, ' ' ORDER BY place) FILTER (WHERE NOT gone) AS rest
+  FROM judged GROUP BY doc_id)
+SELECT p.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(rest, '')) AS kept_sha256
+FROM parts p LEFT JOIN kept k ON p.doc_id = k.doc_id"""
+
+#: Vectors that take part: none is null, no component is null or not finite.
+_VECTORS = """
+WITH vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0)"""
+_TOPK = f"""{_VECTORS},
+whole AS (SELECT vec_id, [floor({topk.SCALE} * x) FOR x IN v] AS v FROM vectors),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (
+  SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+         vec_id, score
+  FROM scored)
+SELECT * FROM ranked WHERE rank <= {topk.K}"""
+
+#: Packing, trained models, 64-bit hashes of shingles and the tokenizer are beyond SQL.
+ORACLE: dict[str, str] = {
+    "op1_line_dedup": _LINE_DEDUP,
+    "op2_substring_dedup": _SUBSTRING_DEDUP,
+    "op5_topk": _TOPK,
+}
