@@ -23,18 +23,27 @@ def arguments() -> argparse.ArgumentParser:
     for name, help in (
         ("parse", "raw text to JSON lines"),
         ("clean", "raw text to Parquet or CSV by day"),
-        ("stream", "raw text files to JSON lines as they arrive"),
+        ("stream", "raw text files or Kafka messages to JSON lines as they arrive"),
+        ("stream-counts", "counts by bucket and level to Parquet as they close; wrong clocks apart"),
     ):
         job = command(name, help, "raw", "out")
         job.add_argument("--recursive", action="store_true", help="read subfolders too")
-        if name != "stream":
+        if not name.startswith("stream"):
             job.add_argument("--mode", default="errorifexists", help="errorifexists, append, overwrite")
         if name == "clean":
             job.add_argument("--format", default="parquet", choices=("parquet", "csv"))
             job.add_argument("--without-level", action="append", default=[], metavar="LEVEL")
-        if name == "stream":
+        if name.startswith("stream"):
             job.add_argument("--checkpoint", required=True)
             job.add_argument("--once", action="store_true", help="stop when all present files are read")
+            job.add_argument("--kafka", action="store_true", help="RAW is a topic; servers go in --option")
+            job.add_argument(
+                "--option", action="append", default=[], metavar="NAME=VALUE",
+                help="of the source, such as maxFilesPerTrigger=1000 or kafka.bootstrap.servers=...",
+            )
+        if name == "stream-counts":
+            job.add_argument("--bucket", default="1 hour")
+            job.add_argument("--delay", default="1 hour")
 
     register = command("register", "make stored logs a catalog table", "table", "path")
     register.add_argument("--format", default="json", choices=("json", "parquet", "csv"))
@@ -66,6 +75,13 @@ def show(result: DataFrame | None, rows: int | None = None) -> None:
         print("\t".join(row))
 
 
+def _lines(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    options = dict(pair.split("=", 1) for pair in args.option)
+    if args.kafka:
+        return ll.stream_raw_logs(spark, kafka={"subscribe": args.raw, **options})
+    return ll.stream_raw_logs(spark, args.raw, recursive=args.recursive, **options)
+
+
 def main(argv: list[str] | None = None) -> None:
     args = arguments().parse_args(argv)
     spark = SparkSession.builder.appName(f"lumberline {args.command}").getOrCreate()
@@ -77,9 +93,20 @@ def main(argv: list[str] | None = None) -> None:
                 spark, args.raw, args.out, args.format, args.without_level, args.recursive, args.mode
             )
         case "stream":
-            lines = ll.stream_raw_logs(spark, args.raw, recursive=args.recursive)
             trigger = {"availableNow": True} if args.once else None
-            ll.stream_parse_to_json(lines, args.out, args.checkpoint, trigger).awaitTermination()
+            ll.stream_parse_to_json(_lines(spark, args), args.out, args.checkpoint, trigger).awaitTermination()
+        case "stream-counts":
+            counts = ll.stream_level_counts(_lines(spark, args), args.bucket, args.delay)
+            ahead = ll.stream_ahead_of_arrival(_lines(spark, args))
+            started = []
+            for name, frame in (("counts", counts), ("ahead", ahead)):
+                writer = frame.writeStream.format("parquet").option("path", f"{args.out}/{name}")
+                writer = writer.option("checkpointLocation", f"{args.checkpoint}/{name}").outputMode("append")
+                started.append((writer.trigger(availableNow=True) if args.once else writer).start())
+            if not args.once:
+                spark.streams.awaitAnyTermination()
+            for query in started:
+                query.awaitTermination()
         case "register":
             ll.register_logs(spark, args.table, args.path, args.format, args.partition_by)
         case "tables":

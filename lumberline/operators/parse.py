@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lumberline.functions.parsing import (
@@ -29,10 +31,13 @@ def drop_unparsed(logs: DataFrame) -> DataFrame:
     return logs.filter(F.col("timestamp").isNotNull())
 
 
-def parse_logs(lines: DataFrame) -> DataFrame:
-    """``drop_unparsed(parse_log_lines(lines))`` with the line checked once instead of twice."""
-    valid = lines.filter(is_log_line(F.col("value"))).select(*_line_parts())
-    return valid.select(*[field.alias(name) for name, field in _fields().items()])
+def parse_logs(lines: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """``drop_unparsed(parse_log_lines(lines))`` with the line checked once instead of twice.
+
+    ``keep`` names further columns of ``lines`` to pass on.
+    """
+    valid = lines.filter(is_log_line(F.col("value"))).select(*_line_parts(), *keep)
+    return valid.select(*[field.alias(name) for name, field in _fields().items()], *keep)
 
 
 def _line_parts() -> list[Column]:

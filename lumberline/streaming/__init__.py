@@ -1,6 +1,12 @@
 """Logs as a stream."""
 
-from lumberline.streaming.logs import stream_level_counts, stream_parse_to_json
-from lumberline.streaming.sources import stream_raw_logs
+from lumberline.streaming.logs import stream_ahead_of_arrival, stream_level_counts, stream_parse_to_json
+from lumberline.streaming.sources import message_lines, stream_raw_logs
 
-__all__ = ["stream_level_counts", "stream_parse_to_json", "stream_raw_logs"]
+__all__ = [
+    "message_lines",
+    "stream_ahead_of_arrival",
+    "stream_level_counts",
+    "stream_parse_to_json",
+    "stream_raw_logs",
+]

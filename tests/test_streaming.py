@@ -107,7 +107,37 @@ def test_kafka_needs_its_connector(spark):
     except AnalysisException as error:
         assert "kafka" in str(error)
     else:
-        assert lines.isStreaming and lines.columns == ["value"]
+        assert lines.isStreaming and lines.columns == ["value", "arrived"]
+
+
+def test_messages_as_lines(spark):
+    time = datetime(2024, 1, 1, 1)
+    messages = spark.createDataFrame(
+        [(b"2024-01-01 00:00:00, INFO: a\n", time), (None, time), (b"x\xff\r\n", time), (b"y\n\nz", None)],
+        "value binary, timestamp timestamp",
+    )
+    lines = ll.message_lines(messages)
+    assert [r.value for r in lines.collect()] == ["2024-01-01 00:00:00, INFO: a", None, "x\ufffd", "y\n\nz"]
+    assert [r.message for r in ll.parse_logs(lines).collect()] == ["a"]
+
+
+def test_a_wrong_clock_loses_no_row(spark, folder):
+    raw, out, state = folder("raw"), folder("out"), folder("state")
+    good = [[f"2024-01-0{d} 0{h}:10:00, INFO: x" for h in range(3)] for d in (1, 2, 3)]
+    wrong = ["2098-01-01 00:00:00, ERROR: from the future, (E1)"]
+    for k, lines in enumerate((good[0] + wrong, good[1], good[2])):
+        add_file(raw, f"{k}.log", lines)
+        closed = count_stream(spark, raw, out, state)
+        ahead = ll.stream_ahead_of_arrival(ll.stream_raw_logs(spark, raw))
+        writer = ahead.writeStream.format("json").option("path", folder("ahead"))
+        writer = writer.option("checkpointLocation", folder("ahead-state"))
+        writer.trigger(**NOW).start().awaitTermination()
+    # The last bucket before the newest time, 03 02:10, less an hour is 00:00 of that day.
+    assert [(r[0].day, r[0].hour, r[2]) for r in closed] == [
+        (d, h, 1) for d in (1, 2, 3) for h in range(3) if (d, h) < (3, 1)
+    ]
+    (row,) = spark.read.json(folder("ahead")).collect()
+    assert (row.timestamp, row.id) == ("2098-01-01 00:00:00", "E1")
 
 
 def test_one_source_is_needed(spark):
