@@ -63,3 +63,10 @@ def odd_time_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     line = log_line(time, F.lit("ERROR"), F.col("event_type"), F.concat(F.lit("U"), user))
     return events.select(line.alias("value"))
+
+
+def wrong_clock_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a line, and once more with a clock that is 75 years ahead."""
+    rows = event_rows(spark, sf_dir)
+    ahead = rows.withColumn("event_ts", F.expr("event_ts + INTERVAL '75' YEAR"))
+    return render_log_lines(rows.unionByName(ahead))

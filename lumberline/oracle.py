@@ -14,6 +14,7 @@ from lumberline.schema import (
     DEFAULT_WARNING_PCT,
     ERROR_ID_FIRST,
     LINE_PATTERN,
+    PREVIEW_ROWS,
     WARNING_ID_FIRST,
 )
 from lumberline.sources.synth import DEFAULT_SEED, DEFAULT_START
@@ -107,6 +108,7 @@ _IN_RANGE = (
     f"event_ts >= TIMESTAMP '{RANGE_START} 00:00:00' AND event_ts < TIMESTAMP '{RANGE_END} 00:00:00'"
 )
 _ALL_LOGS = f"{EVENTS} {_COLUMNS} FROM logs"
+_ALL_CLEAN = f"{EVENTS} {_COLUMNS}, event_ts, CAST(event_ts AS DATE) AS day FROM typed"
 _ERROR_COUNTS = EVENTS + _COUNT_BY_ID.format("ERROR")
 _ERRORS_IN_RANGE = f"{EVENTS} {_COLUMNS} FROM typed WHERE level = 'ERROR' AND {_IN_RANGE}"
 _LEVEL_AND_ID = f"""{EVENTS} SELECT level, id, COUNT(*) AS count FROM logs
@@ -117,7 +119,6 @@ def _timeseries(bucket: str) -> str:
     return f"{EVENTS} SELECT {bucket} AS bucket, level, COUNT(*) AS count FROM typed GROUP BY 1, level"
 
 
-# preview_table has no entry: it returns any rows.
 ORACLE: dict[str, str] = {
     "read_raw_logs": f"{EVENTS} SELECT value FROM raw",
     "json_round_trip": _ALL_LOGS,
@@ -125,6 +126,8 @@ ORACLE: dict[str, str] = {
     "raw_to_clean": f"{EVENTS} {_COLUMNS} FROM logs WHERE level <> 'INFO'",
     "parquet_clean": _ERRORS_IN_RANGE,
     "csv_clean": _ALL_LOGS,
+    "parquet_clean_all": _ALL_CLEAN,
+    "csv_clean_all": _ALL_CLEAN,
     "list_tables": f"""{EVENTS} SELECT table_name, (SELECT COUNT(*) FROM logs) AS "rows"
         FROM (VALUES ('parsed_logs'), ('clean_parquet'), ('clean_csv')) AS t(table_name)""",
     "stored_result": _ERROR_COUNTS,
@@ -168,6 +171,8 @@ ORACLE: dict[str, str] = {
     "trend_by_day_and_level": f"""{EVENTS} SELECT CAST(event_ts AS DATE) AS day, level,
         COUNT(*) AS count FROM typed GROUP BY CAST(event_ts AS DATE), level""",
     "catalog_sql": _ERROR_COUNTS,
+    "preview_table": f"""{EVENTS} SELECT least(COUNT(*), {PREVIEW_ROWS}) AS "rows",
+        least(COUNT(*), {PREVIEW_ROWS}) AS rows_in_table FROM logs""",
     "stringify_result": f"""{EVENTS} SELECT COALESCE(id, '') AS id, CAST(COUNT(*) AS VARCHAR) AS count
         FROM logs GROUP BY COALESCE(id, '')""",
     "stream_parse": _ALL_LOGS,
@@ -176,6 +181,14 @@ ORACLE: dict[str, str] = {
         FROM typed GROUP BY 1, level)
         SELECT CAST(bucket AS TIMESTAMP) AS bucket, level, count FROM days
         WHERE bucket + INTERVAL 1 DAY <= (SELECT MAX(event_ts) FROM typed) - INTERVAL {STREAM_DELAY}""",
+    "stream_wrong_clocks": f"""{EVENTS}, days AS (
+        SELECT CAST(date_trunc('DAY', event_ts) AS TIMESTAMP) AS bucket, level, COUNT(*) AS count
+        FROM typed GROUP BY 1, level)
+        SELECT bucket, level, count FROM days
+        WHERE bucket + INTERVAL 1 DAY <= (SELECT MAX(event_ts) FROM typed) - INTERVAL {STREAM_DELAY}
+        UNION ALL
+        SELECT CAST(date_trunc('DAY', event_ts + INTERVAL 75 YEAR) AS TIMESTAMP), level, COUNT(*)
+        FROM typed GROUP BY 1, level""",
     "synthesize_logs": f"""{SYNTHETIC} SELECT file_index, line_no, level, message, id, event_ts
         FROM synthetic""",
     "render_log_lines": f"{EVENTS} SELECT value FROM raw",

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -13,7 +11,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
     Only a local session may go without the setting: there the driver and the tasks are one
-    process, so a temporary folder is shared by construction.
+    process, and a folder beside the tables of its warehouse serves.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -21,14 +19,9 @@ def shared_dir(spark: SparkSession) -> str:
     master = spark.sparkContext.master
     if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_dir(spark.sparkContext.applicationId)
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below :func:`shared_dir` that nothing has used yet."""
     return f"{shared_dir(spark).rstrip('/')}/lumberline/{label}-{uuid.uuid4().hex}"
-
-
-@cache
-def _local_dir(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix="lumberline-")

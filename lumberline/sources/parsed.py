@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections import Counter
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (
@@ -111,27 +111,31 @@ def read_clean_logs(
         # A message is never missing, so a NULL can only be the text that spells one.
         message = F.coalesce(F.col("message"), F.lit(CSV_OPTIONS["nullValue"]))
         logs = logs.withColumn("message", message)
-    return logs
+    # Spark puts the columns that come from folder names last.
+    return logs.select(*schema.names)
 
 
 def store_result(result: DataFrame, location: str, name: str | None = None) -> str:
     """Keeps a query's result as CSV in its own folder below ``location``; returns the folder.
 
-    Nested and binary columns are stored as their text. A column name that occurs again gets its
-    number among its namesakes.
+    Nested and binary columns are stored as their text. A column name that occurs again gets the
+    first number from 2 on that makes a name no column has.
     """
     path = f"{location.rstrip('/')}/{name or uuid.uuid4().hex}"
     numbered = result.toDF(*[str(i) for i in range(len(result.columns))])
-    seen = Counter()
+    taken = {name.lower() for name in result.columns}
+    met: set[str] = set()
     columns = []
     for i, field in enumerate(result.schema.fields):
         cell = F.col(str(i))
-        seen[field.name.lower()] += 1
-        repeat = seen[field.name.lower()]
+        name_here = field.name
+        if name_here.lower() in met:
+            numbered_names = (f"{field.name}_{k}" for k in count(2))
+            name_here = next(n for n in numbered_names if n.lower() not in taken)
+            taken.add(name_here.lower())
+        met.add(name_here.lower())
         columns.append(
-            (cell.cast("string") if isinstance(field.dataType, _STORED_AS_TEXT) else cell).alias(
-                field.name if repeat == 1 else f"{field.name}_{repeat}"
-            )
+            (cell.cast("string") if isinstance(field.dataType, _STORED_AS_TEXT) else cell).alias(name_here)
         )
     numbered.select(*columns).write.mode("errorifexists").options(**CSV_OPTIONS).csv(path)
     return path

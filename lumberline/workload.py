@@ -14,6 +14,7 @@ from lumberline.datasets import (
     event_rows,
     odd_time_lines,
     read_table,
+    wrong_clock_lines,
 )
 from lumberline.scratch import scratch_path
 
@@ -133,6 +134,20 @@ def csv_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _columns(ll.read_clean_logs(spark, _clean_folder(spark, sf_dir, "csv"), "csv"))
 
 
+def parquet_clean_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows with their times, stored in one folder."""
+    path = scratch_path(spark, "parquet")
+    ll.write_clean_logs(_logs(spark, sf_dir), path, partition_by=None)
+    return ll.read_clean_logs(spark, path)
+
+
+def csv_clean_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows with their times, in folders by level."""
+    path = scratch_path(spark, "csv")
+    ll.write_clean_logs(_logs(spark, sf_dir), path, "csv", partition_by="level")
+    return ll.read_clean_logs(spark, path, "csv")
+
+
 def list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The listed tables of a database holding the logs in all three formats, with their rows."""
     database = f"logs_{uuid.uuid4().hex}"
@@ -277,7 +292,13 @@ def catalog_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def preview_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ll.preview_table(spark, _logs_table(spark, sf_dir))
+    """How many rows a preview has, and how many of them are the table's; which ones is chance."""
+    table = _logs_table(spark, sf_dir)
+    shown, own = ll.preview_table(spark, table), spark.table(table).distinct()
+    alike = [F.col(f"own.{c}").eqNullSafe(F.col(f"shown.{c}")) for c in own.columns]
+    # A preview of an empty table still gives a row of zeros.
+    met = shown.alias("shown").join(own.withColumn("known", F.lit(True)).alias("own"), alike, "left")
+    return met.agg(F.count("*").alias("rows"), F.count("known").alias("rows_in_table"))
 
 
 def stringify_result(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -359,10 +380,28 @@ def stream_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_level_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = ll.stream_raw_logs(spark, _raw_folder(spark, sf_dir))
-    counts = ll.stream_level_counts(lines, STREAM_BUCKET, STREAM_DELAY)
-    out, checkpoint = scratch_path(spark, "stream-counts"), scratch_path(spark, "stream-state")
+    return _streamed(spark, ll.stream_level_counts(lines, STREAM_BUCKET, STREAM_DELAY))
+
+
+def stream_wrong_clocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of events among lines of a far future, and how many of those came out apart."""
+
+    def make() -> str:
+        path = scratch_path(spark, "wrong-clocks")
+        wrong_clock_lines(spark, sf_dir).write.text(path)
+        return path
+
+    folder = _once(spark, sf_dir, "wrong clocks", make)
+    counts = _streamed(spark, ll.stream_level_counts(ll.stream_raw_logs(spark, folder), STREAM_BUCKET, STREAM_DELAY))
+    ahead = _streamed(spark, ll.stream_ahead_of_arrival(ll.stream_raw_logs(spark, folder)))
+    day = F.to_timestamp_ntz(F.substring("timestamp", 1, 10), F.lit("yyyy-MM-dd")).alias("bucket")
+    return counts.unionByName(ahead.groupBy(day, "level").count())
+
+
+def _streamed(spark: SparkSession, stream: DataFrame) -> DataFrame:
+    out, checkpoint = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-state")
     (
-        counts.writeStream.format("parquet")
+        stream.writeStream.format("parquet")
         .option("path", out)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
@@ -370,7 +409,7 @@ def stream_level_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .start()
         .awaitTermination()
     )
-    return spark.read.schema(counts.schema).parquet(out)
+    return spark.read.schema(stream.schema).parquet(out)
 
 
 # Synthesis
@@ -404,6 +443,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         raw_to_clean,
         parquet_clean,
         csv_clean,
+        parquet_clean_all,
+        csv_clean_all,
         list_tables,
         stored_result,
         cached_result,
@@ -435,6 +476,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stringify_result,
         stream_parse,
         stream_level_counts,
+        stream_wrong_clocks,
         synthesize_logs,
         render_log_lines,
         write_raw_logs,

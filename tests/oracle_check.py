@@ -16,6 +16,7 @@ DEFAULT_FOLDER = "/root/testdata/sf0.01"
 TYPES = {
     "string": "VARCHAR",
     "bigint": "BIGINT",
+    "int": "INTEGER",
     "double": "DOUBLE",
     "date": "DATE",
     "timestamp_ntz": "TIMESTAMP",

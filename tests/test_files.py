@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import gzip
 import json
+import uuid
 from pathlib import Path
 
 import pytest
@@ -260,3 +261,23 @@ def test_time_is_stored_whatever_the_folders_are_by(spark, folder, format, by):
     assert sorted((str(r.day), r["count"]) for r in logs.groupBy("day").count().collect()) == [
         ("2024-01-05", 1), ("2024-01-06", 1),
     ]
+
+
+@pytest.mark.parametrize("format", ["parquet", "csv"])
+@pytest.mark.parametrize("partition_by", [None, "day", "level"])
+def test_time_is_stored_whatever_the_folders(spark, folder, format, partition_by):
+    lines = [(f"2024-01-0{1 + k % 3} 00:00:00", "ERROR" if k % 2 else "INFO", "m", None) for k in range(20)]
+    logs = spark.createDataFrame(lines, ll.LOG_SCHEMA)
+    ll.write_clean_logs(logs, folder("clean"), format, partition_by)
+    clean = ll.read_clean_logs(spark, folder("clean"), format)
+    assert rows(clean) == rows(ll.with_event_time(logs))
+    assert rows(ll.count_per_day(clean)) == rows(ll.count_per_day(logs)) != []
+    name = f"logs_{uuid.uuid4().hex}.clean"
+    ll.register_logs(spark, name, folder("clean"), format, partition_by, ll.CLEAN_SCHEMA)
+    assert rows(ll.count_per_day(spark.table(name))) == rows(ll.count_per_day(logs))
+
+
+def test_stored_names_are_told_apart(spark, folder):
+    result = spark.sql("SELECT 1 AS a, 2 AS a, 3 AS a_2, 4 AS A")
+    path = ll.store_result(result, folder("results"))
+    assert spark.read.option("header", True).csv(path).columns == ["a", "a_3", "a_2", "A_4"]
