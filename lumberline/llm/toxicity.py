@@ -52,7 +52,8 @@ def subwords(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     value = np.zeros(len(data), np.uint64)
     for n in range(1, max(GRAMS) + 1):
         shifted = np.zeros(len(data), np.uint64)
-        shifted[: len(data) - n + 1] = data[n - 1 :]
+        later = data[n - 1 :]
+        shifted[: len(later)] = later
         value = (value + shifted + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
         if n in GRAMS:
             fits = left >= n
