@@ -383,6 +383,34 @@ def test_lm_chances_add_up_to_one():
     assert 0 < sum(whole) < 1
 
 
+def test_lm_mixes_every_bit_under_every_context():
+    """What a word costs depends on the two before it down to its last bit, and nothing is left to a fixed table."""
+    n = 1 << 10
+    words = np.sort(np.random.default_rng(1).integers(10, 1 << 60, n).astype(np.uint64))
+    counts = np.full(n, 7)
+    code, ways = mixing_lm.build_code(words, counts, 7)
+    symbol, nodes, _, mixed = ways
+    assert mixed.all() and len(code.nodes) == len(nodes) and np.diff(code.first).min() >= 10
+    _, rest = mixing_lm.first_context(code, ways, np.ones((mixing_lm.FREQUENT + 1, n + 1), np.int64), 4.0)
+    assert not rest.any()
+    tokens = mixing_lm.Tokens(pa.array(["a b c", "d b c", "b c"]))
+    last, two = code.contexts(tokens, np.zeros(len(tokens.code), np.int64))[1:]
+    after = tokens.position == np.array([2] * 4 + [2] * 4 + [1] * 3)  # "c" of each text
+    assert len(set(last[after].tolist())) == 1 and len(set(two[after].tolist())) == 3
+    # Ten sightings of one word after the same two raise its chance at the deepest bits too.
+    empty, own = np.zeros(1 << 20), np.zeros(2 << 20)
+    target = 3
+    slot = mixing_lm._slot(np.repeat(two[after][:1], np.diff(code.first)[target]), code.expand(np.array([target]))[0])
+    np.add.at(own, 2 * slot + code.expand(np.array([target]))[1], 10)
+    blank = mixing_lm._pairs(empty, empty, 4.0)
+    seen = mixing_lm._pairs(own[1::2], own[::2] + own[1::2], 4.0)
+    symbols = np.full(len(tokens.code), n)
+    symbols[after] = target
+    model = mixing_lm.Model(code, [blank, blank, seen], rest, [blank] * 4, words, counts, True, 7 * n, n)
+    a, d, _ = mixing_lm.code_scores(model, tokens, symbols)
+    assert a - d > 2  # of about three for ten bits that cost a half each
+
+
 def test_toxicity(spark, docs, empty):
     bad = ["zorgle", "blatfen", "grumsk"]
     rows, labels = [], []
