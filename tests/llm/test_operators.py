@@ -411,6 +411,43 @@ def test_lm_mixes_every_bit_under_every_context():
     assert a - d > 2  # of about three for ten bits that cost a half each
 
 
+def test_lm_start_is_learnt(spark):
+    """The start weights come from the training texts, short texts gain by them, and spelled words are mixed too."""
+    rng = random.Random(5)
+    follows = {w: rng.sample(VOCABULARY, 2) for w in VOCABULARY}
+
+    def chain(n):
+        words = [rng.choice(VOCABULARY)]
+        while len(words) < n:
+            words.append(rng.choice(follows[words[-1]]))
+        return " ".join(words)
+
+    texts = spark.createDataFrame([(chain(30),) for _ in range(400)], "text string")
+    model, _ = mixing_lm.train(texts, "text")
+    weights, refined = mixing_lm.constant_start()
+    used = np.abs(model.start - weights) > 0.01
+    assert used[:, :mixing_lm.CODED_GATES].any() and model.refined.shape == refined.shape and model.refined.any()
+    short = mixing_lm.Tokens(pa.array([chain(8) for _ in range(200)]))
+    symbols = model.code.symbols(short.code_hashes)[short.code]
+    fixed = model._replace(start=None, refined=None)
+    assert mixing_lm.code_scores(model, short, symbols).sum() > mixing_lm.code_scores(fixed, short, symbols).sum()
+    # A word without a code is refined as it comes again; before, each sighting cost the same.
+    again = mixing_lm.Tokens(pa.array([" ".join(["qqxqq"] * n) for n in (1, 2, 40, 41)]))
+    symbols = model.code.symbols(again.code_hashes)[again.code]
+    steps = mixing_lm.steps(model, again, symbols)
+    assert (steps.gate >= mixing_lm.CODED_GATES).sum() == 8 * 6 * (1 + 2 + 40 + 41)
+    one, two, forty, more = mixing_lm.code_scores(model, again, symbols)
+    assert more - forty > two - one
+
+
+def test_lm_own_sighting_is_left_out():
+    total = np.array([1, 1, 2, 7, 50, 1000])
+    ones = np.array([0, 1, 1, 3, 50, 10])
+    bits = np.array([0, 1, 0, 1, 1, 0])
+    found = mixing_lm._without(mixing_lm._pairs(ones, total, 4.0), bits, 4.0)
+    assert np.allclose(found, mixing_lm._pairs(ones - bits, total - 1, 4.0), atol=1e-3)
+
+
 def test_toxicity(spark, docs, empty):
     bad = ["zorgle", "blatfen", "grumsk"]
     rows, labels = [], []
