@@ -65,12 +65,15 @@ def subwords(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First word and size of each window, and the first window of each document (and the end)."""
+    """First word and size of each window, and the first window of each document (and the end).
+
+    Windows begin at every word from which ``WINDOW`` words follow; a shorter text is one window.
+    """
     counts = np.diff(first)
-    n = -(-counts // WINDOW)
+    n = np.where(counts > 0, np.maximum(counts - WINDOW + 1, 1), 0)
     of_document = np.concatenate([[0], np.cumsum(n)])
     owner = np.repeat(np.arange(len(counts)), n)
-    begin = first[:-1][owner] + (np.arange(len(owner)) - of_document[owner]) * WINDOW
+    begin = first[:-1][owner] + (np.arange(len(owner)) - of_document[owner])
     return begin, np.minimum(begin + WINDOW, first[1:][owner]) - begin, of_document
 
 
@@ -83,7 +86,10 @@ def strongest(of_word: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nd
     best, at, length = np.zeros(len(first) - 1), first[:-1].copy(), np.zeros(len(first) - 1, np.int64)
     some = np.diff(of_document) > 0
     if some.any():
-        means = np.add.reduceat(of_word, begin) / WINDOW
+        means = np.zeros(len(begin))
+        for k in range(WINDOW):  # in the same order for every window, so that equal windows are equal
+            means += np.where(size > k, of_word[np.minimum(begin + k, len(of_word) - 1)], 0)
+        means /= WINDOW
         best[some] = np.maximum.reduceat(means, of_document[:-1][some])
         owner = np.repeat(np.arange(len(best)), np.diff(of_document))
         top = np.flatnonzero(means == best[owner])[::-1]  # the first of equal ones is set last

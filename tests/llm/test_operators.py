@@ -477,6 +477,14 @@ def test_toxicity(spark, docs, empty):
     assert toxicity.score_toxicity(empty, model).count() == 0
 
 
+def test_toxic_phrase_counts_the_same_wherever_it_stands():
+    phrase, rest = [3.0, 3.0, 3.0, 3.0], [-1.0] * 20
+    for shift in range(9):
+        value = np.array(rest[:shift] + phrase + rest[shift:])
+        best, at, size = toxicity.strongest(np.concatenate([value, [2.0, 1.0]]), np.array([0, 24, 24, 26]))
+        assert best.tolist() == [3.0, 0.0, 0.75] and at.tolist()[0] == shift and size.tolist() == [4, 0, 2]
+
+
 def test_sentencepiece(docs, empty):
     coded = sentencepiece_codec.encode(docs, PIECE_MODEL)
     back = sentencepiece_codec.decode(coded, PIECE_MODEL)
