@@ -7,7 +7,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lumberline.llm.common import OWN, crc_mod, of
 from lumberline.llm.words import Words, flat, slices
@@ -17,7 +17,8 @@ GRAMS = (3, 4, 5)
 DIMENSIONS = 8
 #: The fit uses so many labelled rows of each class at most, of texts up to so many characters.
 SAMPLE_ROWS = 2500
-SAMPLE_CHARS = 1 << 14
+#: Of longer texts the sample has so many stretches spread over the whole text, together of so many characters at most.
+SAMPLE_CHARS, STRETCHES = 1 << 14, 8
 #: A text is judged by its strongest stretch of so many words.
 WINDOW = 4
 WHOLE_EPOCHS, WINDOW_EPOCHS, BATCH, RATE = 1, 8, 128, 0.05
@@ -173,11 +174,22 @@ def _bag(at, counts, codes, grams, first):
     return np.repeat(document, size), gram, np.repeat(share, size)
 
 
+def _bounded(text: Column) -> Column:
+    """A text, or where it is long its stretches; words cut at their edges are left out. Null is empty."""
+    length, size = F.length(text), SAMPLE_CHARS // STRETCHES
+    starts = [F.floor((length - size) * k / (STRETCHES - 1)).cast("int") + 1 for k in range(STRETCHES)]
+    parts = []
+    for k, start in enumerate(starts):
+        edges = "|".join([r"^\S*\s"] * (k > 0) + [r"\s\S*$"] * (k < STRETCHES - 1))
+        parts.append(F.regexp_replace(F.substring(text, start, F.lit(size - 1)), edges, ""))
+    return F.coalesce(F.when(length <= SAMPLE_CHARS, text).otherwise(F.concat_ws(" ", *parts)), F.lit(""))
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """A model from labelled documents whose crc32(id) mod 3 is not 1.
 
     ``labels`` has the id and ``toxic``. Of each class at most ``SAMPLE_ROWS`` rows are used, drawn
-    by a hash of the id, so the driver holds a bounded sample; classes weigh as in all labelled
+    by a hash of the id, and of a long text stretches spread over it, so the driver holds a bounded sample; classes weigh as in all labelled
     rows. Rows whose label is null don't count; of several labels of one id the largest does.
     Without labelled rows of both classes the model is the prior.
     """
@@ -194,8 +206,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     ]
     # Bounded by the limits above.
     sample = F.broadcast(drawn[0].unionByName(drawn[1]))
-    texts = of(docs, id=id_col, text=text_col).filter(F.length(OWN + "text") <= SAMPLE_CHARS)
-    rows = texts.join(sample, OWN + "id").orderBy(OWN + "id", OWN + "text").toArrow()
+    texts = of(docs, id=id_col, text=text_col)
+    chosen = texts.join(sample, OWN + "id").withColumn(OWN + "text", _bounded(F.col(OWN + "text")))
+    rows = chosen.orderBy(OWN + "id", OWN + "text").toArrow()
     toxic = rows.column(OWN + "toxic").to_numpy().astype(np.int64)
     n = np.maximum(np.bincount(toxic, minlength=2), 1)
     if min(share.get(0, 0), share.get(1, 0)) == 0 or len(toxic) == 0 or len(set(toxic)) < 2:

@@ -477,6 +477,23 @@ def test_toxicity(spark, docs, empty):
     assert toxicity.score_toxicity(empty, model).count() == 0
 
 
+def test_toxicity_learns_from_long_texts(spark):
+    """All rows of a class are longer than the sample's bound, and only the end of a text tells."""
+    rows = [(k, " ".join([sentence(5000), "zorgle blatfen grumsk " * 500 if k % 2 else ""])) for k in range(60)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, toxic int")
+    model = toxicity.fit_toxicity(texts, labels)
+    bad, good = toxicity.scores(model, pa.array([f"{sentence(30)} zorgle blatfen grumsk zorgle", sentence(40)]))
+    assert bad > 0.7 > 0.5 > good
+    cut = texts.select(toxicity._bounded(F.col("text")).alias("t"), F.col("text").alias("whole")).collect()
+    for row in cut:
+        assert len(row.t) <= toxicity.SAMPLE_CHARS and set(row.t.split()) <= set(row.whole.split())
+        assert row.t.split()[0] == row.whole.split()[0] and row.t.split()[-1] == row.whole.split()[-1]
+    odd = spark.createDataFrame([("x" * 40000, 1), ("a b", 2), (None, 3)], "text string, k int").orderBy("k")
+    one, short, none = [r[0] for r in odd.select(toxicity._bounded(F.col("text"))).collect()]
+    assert len(one) <= toxicity.SAMPLE_CHARS and set(one) <= {"x", " "} and "x" in one and (short, none) == ("a b", "")
+
+
 def test_toxic_phrase_counts_the_same_wherever_it_stands():
     phrase, rest = [3.0, 3.0, 3.0, 3.0], [-1.0] * 20
     for shift in range(9):
