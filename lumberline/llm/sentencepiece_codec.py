@@ -34,6 +34,9 @@ REMEMBERED_CHARS = 64
 class Pieces:
     """The pieces of a model file, which are searched as a unigram model by their scores.
 
+    The method is a Viterbi search; of a BPE file, whose scores are minus the merge rank, it gives other ids than
+    SentencePiece's merges: for 41.9 % of the occurrences of the 20,000 commonest words of sf0.01.
+
     A character without a piece is written as the byte pieces of its UTF-8. Control and unknown
     pieces are never chosen.
     """
