@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lumberline.datasets import read_table
 from lumberline.llm import (
+    conversation_repair,
     embedding_dedup,
+    importance,
     line_dedup,
     mixing_lm,
+    mixing_sources,
     packing,
     sentencepiece_codec,
     simhash,
@@ -98,11 +101,40 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = importance.resample(docs, read_table(spark, sf_dir, "benchmark"))
+    names = {"n_features": "features", "weight": "weight", "score": "score", "rank": "rank"}
+    return found.select("doc_id", *[F.col(OWN + own).alias(name) for name, own in names.items()])
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The repair of every conversation after damage; one whose rows are all gone has nothing to repair."""
+    rows = read_table(spark, sf_dir, "conversations")
+    found = conversation_repair.repair_conversations(conversation_repair.damage(rows))
+    keys = rows.select("conv_id", conversation_repair.key_of(F.col("conv_id")).alias("key")).distinct()
+    all_of = keys.join(found.conversations, "key", "left").join(found.digests(), "key", "left")
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return all_of.select(
+        "conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "source")
+    found = mixing_sources.mix(docs, mixing_sources.repeating_weights(docs))
+    size, copies = F.col(OWN + "size"), F.col(OWN + "copies")
+    return found.select(
+        "doc_id", size.alias("size"), F.col(OWN + "source_size").alias("source_size"), F.col(OWN + "target").alias("target"),
+        (copies * size).alias("taken"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_substring_dedup, op3_embedding_dedup, op4_simhash, op5_topk, op6_warc,
-        op7_packing, op8_lm_scoring, op9_toxicity, op10_sentencepiece,
+        op7_packing, op8_lm_scoring, op9_toxicity, op10_sentencepiece, op11_importance,
+        op12_conversation_repair, op13_source_mix,
     )
 }
 
