@@ -199,9 +199,79 @@ ranked AS (
   FROM scored)
 SELECT * FROM ranked WHERE rank <= {topk.K}"""
 
-#: Packing, trained models, 64-bit hashes of shingles and the tokenizer are beyond SQL.
+#: crc32 of the UTF-8 bytes of ``word``; its table follows from the polynomial.
+_CRC_TABLE = """
+crc_steps AS (
+  SELECT i AS n, i::BIGINT AS c, 0 AS step FROM range(256) t(i)
+  UNION ALL
+  SELECT n, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, step + 1 FROM crc_steps WHERE step < 8),
+crc_table AS (SELECT list(c ORDER BY n) AS crc FROM crc_steps WHERE step = 8)"""
+_CRC = """xor(list_reduce(
+    [('0x' || substr(hex(encode(word)), 2 * i + 1, 2))::BIGINT FOR i IN range(length(hex(encode(word))) // 2)],
+    lambda c, b: xor(c >> 8, crc[xor(c & 255, b) + 1]), 4294967295::BIGINT), 4294967295)"""
+#: With runs of one word a text's features are its words; lines don't matter.
+_IMPORTANCE_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_IMPORTANCE = f"""
+WITH RECURSIVE {_CRC_TABLE},
+docs AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         coalesce(regexp_extract_all({_LOWER}, '{_IMPORTANCE_WORDS}'), []) AS words FROM documents),
+own AS (SELECT row, unnest(words) AS word FROM docs),
+wanted AS (SELECT unnest(regexp_extract_all({_LOWER}, '{_IMPORTANCE_WORDS}')) AS word FROM benchmark),
+bucket_of AS (
+  SELECT word, {_CRC} % {importance.BUCKETS} AS bucket
+  FROM (SELECT word FROM own UNION SELECT word FROM wanted), crc_table),
+s AS (SELECT bucket, count(*) AS n FROM own JOIN bucket_of USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM wanted JOIN bucket_of USING (word) GROUP BY bucket),
+sums AS (SELECT (SELECT count(*) FROM own) AS s, (SELECT count(*) FROM wanted) AS t),
+gains AS (
+  SELECT s.bucket, floor(1000 * ln(((coalesce(t.n, 0) + 1) * (sums.s + {importance.BUCKETS}))::DOUBLE
+                                   / ((s.n + 1) * (sums.t + {importance.BUCKETS}))::DOUBLE))::BIGINT AS gain
+  FROM s LEFT JOIN t USING (bucket), sums),
+weighed AS (
+  SELECT row, count(*) AS n, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+  FROM own JOIN bucket_of USING (word) JOIN gains USING (bucket) GROUP BY row),
+scored AS (
+  SELECT row, doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+         + floor(-1000 * ln(-ln((('0x' || substr(sha256(concat('{importance.SEED}:', doc_id)), 1, 8))::UBIGINT + 0.5::DOUBLE)
+                                / 4294967296)))::BIGINT AS score
+  FROM docs LEFT JOIN weighed USING (row)),
+ranked AS (
+  SELECT row, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n
+  FROM scored WHERE n_features >= {importance.LEAST_WORDS})
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= {importance.PERCENT} * n // 100 THEN rank END AS rank
+FROM scored LEFT JOIN ranked USING (row)"""
+
+#: Sources in the order in which they reach their limits; the first ones stay there, the others share the rest.
+_SOURCE_MIX = f"""
+WITH sized AS (
+  SELECT doc_id, text, source, coalesce(len(regexp_extract_all(text, '{_WORDS}')), 0)::BIGINT AS size FROM documents),
+sources AS (SELECT source, sum(size)::BIGINT AS size FROM sized GROUP BY source),
+weights AS (SELECT source, size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w FROM sources),
+filled AS (
+  SELECT *, row_number() OVER steps AS k, coalesce(sum({mixing_sources.MOST} * size) OVER before, 0)::DOUBLE AS cut,
+         sum(w) OVER ()::DOUBLE - coalesce(sum(w) OVER before, 0)::DOUBLE AS free, sum(size) OVER ()::DOUBLE AS total
+  FROM weights
+  WINDOW steps AS (ORDER BY size::DOUBLE / w, source NULLS LAST),
+         before AS (ORDER BY size::DOUBLE / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+level AS (SELECT total - cut AS left_over, free AS shared FROM filled WHERE (total - cut) * w / free <= {mixing_sources.MOST} * size ORDER BY k LIMIT 1),
+targets AS (
+  SELECT source, size, least(left_over * w / shared, ({mixing_sources.MOST} * size)::DOUBLE) AS target,
+         ('0x' || substr(sha256(concat('{mixing_sources.SEED}:', source)), 1, 8))::UBIGINT::DOUBLE / 4294967296 AS start
+  FROM filled, level),
+placed AS (
+  SELECT doc_id, s.size, t.size AS source_size, target, start, CASE WHEN t.size > 0 THEN target / t.size ELSE 0 END AS rate,
+         row_number() OVER (PARTITION BY s.source ORDER BY s.size, doc_id, text) AS place
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target, ((floor(place * rate + start) - floor((place - 1) * rate + start)) * size)::BIGINT AS taken
+FROM placed"""
+
+#: Repair by parsing, packing, trained models, 64-bit hashes of shingles and the tokenizer are beyond SQL.
 ORACLE: dict[str, str] = {
     "op1_line_dedup": _LINE_DEDUP,
     "op2_substring_dedup": _SUBSTRING_DEDUP,
     "op5_topk": _TOPK,
+    "op11_importance": _IMPORTANCE,
+    "op13_source_mix": _SOURCE_MIX,
 }
