@@ -225,26 +225,31 @@ def noise(doc_id: Column, seed: int = SEED) -> Column:
 def resample(
     docs: DataFrame, target: DataFrame, doc_col: str = "doc_id", text_col: str = "text", target_col: str = "text",
     longest: int = LONGEST, buckets: int = BUCKETS, least_words: int = LEAST_WORDS, percent: int = PERCENT, seed: int = SEED,
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """``docs`` with ``_llm_words``, ``_llm_features``, ``_llm_weight``, ``_llm_score`` and ``_llm_rank``.
 
     Features are runs of 1 to ``longest`` consecutive words. Of the N rows with at least ``least_words`` words, those of the
     floor(``percent`` N / 100) highest scores have a rank, from 1; ties go to the smaller id (null first), then in any order
     among rows of one id and score. A null or empty text has no features and weight 0; a null id draws its noise as an
-    empty text does. Rows of equal ids are drawn each for itself. All columns and rows of ``docs`` come back.
+    empty text does. Rows of equal ids are drawn each for itself. All rows of ``docs`` come back, with all columns or
+    those in ``keep``, which saves shuffling the texts where they are not wanted.
     """
+    kept = docs.columns if keep is None else keep
     own = Features(docs, text_col, longest, buckets)
     gain = gains(own.counts(), Features(target, target_col, longest, buckets).counts(), buckets)
     weights = own.weights(gain).select(
         F.col("t").alias(OWN + "t"), F.col("t2").alias(OWN + "t2"), F.col("n_words").alias(OWN + "words"),
         F.col("n_features").alias(OWN + "features"), F.col("weight").alias(OWN + "weight"))
     keyed = docs.withColumns({
-        OWN + "t": F.xxhash64(docs[text_col]), OWN + "t2": F.xxhash64(F.lit(1), docs[text_col]), OWN + "noise": noise(docs[doc_col], seed)})
+        OWN + "t": F.xxhash64(docs[text_col]), OWN + "t2": F.xxhash64(F.lit(1), docs[text_col]), OWN + "noise": noise(docs[doc_col], seed),
+        OWN + "tie": docs[doc_col]})
     named = [OWN + c for c in ("words", "features", "weight")]
     scored = keyed.join(weights.hint("merge"), [OWN + "t", OWN + "t2"], "left").select(
-        *docs.columns, OWN + "noise", *[F.coalesce(c, F.lit(0)).alias(c) for c in named])
+        *kept, OWN + "tie", OWN + "noise", *[F.coalesce(c, F.lit(0)).alias(c) for c in named])
     scored = scored.withColumn(OWN + "score", F.col(OWN + "weight") + F.col(OWN + "noise")).drop(OWN + "noise")
-    return ranked(scored, F.col(OWN + "words") >= least_words, F.col(OWN + "score"), docs[doc_col], percent)
+    found = ranked(scored, F.col(OWN + "words") >= least_words, F.col(OWN + "score"), F.col(OWN + "tie"), percent)
+    return found.drop(OWN + "tie")
 
 
 def ranked(rows: DataFrame, may: Column, score: Column, tie: Column, percent: int) -> DataFrame:
@@ -253,7 +258,7 @@ def ranked(rows: DataFrame, may: Column, score: Column, tie: Column, percent: in
     Scores are whole thousandths of logarithms, of which doubles allow some hundred thousand at most; so the table of how
     many rows have a score, all that a single task sorts, does not grow with the rows. Rows of one score are sorted for themselves.
     """
-    held = Stored(rows.withColumns({OWN + "s": score, OWN + "may": F.coalesce(may, F.lit(False)), OWN + "tie": tie}), "scored").rows
+    held = Stored(rows.withColumns({OWN + "s": score, OWN + "may": F.coalesce(may, F.lit(False)), OWN + "by": tie}), "scored").rows
     counts = held.filter(OWN + "may").groupBy(OWN + "s").agg(F.count("*").alias(OWN + "n"))
     above = Window.orderBy(F.col(OWN + "s").desc()).rowsBetween(Window.unboundedPreceding, -1)
     drawn = F.floor(F.sum(OWN + "n").over(Window.partitionBy()) * percent / 100).cast("long")
@@ -263,7 +268,7 @@ def ranked(rows: DataFrame, may: Column, score: Column, tie: Column, percent: in
     joined = held.join(F.broadcast(table), F.col(OWN + "may") & (F.col(OWN + "s") == F.col(OWN + "of")), "left")
     near = joined.filter(F.col(OWN + "of").isNotNull())
     place = F.col(OWN + "above") + F.row_number().over(
-        Window.partitionBy(OWN + "s").orderBy(F.col(OWN + "tie").asc_nulls_first()))
+        Window.partitionBy(OWN + "s").orderBy(F.col(OWN + "by").asc_nulls_first()))
     columns = rows.columns
     near = near.select(*columns, F.when(place <= F.col(OWN + "drawn"), place).cast("long").alias(OWN + "rank"))
     rest = joined.filter(F.col(OWN + "of").isNull()).select(*columns, F.lit(None).cast("long").alias(OWN + "rank"))

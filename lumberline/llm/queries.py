@@ -103,7 +103,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    found = importance.resample(docs, read_table(spark, sf_dir, "benchmark"))
+    found = importance.resample(docs, read_table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     names = {"n_features": "features", "weight": "weight", "score": "score", "rank": "rank"}
     return found.select("doc_id", *[F.col(OWN + own).alias(name) for name, own in names.items()])
 
