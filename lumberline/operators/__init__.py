@@ -22,8 +22,11 @@ from lumberline.operators.shape import (
     filter_time_range,
     select_log_columns,
 )
+from lumberline.operators.timejoin import as_of_join, band_join, interval_join, overlap_join
 
 __all__ = [
+    "as_of_join",
+    "band_join",
     "count_by_id",
     "count_per_day",
     "counts_by_level_and_id",
@@ -32,7 +35,9 @@ __all__ = [
     "ensure_event_time",
     "filter_level",
     "filter_time_range",
+    "interval_join",
     "level_timeseries",
+    "overlap_join",
     "parse_log_lines",
     "parse_logs",
     "select_log_columns",

@@ -9,6 +9,7 @@ from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lumberline.schema import PREVIEW_ROWS
+from lumberline.sources.results import keep_result
 
 # Double quotes around names are part of Spark's ANSI dialect.
 _DOUBLE_QUOTED_NAMES = ("spark.sql.ansi.enabled", "spark.sql.ansi.doubleQuotedIdentifiers")
@@ -30,10 +31,13 @@ class QueryRefused(ValueError):
 
 
 def run_query(
-    spark: SparkSession, sql: str | None, double_quoted_identifiers: bool = False
-) -> DataFrame | None:
+    spark: SparkSession, sql: str | None, double_quoted_identifiers: bool = False, keep: str | None = None
+) -> DataFrame | str | None:
     """The whole result of a read-only SQL text; ``None`` for an empty text.
 
+    With ``keep`` the result is stored below that location and its id is returned instead;
+    :func:`~lumberline.read_kept_result` gives it back with the types it had.
+
     The text must parse to its end as a query, which no statement that writes, changes settings or
     runs a script does; then it runs as it is. ``SHOW`` and ``DESCRIBE`` run too. A text that is no
     statement at all gives the engine's complaint. Only tables and views can be read, not files by
@@ -48,14 +52,16 @@ def run_query(
         settings |= dict.fromkeys(_DOUBLE_QUOTED_NAMES, "true")
     own = _own_session(spark, settings)
     if _statement(own, text).startswith(_CATALOG_REPORTS):
-        return own.sql(text)
+        result = own.sql(text)
+        return result if keep is None else keep_result(spark, result, keep, text)
     if not _is_query(own, text):
         raise QueryRefused(f"not a read-only query: {text}")
     result = own.sql(text)
     for name in _class_names(result):
         if name in _OUTSIDE_SQL:
             raise QueryRefused(f"{_OUTSIDE_SQL[name]} is not allowed in a query: {text}")
-    return _in_session(spark, result)
+    result = _in_session(spark, result)
+    return result if keep is None else keep_result(spark, result, keep, text)
 
 
 def preview_table(spark: SparkSession, table: str | None, n: int = PREVIEW_ROWS) -> DataFrame | None:

@@ -1,0 +1,383 @@
+"""Rows that others would lose: late ones, torn lines, days written again, stale and half-kept results."""
+
+from __future__ import annotations
+
+import json
+import os
+from collections import Counter
+from datetime import date, datetime, timedelta
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+import lumberline as ll
+from lumberline.streaming import apart
+
+NOW = {"availableNow": True}
+
+
+def rows(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+# Late rows
+
+FIRST = [
+    "2024-01-01 00:10:00, ERROR: a, (E1)", "2024-01-01 00:50:00, ERROR: b, (E2)", "2024-01-01 01:30:00, INFO: c", "junk", "",
+    "9999-99-99 99:99:99, ERROR: no time, (E3)", "2024-01-01 03:30:00, INFO: d",
+    "2098-01-01 00:00:00, ERROR: from the future, (E9)",
+]
+SECOND = [
+    "2024-01-01 00:20:00, ERROR: too late, (E1)", "2024-01-01 00:20:00, ERROR: too late, (E1)",
+    "2024-01-01 02:40:00, INFO: open", "2024-01-01 06:00:00, INFO: e",
+]
+THIRD = ["2024-01-01 02:59:00, INFO: closed by now", "2024-01-01 06:01:00, INFO: f"]
+
+
+def add_file(folder, name, lines):
+    Path(folder).mkdir(exist_ok=True)
+    (Path(folder) / name).write_text("\n".join(lines))
+
+
+def run(spark, raw, out, state):
+    ll.stream_counts_apart(ll.stream_raw_logs(spark, raw), out, state, "1 hour", "1 hour", trigger=NOW).awaitTermination()
+
+
+def kept(spark, out, state):
+    return {
+        "counted": sum(r["count"] for r in ll.read_stream_counts(spark, out, state).collect()),
+        **{k: ll.read_stream_rows(spark, out, state, k).count() for k in apart.KINDS[1:]},
+    }
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_every_row_is_in_one_place(spark, folder, zone):
+    raw, out, state = folder("raw"), folder("out"), folder("state")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        add_file(raw, "1.log", FIRST)
+        run(spark, raw, out, state)
+        assert kept(spark, out, state) == {"counted": 4, "ahead": 1, "late": 0, "untimed": 1}
+        add_file(raw, "2.log", SECOND)
+        run(spark, raw, out, state)
+        # After the first batch the newest time is 03:30, so buckets up to 02:30 are closed.
+        assert kept(spark, out, state) == {"counted": 6, "ahead": 1, "late": 2, "untimed": 1}
+        add_file(raw, "3.log", THIRD)
+        run(spark, raw, out, state)
+        assert kept(spark, out, state) == {"counted": 7, "ahead": 1, "late": 3, "untimed": 1}
+        hour = lambda h: datetime(2024, 1, 1, h)
+        assert rows(ll.read_stream_counts(spark, out, state)) == Counter(
+            [(hour(0), "ERROR", 2), (hour(1), "INFO", 1), (hour(2), "INFO", 1), (hour(3), "INFO", 1), (hour(6), "INFO", 2)])
+        closed = ll.read_stream_counts(spark, out, state, "1 hour", "1 hour")
+        assert rows(closed) == Counter(
+            [(hour(0), "ERROR", 2), (hour(1), "INFO", 1), (hour(2), "INFO", 1), (hour(3), "INFO", 1)])
+        late = ll.read_stream_rows(spark, out, state, "late").select("message", "id", "batch")
+        assert rows(late) == Counter({("too late", "E1", 1): 2, ("closed by now", None, 2): 1})
+        (ahead,) = ll.read_stream_rows(spark, out, state, "ahead").collect()
+        assert ahead.id == "E9" and ahead.arrived is not None
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_a_batch_that_runs_again_changes_nothing(spark, folder):
+    """A crash after the results and before the mark, or after the mark and before Spark's own note of the batch."""
+    raw, out, state = folder("raw"), folder("out"), folder("state")
+    for name, lines in (("1.log", FIRST), ("2.log", SECOND)):
+        add_file(raw, name, lines)
+        run(spark, raw, out, state)
+    whole, parts = kept(spark, out, state), rows(ll.read_stream_counts(spark, out, state))
+    for forget_mark in (False, True):
+        for note in Path(state, "commits").glob("*1*"):
+            note.unlink()
+        for note in Path(state, "commits").glob(".1*"):
+            note.unlink()
+        if forget_mark:
+            for file in Path(state, "lumberline-marks", "batch=1").iterdir():
+                file.unlink()
+            assert kept(spark, out, state)["late"] == 0
+        run(spark, raw, out, state)
+        assert kept(spark, out, state) == whole and rows(ll.read_stream_counts(spark, out, state)) == parts
+
+
+def test_one_scan_for_all_kinds(spark, folder, monkeypatch):
+    """Each batch is one job over its lines: one aggregate, read once."""
+    raw, out, state = folder("raw"), folder("out"), folder("state")
+    add_file(raw, "1.log", FIRST)
+    query = ll.stream_counts_apart(ll.stream_raw_logs(spark, raw), out, state, trigger=NOW)
+    query.awaitTermination()
+    (progress,) = [p for p in query.recentProgress if p.numInputRows]
+    assert progress.numInputRows == len(FIRST)
+
+
+def test_rows_of_unknown_kinds(spark, folder):
+    with pytest.raises(ValueError):
+        ll.read_stream_rows(spark, folder("out"), folder("state"), "counted")
+    assert ll.read_stream_counts(spark, folder("out"), folder("state")).count() == 0
+    assert ll.read_stream_rows(spark, folder("out"), folder("state"), "late").count() == 0
+
+
+# Days written again
+
+LINES = [f"2024-01-0{d} 0{h}:00:00, {level}: m{h}" for d in (1, 2, 3) for h in range(4) for level in ("ERROR", "INFO")]
+LINES += ["9999-99-99 99:99:99, ERROR: no day"]
+
+
+def logs_of(spark, lines):
+    return ll.parse_logs(spark.createDataFrame([(x,) for x in lines], "value string"))
+
+
+@pytest.mark.parametrize("format", ["parquet", "csv"])
+def test_a_day_written_again(spark, folder, format):
+    path = folder("clean")
+    ll.write_clean_logs(logs_of(spark, LINES), path, format)
+    whole = rows(ll.read_clean_logs(spark, path, format))
+    second = [x for x in LINES if x.startswith("2024-01-02")]
+    changed = [x.replace("m", "new ") for x in second[:3]]
+    for lines in (second, second, changed, changed, second):
+        ll.write_clean_logs(logs_of(spark, lines), path, format, mode="replace")
+        found = rows(ll.read_clean_logs(spark, path, format))
+        other = Counter({r: n for r, n in whole.items() if r[-1] != date(2024, 1, 2)})
+        assert found == other + rows(ll.with_event_time(logs_of(spark, lines)))
+    assert found == whole
+    with pytest.raises(ValueError):
+        ll.write_clean_logs(logs_of(spark, second), path, format, partition_by=None, mode="replace")
+
+
+@pytest.mark.parametrize("format", ["parquet", "csv"])
+def test_named_days_become_what_the_logs_hold(spark, folder, format):
+    path = folder("clean")
+    ll.write_clean_logs(logs_of(spark, LINES), path, format)
+    left = [x for x in LINES if not x.startswith("2024-01-02") and not x.startswith("2024-01-03 02")]
+    for _ in range(2):
+        # The first day is not named, so its lack here changes nothing; the second day has no rows any more.
+        own = [x for x in left if not x.startswith("2024-01-01")]
+        ll.replace_days(logs_of(spark, own), path, ["2024-01-02", date(2024, 1, 3)], format)
+        assert rows(ll.read_clean_logs(spark, path, format)) == rows(ll.with_event_time(logs_of(spark, left)))
+    ll.replace_days(logs_of(spark, LINES), path, [], format)
+    assert not Path(path, "day=2024-01-02").exists() and Path(path, "day=2024-01-01").exists()
+
+
+def test_the_job_replaces_days(spark, folder):
+    raw, clean = folder("raw"), folder("clean")
+    add_file(raw, "1.log", LINES)
+    ll.raw_to_clean(spark, raw, clean)
+    add_file(raw, "1.log", [x for x in LINES if "2024-01-03" in x])
+    ll.raw_to_clean(spark, raw, clean, mode="replace")
+    assert ll.read_clean_logs(spark, clean).count() == len(LINES)
+
+
+# Torn lines
+
+GOOD = [
+    {"timestamp": "2024-01-01 00:00:00", "level": "ERROR", "message": 'a "quoted" {brace} \\ }{', "id": "E1"},
+    {"timestamp": "2024-01-01 00:00:01", "level": "INFO", "message": ""},
+    {"timestamp": "2024-01-01 00:00:02", "level": "INFO", "message": "  é }"},
+]
+
+
+def read_apart(spark, path):
+    read = ll.read_with_torn_lines(spark, path)
+    return rows(ll.whole_rows(read)), sorted(r.value for r in ll.torn_lines(read).collect())
+
+
+def as_rows(objects):
+    return Counter((o["timestamp"], o["level"], o["message"], o.get("id")) for o in objects)
+
+
+def test_torn_lines_come_apart(spark, tmp_path):
+    texts = [json.dumps(o, ensure_ascii=False) for o in GOOD]
+    cut = [t[:k] for t in texts for k in range(1, len(t))]
+    cut = [t for t in cut if t.strip()]
+    odd = [
+        texts[0] + texts[1], texts[1] + "xyz", texts[1] + ",", texts[1] + "xyz}", texts[0] + texts[0], f"[{texts[1]}]", "null", "5",
+        "{}", '{"timestamp": "t", "level": "l"}', '{"timestamp": "t", "level": null, "message": "m"}', texts[1][1:], '"text"',
+        texts[0] + texts[2][:10], texts[1] + " {}",
+    ]
+    spaced = [f"  {texts[1]} \t", ""]
+    Path(tmp_path, "logs.json").write_text("\n".join([*texts, *cut, "", " ", *odd, *spaced]))
+    whole, torn = read_apart(spark, str(tmp_path))
+    assert whole == as_rows([*GOOD, GOOD[1]])
+    assert torn == sorted([*cut, *odd])
+
+
+def test_long_and_many_quoted_texts_are_no_trouble(spark, tmp_path):
+    long = {"timestamp": "t", "level": "l", "message": '\\"{}' * 200_000}
+    Path(tmp_path, "logs.json").write_text(json.dumps(long) + "\n" + json.dumps(long)[:-2] + "\n")
+    whole, torn = read_apart(spark, str(tmp_path))
+    assert whole == as_rows([long]) and len(torn) == 1
+
+
+def test_what_was_written_is_read_whole(spark, folder):
+    logs = logs_of(spark, LINES + ['2024-01-01 00:00:00, INFO: }{ "x" \\ {"a": 1}, (I1)'])
+    ll.write_json_logs(logs, folder("json"))
+    read = ll.read_with_torn_lines(spark, folder("json"))
+    assert rows(ll.whole_rows(read)) == rows(logs) and ll.torn_lines(read).count() == 0
+
+
+def test_both_kinds_are_stored_from_one_scan(spark, tmp_path, folder):
+    text = json.dumps(GOOD[0])
+    Path(tmp_path, "in").mkdir()
+    Path(tmp_path, "in", "logs.json").write_text(f"{text}\n{text[:20]}\n{text}\n")
+    ll.write_apart(ll.read_with_torn_lines(spark, str(tmp_path / "in")), folder("out"))
+    assert ll.read_parsed_logs(spark, f"{folder('out')}/kind=whole").count() == 2
+    (torn,) = spark.read.json(f"{folder('out')}/kind=torn").collect()
+    assert torn.torn == text[:20]
+
+
+def test_the_strict_reader_still_fails(spark, tmp_path):
+    Path(tmp_path, "logs.json").write_text('{"timestamp":"t"\n')
+    with pytest.raises(Exception):
+        ll.read_parsed_logs(spark, str(tmp_path)).collect()
+
+
+# Days added to a table
+
+
+def test_only_named_days_are_added(spark, folder):
+    path, table = folder("clean"), "days_db.clean_logs"
+    ll.write_clean_logs(logs_of(spark, [x for x in LINES if "2024-01-01" in x]), path)
+    ll.register_logs(spark, table, path, "parquet", "day")
+    whole = rows(ll.read_clean_logs(spark, path).filter("day = '2024-01-01'"))
+    ll.write_clean_logs(logs_of(spark, LINES), path, mode="replace")
+    assert spark.table(table).select("day").distinct().count() == 1
+    ll.refresh_logs(spark, table, days=["2024-01-02", "2024-01-02", date(2024, 1, 1)])
+    days = {r.day for r in spark.table(table).select("day").distinct().collect()}
+    assert days == {date(2024, 1, 1), date(2024, 1, 2)}
+    ll.refresh_logs(spark, table, days=[None])
+    assert spark.table(table).filter("day IS NULL").count() == 1
+    assert sum(whole.values()) == spark.table(table).filter("day = '2024-01-01'").count()
+    ll.refresh_logs(spark, table, days=[])
+    ll.refresh_logs(spark, table, partitioned=True)
+    assert spark.table(table).count() == len(LINES)
+    with pytest.raises(ValueError):
+        ll.refresh_logs(spark, table, days=["2024-01-01') DROP"])
+
+
+def test_new_files_of_a_known_day_are_found(spark, folder):
+    path, table = folder("clean"), "days_db.more_logs"
+    first = logs_of(spark, LINES[:3])
+    ll.write_clean_logs(first, path)
+    ll.register_logs(spark, table, path, "parquet", "day")
+    assert spark.table(table).count() == 3
+    ll.write_clean_logs(first, path, mode="append")
+    ll.refresh_logs(spark, table, days=["2024-01-01"])
+    assert spark.table(table).count() == 6
+
+
+# Cached and remembered results
+
+
+def test_cached_results_of_quoted_names(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS cached_db")
+    for name in ("cached_db.counts", "`cached_db`.`counts`", "`cached_db`.counts"):
+        found = ll.cache_result(spark, name, spark.range(3).withColumn("k", F.lit(name)))
+        assert {r.k for r in found.collect()} == {name}
+    # Two tables at most stand behind a result: the last one and the one before it.
+    behind = [r.tableName for r in spark.sql("SHOW TABLES IN cached_db").collect()]
+    assert len(behind) == 3
+    assert [r.table_name for r in ll.list_tables(spark, "cached_db").collect()] == ["counts"]
+    assert ll.drop_cached_result(spark, "`cached_db`.`counts`")
+    assert spark.sql("SHOW TABLES IN cached_db").count() == 0
+
+
+def test_readers_of_the_older_result_go_on(spark):
+    older = ll.cache_result(spark, "swapped_result", spark.range(5))
+    ll.cache_result(spark, "swapped_result", spark.range(7))
+    assert older.count() == 5 and spark.table("swapped_result").count() == 7
+    ll.drop_cached_result(spark, "swapped_result")
+
+
+def test_an_answer_knows_when_it_is_stale(spark, folder):
+    path = folder("json")
+    ll.write_json_logs(logs_of(spark, LINES), path)
+
+    def query():
+        return ll.count_by_id(ll.read_parsed_logs(spark, path), "ERROR")
+
+    def asked():
+        found = ll.remembered(spark, query(), "answers_db")
+        return rows(found), tuple(sorted(found.inputFiles()))
+
+    first, files = asked()
+    assert first == rows(query()) and path not in "".join(files)
+    assert asked() == (first, files)
+    ll.write_json_logs(logs_of(spark, LINES[:2]), path, mode="append")
+    second, other = asked()
+    assert other != files and second != first and second == rows(query())
+    assert asked() == (second, other)
+    # A file that is written anew with as many bytes is another file.
+    (changed,) = [f for f in Path(path).glob("*.json") if f.stat().st_size][:1]
+    text = changed.read_bytes()
+    changed.write_bytes(text.replace(b"ERROR", b"OTHER"))
+    Path(path, f".{changed.name}.crc").unlink(missing_ok=True)
+    os.utime(changed, (1, 1))
+    assert asked()[0] != second
+    assert ll.forget_answer(spark, query(), "answers_db") and not ll.forget_answer(spark, query(), "answers_db")
+
+
+def test_different_queries_have_different_answers(spark, folder):
+    path = folder("json")
+    ll.write_json_logs(logs_of(spark, LINES), path)
+    logs = ll.read_parsed_logs(spark, path)
+    for level in ("ERROR", "INFO", "ERROR"):
+        assert rows(ll.remembered(spark, ll.filter_level(logs, level), "answers_db")) == rows(ll.filter_level(logs, level))
+
+
+def test_what_depends_on_more_than_files_is_not_kept(spark, folder):
+    path = folder("json")
+    ll.write_json_logs(logs_of(spark, LINES), path)
+    logs = ll.read_parsed_logs(spark, path)
+    for result in (logs.withColumn("x", F.rand()), logs.withColumn("x", F.current_timestamp()), spark.range(3)):
+        assert ll.remembered(spark, result, "answers_db") is result
+
+
+def test_answers_over_tables(spark, folder):
+    path, table = folder("clean"), "answers_db.clean_logs"
+    ll.write_clean_logs(logs_of(spark, LINES[:4]), path)
+    ll.register_logs(spark, table, path, "parquet", "day")
+    count = lambda: ll.remembered(spark, ll.run_query(spark, f"SELECT count(*) AS n FROM {table}"), "answers_db").first().n
+    assert count() == 4
+    ll.write_clean_logs(logs_of(spark, LINES[:4]), path, mode="append")
+    assert count() == 8
+
+
+# Kept results
+
+
+def test_a_kept_result_comes_back_with_its_types(spark, folder):
+    text = """SELECT 1 AS a, 'x' AS a, CAST(NULL AS STRING) AS b, NULL AS nothing, DATE'2024-01-01' AS d, TIMESTAMP_NTZ'2024-01-01 00:00:00.000001' AS t,
+                     CAST(1.50 AS DECIMAL(10, 2)) AS m, array(1, NULL) AS xs, map('k', struct(1 AS p)) AS kv, X'00FF' AS raw,
+                     INTERVAL '1' DAY AS span, '' AS empty, '\\N' AS n, true AS yes;"""
+    location = folder("kept")
+    assert ll.kept_results(spark, location).count() == 0
+    id = ll.run_query(spark, text, keep=location)
+    result, back = ll.run_query(spark, text), ll.read_kept_result(spark, location, id)
+    assert back.dtypes == result.dtypes
+    assert back.columns == result.columns and [tuple(r) for r in back.collect()] == [tuple(r) for r in result.collect()]
+    (row,) = ll.kept_results(spark, location).collect()
+    assert row.id == id and "INTERVAL" in row.text and datetime.now() - row.kept_at < timedelta(hours=1)
+    assert StructType.fromJson(json.loads(row.schema)).names == result.columns
+
+
+def test_results_are_kept_side_by_side(spark, folder):
+    location = folder("kept")
+    ids = [ll.run_query(spark, f"SELECT * FROM range({n})", keep=location) for n in (0, 3)]
+    assert [ll.read_kept_result(spark, location, id).count() for id in ids] == [0, 3]
+    assert ll.run_query(spark, " ;", keep=location) is None
+    shown = ll.run_query(spark, "SHOW DATABASES", keep=location)
+    assert "default" in {r[0] for r in ll.read_kept_result(spark, location, shown).collect()}
+    assert ll.kept_results(spark, location).count() == 3
+
+
+def test_a_result_that_fails_is_not_kept(spark, folder):
+    location = folder("kept")
+    with pytest.raises(Exception):
+        ll.run_query(spark, "SELECT raise_error('no') AS x FROM range(3)", keep=location)
+    assert ll.kept_results(spark, location).count() == 0
+    with pytest.raises(KeyError):
+        ll.read_kept_result(spark, location, "unknown")
+    with pytest.raises(ll.plans.QueryRefused):
+        ll.run_query(spark, "DROP TABLE x", keep=location)

@@ -1,0 +1,195 @@
+"""Joins by nearness in time against brute force."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter
+from datetime import date, datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+import lumberline as ll
+from lumberline.operators import timejoin
+
+RNG = random.Random(5)
+T0 = datetime(2024, 3, 10, 0, 0)
+
+
+def rows(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+def points(n, hot=True):
+    """``k, t, v`` with a hot key, equal times, NULL keys and NULL times."""
+    out = []
+    for i in range(n):
+        key = None if RNG.random() < 0.05 else 0 if hot and RNG.random() < 0.4 else RNG.randint(1, 5)
+        time = None if RNG.random() < 0.05 else T0 + timedelta(minutes=RNG.randint(0, 60 * 72), microseconds=RNG.randint(0, 1))
+        out.append((key, time, RNG.randint(0, 9)))
+    return out
+
+
+def brute_as_of(left, right, forward, strict, tolerance):
+    out = Counter()
+    for k, t, v in left:
+        best = None
+        for rk, rt, rv in right:
+            if k is None or t is None or rk != k or rt is None:
+                continue
+            gap = rt - t if forward else t - rt
+            if gap < timedelta(0) or (strict and not gap) or (tolerance is not None and gap > tolerance):
+                continue
+            if best is None or (-gap, rv) > best[0]:
+                best = (-gap, rv), (rt, rv)
+        out[(k, t, v, *(best[1] if best else (None, None)))] += 1
+    return out
+
+
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+@pytest.mark.parametrize("forward, strict, tolerance", [
+    (False, False, None), (False, True, None), (True, False, timedelta(minutes=50)), (True, True, None),
+    (False, False, timedelta(hours=3)),
+])
+def test_as_of_join(spark, kind, forward, strict, tolerance):
+    left, right = points(250), points(120)
+    schema = f"k int, t {kind}, v int"
+    found = ll.as_of_join(
+        spark.createDataFrame(left, schema), spark.createDataFrame(right, schema), "t", ["k"],
+        tolerance=tolerance and f"{int(tolerance.total_seconds())} seconds", direction="forward" if forward else "backward",
+        strict=strict)
+    assert found.columns == ["k", "t", "v", "right_t", "right_v"]
+    assert rows(found) == brute_as_of(left, right, forward, strict, tolerance)
+
+
+@pytest.mark.parametrize("bucket", ["1 minute", "1 hour", "400 days"])
+def test_as_of_join_in_any_bucket(spark, bucket):
+    left, right = points(150), points(60)
+    frames = [spark.createDataFrame(r, "k int, t timestamp_ntz, v int") for r in (left, right)]
+    found = ll.as_of_join(*frames, "t", ["k"], bucket=bucket)
+    assert rows(found) == brute_as_of(left, right, False, False, None)
+    inner = ll.as_of_join(*frames, "t", ["k"], bucket=bucket, how="inner")
+    assert rows(inner) == rows(found.filter("right_t IS NOT NULL"))
+
+
+def test_as_of_join_without_keys_by_numbers_and_dates(spark):
+    left = spark.createDataFrame([(5, "a"), (-3, "b"), (None, "c"), (100, "d")], "n long, x string")
+    right = spark.createDataFrame([(-4, "p"), (5, "q"), (5, "r"), (7, None)], "m int, x string")
+    found = ll.as_of_join(left, right, "n", right_on="m", bucket=10)
+    assert rows(found) == Counter([(5, "a", 5, "r"), (-3, "b", -4, "p"), (None, "c", None, None), (100, "d", 7, None)])
+    days = spark.createDataFrame([(date(2024, 1, 5),), (date(1969, 12, 1),)], "d date")
+    found = ll.as_of_join(days, spark.createDataFrame([(date(2024, 1, 1),)], "d date"), "d", bucket="7 days", tolerance="4 days")
+    assert rows(found) == Counter([(date(2024, 1, 5), date(2024, 1, 1)), (date(1969, 12, 1), None)])
+    with pytest.raises(TypeError):
+        ll.as_of_join(left, right, "x")
+    with pytest.raises(ValueError):
+        ll.as_of_join(left, right, "n", right_on="m", direction="nearest")
+
+
+def test_as_of_join_of_empty_sides_and_odd_names(spark):
+    full = spark.createDataFrame([(1, T0, "x")], "`key0` int, `at` timestamp_ntz, `row` string")
+    none = full.filter("false")
+    assert rows(ll.as_of_join(full, none, "at", ["key0"])) == Counter([(1, T0, "x", None, None)])
+    assert rows(ll.as_of_join(none, full, "at", ["key0"])) == Counter()
+    assert rows(ll.as_of_join(full, full, "at", ["key0"])) == Counter([(1, T0, "x", T0, "x")])
+
+
+def test_clocks_are_read_the_same_in_any_zone(spark):
+    """A wall clock that skips or repeats an hour in the session's zone still goes by its own order."""
+    times = [(datetime(2024, 3, 10, 1, 50) + timedelta(minutes=7 * i),) for i in range(20)]
+    frame = spark.createDataFrame(times, "t timestamp_ntz")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        at = frame.select(timejoin.position(F.col("t"), frame.schema["t"].dataType).alias("p"), "t").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert [r.p for r in at] == [int((r.t - datetime(1970, 1, 1)) / timedelta(microseconds=1)) for r in at]
+
+
+def spans(n):
+    out = []
+    for k, t, v in points(n):
+        length = timedelta(minutes=RNG.choice([0, 1, 30, 61, 600, 5000, 100000]), microseconds=RNG.randint(0, 1))
+        out.append((k, t, None if t is None or RNG.random() < 0.05 else t + length, v))
+    return out
+
+
+def brute_overlaps(left, right, with_key=True):
+    out = Counter()
+    for lk, ls, le, lv in left:
+        for rk, rs, re, rv in right:
+            if None in (ls, le, rs, re) or (with_key and (lk is None or lk != rk)):
+                continue
+            if max(ls, rs) < min(le, re):
+                out[(lk, ls, le, lv, rs, re, rv) if with_key else (lk, ls, le, lv, rk, rs, re, rv)] += 1
+    return out
+
+
+SPAN = "k int, s timestamp_ntz, e timestamp_ntz, v int"
+
+
+@pytest.mark.parametrize("by, bucket", [(["k"], "1 hour"), ([], "1 hour"), (["k"], "1 second"), ([], "100 days")])
+def test_overlap_join(spark, by, bucket):
+    left, right = spans(120), spans(90)
+    frames = [spark.createDataFrame(r, SPAN) for r in (left, right)]
+    found = ll.overlap_join(*frames, ("s", "e"), ("s", "e"), by, bucket)
+    assert rows(found) == brute_overlaps(left, right, bool(by))
+
+
+@pytest.mark.parametrize("rows_per_share", [100_000, 3])
+def test_interval_join(spark, monkeypatch, rows_per_share):
+    """Also with hot buckets dealt to many tasks."""
+    monkeypatch.setattr(timejoin, "ROWS_PER_SHARE", rows_per_share)
+    left, right = points(200), spans(80)
+    found = ll.interval_join(
+        spark.createDataFrame(left, "k int, t timestamp_ntz, v int"), spark.createDataFrame(right, SPAN), "t", ("s", "e"), ["k"])
+    tick = timedelta(microseconds=1)
+    pairs = brute_overlaps([(k, t, t and t + tick, v) for k, t, v in left], right)
+    expected = Counter()
+    for (k, t, _, v, *rest), n in pairs.items():
+        expected[(k, t, v, *rest)] += n
+    assert rows(found) == expected
+
+
+def test_band_join(spark):
+    left, right = points(100), points(100)
+    frames = [spark.createDataFrame(r, "k int, t timestamp_ntz, v int") for r in (left, right)]
+    within = timedelta(minutes=20)
+    expected = Counter(
+        (*a, *b) for a in left for b in right if a[1] is not None and b[1] is not None and abs(a[1] - b[1]) <= within)
+    assert rows(ll.band_join(*frames, "t", "20 minutes")) == expected
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_row_meets_every_other(spark):
+    """Without broadcasts too, rows meet by bucket, and a window never holds a whole key."""
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")
+    try:
+        left, right = spark.createDataFrame(spans(30), SPAN), spark.createDataFrame(spans(30), SPAN)
+        plans = [
+            plan_of(ll.overlap_join(left, right, ("s", "e"), ("s", "e"))),
+            plan_of(ll.interval_join(left, right, "s", ("s", "e"))),
+            plan_of(ll.band_join(left, right, "s", "1 hour")),
+        ]
+        as_of = plan_of(ll.as_of_join(left, right, "s", ["k"]))
+    finally:
+        spark.conf.set(setting, before)
+    for plan in plans:
+        assert "NestedLoop" not in plan and "Cartesian" not in plan and "SortMergeJoin" in plan
+    assert "Join" not in as_of and "hashpartitioning(key0" in as_of and "bucket" in as_of
+
+
+def test_a_hot_key_is_spread_over_its_buckets(spark):
+    left = spark.range(20_000).select(F.lit(1).alias("k"), (F.col("id") * 7).alias("t"))
+    right = spark.range(5_000).select(F.lit(1).alias("k"), (F.col("id") * 28 + 3).alias("t"))
+    found = ll.as_of_join(left, right, "t", ["k"], bucket=1000)
+    assert found.filter("right_t IS NULL").count() == 1
+    assert found.filter("right_t <> t - pmod(t - 3, 28)").count() == 0
+    sizes = found.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) < 5000
