@@ -19,6 +19,7 @@ from lumberline.schema import (
 )
 from lumberline.sources.synth import DEFAULT_SEED, DEFAULT_START
 from lumberline.workload import (
+    NAMED_DAYS,
     RANGE_END,
     RANGE_END_TIME,
     RANGE_START,
@@ -102,6 +103,40 @@ synthetic AS (
   FROM draws)
 """
 
+# Errors and warnings of users, and windows of one to a hundred hours after them.
+USERS = EVENTS + """, users AS (
+  SELECT CAST(regexp_extract(message, 'user (\\d+)$', 1) AS BIGINT) AS who, level, event_ts, id FROM typed),
+spans AS (SELECT *, event_ts + to_hours((who % 10 + 1) * (who % 10 + 1)) AS until FROM users),
+errors AS (SELECT * FROM spans WHERE level = 'ERROR'),
+warnings AS (SELECT * FROM spans WHERE level = 'WARNING')
+"""
+
+# Two arrivals of lines: of some users; of the others, once more 75 years ahead, and lines of odd times.
+ARRIVALS = ODD_TIMES.replace("raw AS", "odd_raw AS").replace('"raw"', '"odd_raw"').replace("FROM raw", "FROM odd_raw").replace(
+    "logs AS", "odd_logs AS").replace("FROM logs", "FROM odd_logs").replace("typed AS", "odd AS") + EVENTS.replace("WITH", ",") + f""",
+users AS (SELECT *, CAST(regexp_extract(message, 'user (\\d+)$', 1) AS BIGINT) % 3 = 0 AS second FROM typed),
+mark AS (SELECT max(event_ts) AS newest FROM users WHERE NOT second),
+arrived AS (
+  SELECT level, event_ts, false AS ahead, second FROM users
+  UNION ALL SELECT level, event_ts + INTERVAL 75 YEAR, true, true FROM users WHERE second
+  UNION ALL SELECT level, event_ts, false, true FROM odd),
+judged AS (
+  SELECT CASE WHEN event_ts IS NULL THEN 'untimed' WHEN ahead THEN 'ahead'
+              WHEN second AND date_trunc('DAY', event_ts) + INTERVAL 1 DAY <= newest - INTERVAL {STREAM_DELAY} THEN 'late'
+              ELSE 'counted' END AS kind,
+         CAST(date_trunc('DAY', event_ts) AS TIMESTAMP) AS bucket, level
+  FROM arrived, mark)
+"""
+
+_JSON_LINE = """concat('{"timestamp":"', "timestamp", '","level":"', level, '","message":"', message, '"',
+        CASE WHEN id IS NULL THEN '' ELSE concat(',"id":"', id, '"') END, '}')"""
+# crc32 of a line, modulo 7: bit by bit over its bytes.
+_LINE_NUMBER = """xor(list_reduce(
+        flatten([[('0x' || substr(hex(encode(line)), 2 * i + 1, 2))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]
+                 FOR i IN range(length(hex(encode(line))) // 2)]),
+        lambda c, b: CASE WHEN b >= 0 THEN xor(c, b) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END,
+        4294967295::BIGINT), 4294967295) % 7"""
+
 _COLUMNS = 'SELECT "timestamp", level, message, id'
 _COUNT_BY_ID = "SELECT id, COUNT(*) AS count FROM logs WHERE level = '{}' GROUP BY id"
 _IN_RANGE = (
@@ -132,6 +167,19 @@ ORACLE: dict[str, str] = {
         FROM (VALUES ('parsed_logs'), ('clean_parquet'), ('clean_csv')) AS t(table_name)""",
     "stored_result": _ERROR_COUNTS,
     "cached_result": _ERROR_COUNTS,
+    "replaced_days": f"""{EVENTS} {_COLUMNS} FROM typed WHERE NOT ({_IN_RANGE}) OR level = 'WARNING'""",
+    "replaced_days_csv": f"""{EVENTS} {_COLUMNS} FROM typed WHERE CAST(event_ts AS DATE) <> DATE '{NAMED_DAYS[-1]}'""",
+    "torn_lines_apart": f"""{EVENTS}, lines AS (SELECT *, {_JSON_LINE} AS line FROM logs),
+        numbered AS (SELECT *, {_LINE_NUMBER} AS number FROM lines)
+        {_COLUMNS}, NULL::VARCHAR AS torn FROM numbered WHERE number > 1
+        UNION ALL SELECT NULL, NULL, NULL, NULL, CASE number WHEN 0 THEN substr(line, 1, 40) ELSE line || line END
+        FROM numbered WHERE number <= 1""",
+    "catalog_days": f"""{EVENTS} SELECT CAST(event_ts AS DATE) AS day, level, COUNT(*) AS count FROM typed
+        WHERE CAST(event_ts AS DATE) <= DATE '{NAMED_DAYS[-1]}' GROUP BY 1, level""",
+    "remembered_result": f"""{EVENTS}, counts AS ({_COUNT_BY_ID.format("ERROR")})
+        SELECT asked, CASE asked WHEN 2 THEN 'yes' ELSE 'no' END AS known, id, CASE asked WHEN 3 THEN 2 ELSE 1 END * count AS count
+        FROM counts, (VALUES (1), (2), (3)) AS t(asked)""",
+    "kept_result": f"""{EVENTS} SELECT id, COUNT(*) AS count, min("timestamp") AS first FROM logs GROUP BY id""",
     "parse_log_lines": _ALL_LOGS,
     "parse_keeps_bad_lines": f"""{DOCUMENTS} {_COLUMNS} FROM logs UNION ALL
         SELECT NULL, NULL, NULL, NULL FROM lines WHERE NOT regexp_matches(value, '{LINE_PATTERN}')""",
@@ -170,6 +218,19 @@ ORACLE: dict[str, str] = {
         GROUP BY 1, level""",
     "trend_by_day_and_level": f"""{EVENTS} SELECT CAST(event_ts AS DATE) AS day, level,
         COUNT(*) AS count FROM typed GROUP BY CAST(event_ts AS DATE), level""",
+    "latest_warning_before_error": f"""{USERS} SELECT e.who, e.event_ts, e.id, w.event_ts AS warning_event_ts, w.id AS warning_id
+        FROM errors e ASOF LEFT JOIN warnings w ON e.who = w.who AND e.event_ts >= w.event_ts""",
+    "next_error_after_warning": f"""{USERS} SELECT w.who, w.event_ts, e.event_ts AS error_event_ts
+        FROM warnings w ASOF JOIN errors e ON w.who = e.who AND w.event_ts < e.event_ts
+        WHERE e.event_ts - w.event_ts <= INTERVAL 12 HOUR""",
+    "errors_in_warning_windows": f"""{USERS} SELECT e.who, e.event_ts, w.event_ts AS window_event_ts, w.until AS window_until
+        FROM errors e JOIN warnings w ON e.who = w.who AND e.event_ts >= w.event_ts AND e.event_ts < w.until""",
+    "errors_near_warnings": f"""{USERS} SELECT e.who, e.event_ts, w.who AS warning_who, w.event_ts AS warning_event_ts
+        FROM errors e JOIN warnings w
+        ON e.event_ts >= w.event_ts - INTERVAL 2 MINUTE AND e.event_ts <= w.event_ts + INTERVAL 2 MINUTE""",
+    "overlapping_windows": f"""{USERS} SELECT e.who, e.event_ts, COUNT(*) AS count
+        FROM errors e JOIN warnings w ON e.who = w.who AND e.event_ts < w.until AND w.event_ts < e.until
+        GROUP BY e.who, e.event_ts""",
     "catalog_sql": _ERROR_COUNTS,
     "preview_table": f"""{EVENTS} SELECT least(COUNT(*), {PREVIEW_ROWS}) AS "rows",
         least(COUNT(*), {PREVIEW_ROWS}) AS rows_in_table FROM logs""",
@@ -189,6 +250,15 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT CAST(date_trunc('DAY', event_ts + INTERVAL 75 YEAR) AS TIMESTAMP), level, COUNT(*)
         FROM typed GROUP BY 1, level""",
+    "stream_late_rows": f"{ARRIVALS} SELECT kind, bucket, level, COUNT(*) AS count FROM judged GROUP BY kind, bucket, level",
+    "sql_json": """
+        SELECT event_type, key, COUNT(*) AS n, CAST(sum(value) AS BIGINT) AS total, max(value) AS most
+        FROM (SELECT event_type, key, CAST(json_extract(props, '$."' || key || '"') AS BIGINT) AS value
+              FROM (SELECT event_type, props, unnest(json_keys(props)) AS key FROM events))
+        WHERE value % 2 = 0 GROUP BY event_type, key""",
+    "sql_nested": """
+        SELECT conv_id, role, COUNT(*) AS turns, CAST(sum(coalesce(length(text), 0)) AS BIGINT) AS characters
+        FROM conversations WHERE role IS NOT NULL GROUP BY conv_id, role""",
     "synthesize_logs": f"""{SYNTHETIC} SELECT file_index, line_no, level, message, id, event_ts
         FROM synthetic""",
     "render_log_lines": f"{EVENTS} SELECT value FROM raw",

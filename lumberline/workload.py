@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import lumberline as ll
 from lumberline.datasets import (
@@ -19,6 +19,7 @@ from lumberline.datasets import (
 from lumberline.scratch import scratch_path
 
 RANGE_START, RANGE_END = "2024-01-05", "2024-01-08"
+NAMED_DAYS = ("2024-01-05", "2024-01-06", "2024-01-07")
 RANGE_START_TIME, RANGE_END_TIME = "2024-01-06 09:30:00", "2024-01-20 17:45:00"
 STREAM_BUCKET, STREAM_DELAY = "1 day", "1 hour"
 
@@ -176,6 +177,68 @@ def cached_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ll.run_query(spark, f"SELECT id, count FROM {name}")
 
 
+def replaced_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days of clean files written again, twice, with their warnings alone; all others stay."""
+    path = _clean_folder(spark, sf_dir, "parquet")
+    again = ll.filter_level(ll.filter_time_range(_logs(spark, sf_dir), RANGE_START, RANGE_END), "WARNING")
+    for _ in range(2):
+        ll.write_clean_logs(again, path, mode="replace")
+    return _columns(ll.read_clean_logs(spark, path))
+
+
+def replaced_days_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with CSV, naming the days: one of them has no rows any more, and none of its old ones are left."""
+    path = _clean_folder(spark, sf_dir, "csv")
+    again = ll.filter_time_range(_logs(spark, sf_dir), NAMED_DAYS[0], NAMED_DAYS[-1])
+    for _ in range(2):
+        ll.replace_days(again, path, NAMED_DAYS, "csv")
+    return _columns(ll.read_clean_logs(spark, path, "csv"))
+
+
+def torn_lines_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines of which some are cut off and some glued together: the rows, and the broken lines as they are."""
+    path = scratch_path(spark, "torn")
+    line = F.to_json(F.struct(*ll.LOG_SCHEMA.names))
+    number = F.crc32(line.cast("binary"))
+    torn = F.when(number % 7 == 0, F.substring(line, 1, 40)).when(number % 7 == 1, F.concat(line, line)).otherwise(line)
+    _logs(spark, sf_dir).select(torn.alias("value")).write.text(path)
+    return ll.read_with_torn_lines(spark, path)
+
+
+def catalog_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by day of a table to which only some of the days written later were added."""
+    path, table = scratch_path(spark, "days"), f"logs_{uuid.uuid4().hex}.clean_logs"
+    logs = ll.with_event_time(_logs(spark, sf_dir))
+    ll.write_clean_logs(logs.filter(F.col("day") < RANGE_START), path)
+    ll.register_logs(spark, table, path, "parquet", partition_by="day")
+    ll.write_clean_logs(logs.filter(F.col("day") >= RANGE_START), path, mode="replace")
+    ll.refresh_logs(spark, table, days=NAMED_DAYS)
+    return spark.table(table).groupBy("day", "level").count()
+
+
+def remembered_result(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A count asked for three times: computed, answered from its table, and after a new file computed again."""
+    path, database = _json_folder(spark, sf_dir), f"answers_{uuid.uuid4().hex}"
+    answers, tables = None, []
+    for asked in (1, 2, 3):
+        if asked == 3:
+            ll.write_json_logs(ll.filter_level(_logs(spark, sf_dir), "ERROR"), path, mode="append")
+        found = ll.remembered(spark, ll.count_by_id(ll.read_parsed_logs(spark, path), "ERROR"), database)
+        files = set(found.inputFiles())
+        tables.append(files)
+        known = F.lit("yes" if files in tables[:-1] else "no")
+        rows = found.select(F.lit(asked).alias("asked"), known.alias("known"), "id", "count")
+        answers = rows if answers is None else answers.unionByName(rows)
+    return answers
+
+
+def kept_result(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A query's result kept under an id and read back by it, with the types its manifest names."""
+    location = scratch_path(spark, "kept")
+    text = f"SELECT id, count(*) AS count, min(timestamp) AS first FROM {_logs_table(spark, sf_dir)} GROUP BY id"
+    return ll.read_kept_result(spark, location, ll.run_query(spark, text, keep=location))
+
+
 # Parsing, projections, filters
 
 
@@ -282,6 +345,51 @@ def trend_by_day_and_level(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ll.trend_by_day_and_level(_logs(spark, sf_dir))
 
 
+# Joins by nearness in time
+
+
+def _of_users(spark: SparkSession, sf_dir: str, level: str) -> DataFrame:
+    """``who, event_ts, id`` of one level's rows, and ``until``: from one to a hundred hours later, by user."""
+    logs = ll.with_event_time(ll.filter_level(_logs(spark, sf_dir), level))
+    who = F.regexp_extract("message", r"user (\d+)$", 1).cast("bigint")
+    hours = F.pow(who % 10 + 1, F.lit(2)).cast("int")
+    return logs.select(who.alias("who"), "event_ts", "id", F.timestamp_add("HOUR", hours, "event_ts").alias("until"))
+
+
+def latest_warning_before_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every error with the latest warning of its user."""
+    errors, warnings = (_of_users(spark, sf_dir, level).drop("until") for level in ("ERROR", "WARNING"))
+    return ll.as_of_join(errors, warnings, "event_ts", ["who"], bucket="1 day", prefix="warning_")
+
+
+def next_error_after_warning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Warnings with their user's next error, if it comes within half a day."""
+    errors, warnings = (_of_users(spark, sf_dir, level).drop("until", "id") for level in ("ERROR", "WARNING"))
+    return ll.as_of_join(
+        warnings, errors, "event_ts", ["who"], tolerance="12 hours", direction="forward", strict=True, how="inner",
+        bucket="1 day", prefix="error_")
+
+
+def errors_in_warning_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a warning's window and an error of the same user in it."""
+    errors = _of_users(spark, sf_dir, "ERROR").select("who", "event_ts")
+    windows = _of_users(spark, sf_dir, "WARNING").select("who", "event_ts", "until")
+    return ll.interval_join(errors, windows, "event_ts", ("event_ts", "until"), ["who"], prefix="window_")
+
+
+def errors_near_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of an error and a warning, whoever's, at most two minutes apart."""
+    errors, warnings = (_of_users(spark, sf_dir, level).select("who", "event_ts") for level in ("ERROR", "WARNING"))
+    return ll.band_join(errors, warnings, "event_ts", "2 minutes", prefix="warning_")
+
+
+def overlapping_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many windows of a user's warnings each window of the user's errors overlaps, where there are any."""
+    errors, warnings = (_of_users(spark, sf_dir, level).drop("id") for level in ("ERROR", "WARNING"))
+    pairs = ll.overlap_join(errors, warnings, ("event_ts", "until"), ("event_ts", "until"), ["who"], prefix="warning_")
+    return pairs.groupBy("who", "event_ts").count()
+
+
 # SQL surface
 
 
@@ -294,11 +402,20 @@ def catalog_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 def preview_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many rows a preview has, and how many of them are the table's; which ones is chance."""
     table = _logs_table(spark, sf_dir)
-    shown, own = ll.preview_table(spark, table), spark.table(table).distinct()
-    alike = [F.col(f"own.{c}").eqNullSafe(F.col(f"shown.{c}")) for c in own.columns]
+    path = scratch_path(spark, "preview")
+    ll.preview_table(spark, table).write.parquet(path)
+    own = spark.table(table)
+    shown = spark.read.schema(own.schema).parquet(path)
+
+    def alike(a: str, b: str) -> list[Column]:
+        return [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in own.columns]
+
+    # Ten rows go to every task of the scan, and at most ten come back.
+    known = own.alias("own").join(F.broadcast(shown.alias("asked")), alike("own", "asked"), "left_semi").distinct()
+    known = known.withColumn("known", F.lit(True)).alias("known")
     # A preview of an empty table still gives a row of zeros.
-    met = shown.alias("shown").join(own.withColumn("known", F.lit(True)).alias("own"), alike, "left")
-    return met.agg(F.count("*").alias("rows"), F.count("known").alias("rows_in_table"))
+    met = shown.alias("shown").join(F.broadcast(known), alike("shown", "known"), "left")
+    return met.agg(F.count("*").alias("rows"), F.count("known.known").alias("rows_in_table"))
 
 
 def stringify_result(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -361,6 +478,38 @@ SQL_TEXTS = {
 }
 
 
+# The same over nested values: JSON texts, and arrays of a hundred turns of a conversation at most.
+NESTED_SQL_TEXTS = {
+    "sql_json": """
+        SELECT event_type, key, count(*) AS n, CAST(sum(value) AS BIGINT) AS total, max(value) AS most
+        FROM (SELECT event_type, explode(map_filter(from_json(props, 'MAP<STRING, BIGINT>'), (k, v) -> v % 2 = 0))
+                     AS (key, value) FROM {events}) GROUP BY event_type, key""",
+    "sql_nested": """
+        WITH talks AS (
+          SELECT conv_id, collect_list(struct(role, text)) AS turns FROM {conversations} WHERE role IS NOT NULL
+          GROUP BY conv_id, turn DIV 100),
+        roles AS (
+          SELECT conv_id, map_from_entries(transform(array_distinct(transform(turns, t -> t.role)),
+                   r -> struct(r, transform(filter(turns, t -> t.role = r), t -> coalesce(length(t.text), 0))))) AS lengths
+          FROM talks),
+        said AS (SELECT conv_id, role, texts FROM roles LATERAL VIEW explode(lengths) m AS role, texts)
+        SELECT conv_id, role, CAST(sum(size(texts)) AS BIGINT) AS turns,
+               CAST(sum(aggregate(texts, 0, (a, b) -> a + b)) AS BIGINT) AS characters
+        FROM said GROUP BY conv_id, role""",
+}
+
+
+def _nested_sql_query(text: str) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        names = {}
+        for table in ("events", "conversations"):
+            names[table] = f"{table}_{uuid.uuid4().hex}"
+            read_table(spark, sf_dir, table).createTempView(names[table])
+        return ll.run_query(spark, text.format(**names))
+
+    return query
+
+
 def _sql_query(text: str) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return ll.run_query(spark, text.format(logs=_logs_table(spark, sf_dir)))
@@ -398,6 +547,28 @@ def stream_wrong_clocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.unionByName(ahead.groupBy(day, "level").count())
 
 
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two thirds of the users' events, then the others', wrong clocks and impossible times: what becomes of each row.
+
+    Counts by kind, day and level; a row of no real time has no day.
+    """
+    folder, out, state = (scratch_path(spark, f"late-{name}") for name in ("lines", "out", "state"))
+    events, third = event_rows(spark, sf_dir), F.regexp_extract("message", r"user (\d+)$", 1).cast("bigint") % 3 == 0
+    ahead = events.filter(third).withColumn("event_ts", F.expr("event_ts + INTERVAL '75' YEAR"))
+    second = ll.render_log_lines(events.filter(third).unionByName(ahead)).unionByName(odd_time_lines(spark, sf_dir))
+    for number, lines in enumerate((ll.render_log_lines(events.filter(~third)), second)):
+        lines.write.text(f"{folder}/{number}")
+        arrived = ll.stream_raw_logs(spark, folder, recursive=True)
+        ll.stream_counts_apart(arrived, out, state, STREAM_BUCKET, STREAM_DELAY, trigger={"availableNow": True}).awaitTermination()
+    found = ll.read_stream_counts(spark, out, state).select(
+        F.lit("counted").alias("kind"), "bucket", "level", "count")
+    for kind in ("ahead", "late", "untimed"):
+        rows = ll.with_event_time(ll.read_stream_rows(spark, out, state, kind))
+        counts = rows.groupBy(F.col("day").cast("timestamp_ntz").alias("bucket"), "level").count()
+        found = found.unionByName(counts.withColumn("kind", F.lit(kind)))
+    return found
+
+
 def _streamed(spark: SparkSession, stream: DataFrame) -> DataFrame:
     out, checkpoint = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-state")
     (
@@ -448,6 +619,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         list_tables,
         stored_result,
         cached_result,
+        replaced_days,
+        replaced_days_csv,
+        torn_lines_apart,
+        catalog_days,
+        remembered_result,
+        kept_result,
         parse_log_lines,
         parse_keeps_bad_lines,
         parse_logs,
@@ -471,14 +648,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         level_timeseries_quarter_hour,
         error_series_in_range,
         trend_by_day_and_level,
+        latest_warning_before_error,
+        next_error_after_warning,
+        errors_in_warning_windows,
+        errors_near_warnings,
+        overlapping_windows,
         catalog_sql,
         preview_table,
         stringify_result,
         stream_parse,
         stream_level_counts,
         stream_wrong_clocks,
+        stream_late_rows,
         synthesize_logs,
         render_log_lines,
         write_raw_logs,
     )
-} | {name: _sql_query(text) for name, text in SQL_TEXTS.items()}
+} | {name: _sql_query(text) for name, text in SQL_TEXTS.items()} | {
+    name: _nested_sql_query(text) for name, text in NESTED_SQL_TEXTS.items()
+}
