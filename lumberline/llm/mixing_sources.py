@@ -77,7 +77,7 @@ def source_targets(sources: DataFrame, share: float = 1.0, most: float = MOST) -
 
 def mix(
     docs: DataFrame, weights: DataFrame, doc_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-    share: float = 1.0, most: float = MOST, seed: int = SEED,
+    share: float = 1.0, most: float = MOST, seed: int = SEED, keep: list[str] | None = None,
 ) -> DataFrame:
     """``docs`` with ``_llm_size``, ``_llm_source_size``, ``_llm_target`` and ``_llm_copies``: how often the mix takes it.
 
@@ -89,11 +89,14 @@ def mix(
     its target. The offset depends on ``seed`` and the source only, so reruns agree.
 
     A null source is a source of its own. A null or empty text has size 0 and adds no words. Rows of equal ids and
-    texts are documents of their own. All columns and rows of ``docs`` come back; an empty table gives an empty one.
+    texts are documents of their own. All rows of ``docs`` come back, with all columns or those in ``keep``, which saves
+    shuffling the texts where they are not wanted; an empty table gives an empty one.
     """
+    kept = docs.columns if keep is None else keep
     own = [OWN + c for c in ("size", "source", "tie", "id")]
-    sized = docs.withColumns(dict(zip(own, (
-        size_in_words(docs[text_col]), docs[source_col].cast("string"), text_key(docs[text_col]), docs[doc_col]))))
+    found = (size_in_words(docs[text_col]), docs[source_col].cast("string"), text_key(docs[text_col]), docs[doc_col])
+    # Words are counted once, though sizes are added up, sampled for their ranges, and sorted.
+    sized = Stored(docs.select(*[docs[c] for c in kept], *[c.alias(name) for c, name in zip(found, own)]), "sizes").rows
     sizes = sized.groupBy(F.col(own[1]).alias("source")).agg(F.sum(own[0]).alias("size"))
     wanted = of_weights(weights)
     joined = sizes.join(wanted, sizes["source"].eqNullSafe(wanted[OWN + "named"]), "left").drop(OWN + "named")
@@ -113,7 +116,7 @@ def mix(
     found = placed.join(rates, placed[own[1]].eqNullSafe(rates[OWN + "of"]))
     copies = crossed(F.col(OWN + "place")) - crossed(F.col(OWN + "place") - 1)
     return found.select(
-        *[F.col(c) for c in docs.columns], own[0], OWN + "source_size", OWN + "target", copies.cast("long").alias(OWN + "copies"))
+        *[F.col(c) for c in kept], own[0], OWN + "source_size", OWN + "target", copies.cast("long").alias(OWN + "copies"))
 
 
 def of_weights(weights: DataFrame) -> DataFrame:

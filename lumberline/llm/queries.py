@@ -122,7 +122,7 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "source")
-    found = mixing_sources.mix(docs, mixing_sources.repeating_weights(docs))
+    found = mixing_sources.mix(docs, mixing_sources.repeating_weights(docs), keep=["doc_id"])
     size, copies = F.col(OWN + "size"), F.col(OWN + "copies")
     return found.select(
         "doc_id", size.alias("size"), F.col(OWN + "source_size").alias("source_size"), F.col(OWN + "target").alias("target"),
