@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import lumberline as ll
 from lumberline import schema
+from lumberline.streaming.apart import KINDS
 
 
 def arguments() -> argparse.ArgumentParser:
@@ -24,12 +25,14 @@ def arguments() -> argparse.ArgumentParser:
         ("parse", "raw text to JSON lines"),
         ("clean", "raw text to Parquet or CSV by day"),
         ("stream", "raw text files or Kafka messages to JSON lines as they arrive"),
-        ("stream-counts", "counts by bucket and level to Parquet as they close; wrong clocks apart"),
+        ("stream-counts", "counts by bucket and level; rows that are late, ahead or without a time apart"),
     ):
         job = command(name, help, "raw", "out")
         job.add_argument("--recursive", action="store_true", help="read subfolders too")
         if not name.startswith("stream"):
-            job.add_argument("--mode", default="errorifexists", help="errorifexists, append, overwrite")
+            modes = "errorifexists, append, overwrite (removes all that is there)"
+            modes += ", replace (the days that RAW holds; others stay)" if name == "clean" else ""
+            job.add_argument("--mode", default="errorifexists", help=modes)
         if name == "clean":
             job.add_argument("--format", default="parquet", choices=("parquet", "csv"))
             job.add_argument("--without-level", action="append", default=[], metavar="LEVEL")
@@ -49,11 +52,22 @@ def arguments() -> argparse.ArgumentParser:
     register.add_argument("--format", default="json", choices=("json", "parquet", "csv"))
     register.add_argument("--partition-by", default=None)
 
+    days = command("add-days", "add days that were written to a table by day", "table")
+    days.add_argument("day", nargs="+", help="as 2024-01-31, or none for rows without a day")
+    apart = command("mend", "JSON lines to whole rows and broken lines, apart", "json", "out")
+    apart.add_argument("--mode", default="errorifexists", help="errorifexists, append, overwrite")
+    read = command("stream-result", "what stream-counts has found", "out")
+    read.add_argument("--checkpoint", required=True)
+    read.add_argument("--kind", default="counted", choices=KINDS)
+    command("results", "list the results kept at a location", "location")
+    command("result", "print a kept result", "location", "id")
+
     command("tables", "list the tables of a database", "database")
     command("preview", "some rows of a table", "table")
     command("counts", "errors and warnings by id", "table")
     query = command("query", "run read-only SQL", "sql")
     query.add_argument("--store", metavar="LOCATION", help="keep the whole result there as CSV")
+    query.add_argument("--keep", metavar="LOCATION", help="keep it there with its types, and print its id")
     query.add_argument("--double-quoted-names", action="store_true")
     query.add_argument("--show", type=int, metavar="N", help="print N rows only")
 
@@ -96,17 +110,23 @@ def main(argv: list[str] | None = None) -> None:
             trigger = {"availableNow": True} if args.once else None
             ll.stream_parse_to_json(_lines(spark, args), args.out, args.checkpoint, trigger).awaitTermination()
         case "stream-counts":
-            counts = ll.stream_level_counts(_lines(spark, args), args.bucket, args.delay)
-            ahead = ll.stream_ahead_of_arrival(_lines(spark, args))
-            started = []
-            for name, frame in (("counts", counts), ("ahead", ahead)):
-                writer = frame.writeStream.format("parquet").option("path", f"{args.out}/{name}")
-                writer = writer.option("checkpointLocation", f"{args.checkpoint}/{name}").outputMode("append")
-                started.append((writer.trigger(availableNow=True) if args.once else writer).start())
-            if not args.once:
-                spark.streams.awaitAnyTermination()
-            for query in started:
-                query.awaitTermination()
+            trigger = {"availableNow": True} if args.once else None
+            ll.stream_counts_apart(
+                _lines(spark, args), args.out, args.checkpoint, args.bucket, args.delay, trigger=trigger
+            ).awaitTermination()
+        case "stream-result":
+            if args.kind == "counted":
+                show(ll.read_stream_counts(spark, args.out, args.checkpoint))
+            else:
+                show(ll.read_stream_rows(spark, args.out, args.checkpoint, args.kind))
+        case "mend":
+            ll.write_apart(ll.read_with_torn_lines(spark, args.json), args.out, args.mode)
+        case "add-days":
+            ll.refresh_logs(spark, args.table, days=[None if d == "none" else d for d in args.day])
+        case "results":
+            show(ll.kept_results(spark, args.location))
+        case "result":
+            show(ll.read_kept_result(spark, args.location, args.id))
         case "register":
             ll.register_logs(spark, args.table, args.path, args.format, args.partition_by)
         case "tables":
@@ -116,8 +136,10 @@ def main(argv: list[str] | None = None) -> None:
         case "counts":
             show(ll.dashboard_counts(spark, args.table))
         case "query":
-            result = ll.run_query(spark, args.sql, args.double_quoted_names)
-            if result is not None and args.store:
+            result = ll.run_query(spark, args.sql, args.double_quoted_names, keep=args.keep)
+            if isinstance(result, str):
+                print(result)
+            elif result is not None and args.store:
                 print(ll.store_result(result, args.store))
             else:
                 show(result, args.show)

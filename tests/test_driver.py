@@ -45,17 +45,16 @@ def test_plan_holds_at_scale(spark, name):
     plan = driver.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert not [node for node in NOT_AT_SCALE if node in plan] and "In-memory table" not in plan
     # A window must be spread by a key.
-    assert "Window" not in plan or "hashpartitioning(day" in plan
+    assert "Window" not in plan or "hashpartitioning(day" in plan or "hashpartitioning(key0" in plan
     if "SinglePartition" in plan:
         # One partial sum per task, or ten rows.
         assert name in ("share_by_id", "preview_table")
-    if name != "preview_table":
-        assert "CollectLimit" not in plan and "LocalLimit" not in plan
+    assert "CollectLimit" not in plan and "LocalLimit" not in plan
 
 
 # Spark moves the left side's count above semi and anti joins; the adaptive planner can split that side.
 @pytest.mark.parametrize(
-    "name, whole_sides", [("sql_semi_anti_join", 1), ("sql_set_operations", 0), ("sql_join", 0), ("preview_table", 0)]
+    "name, whole_sides", [("sql_semi_anti_join", 1), ("sql_set_operations", 0), ("sql_join", 0)]
 )
 def test_rows_are_aggregated_before_they_are_joined(spark, name, whole_sides):
     """Joins of big tables shuffle; what they shuffle is counted or made distinct in the tasks first."""
@@ -72,6 +71,16 @@ def test_rows_are_aggregated_before_they_are_joined(spark, name, whole_sides):
     assert below and sum("Aggregate" not in node and "Limit" not in node for node in below) == whole_sides
 
 
+def test_a_preview_does_not_shuffle_its_table(spark):
+    """The ten rows go to the scan of the table."""
+    plan = driver.queries()["preview_table"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    nodes = [line.lstrip(" :+-") for line in plan.splitlines()]
+    (scan,) = [i for i, node in enumerate(nodes) if "FileScan json" in node]
+    above = nodes[:scan]
+    met = max(i for i, node in enumerate(above) if node.startswith("BroadcastHashJoin"))
+    assert "LeftSemi" in above[met] and not [n for n in above[met:] if n.startswith("Exchange")]
+
+
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLE)
 

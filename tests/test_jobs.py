@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import uuid
+from pathlib import Path
 
 import pytest
 
@@ -36,6 +37,43 @@ def test_the_whole_way_on_the_command_line(spark, folder, capsys):
         main(["query", f"DROP TABLE {table}"])
 
 
+def test_days_streams_and_kept_results_on_the_command_line(spark, folder, capsys):
+    table = f"logs_{uuid.uuid4().hex}.clean_logs"
+    raw, clean = folder("raw"), folder("clean")
+    Path(raw).mkdir()
+    lines = [f"2024-01-0{d} 00:00:00, ERROR: x, (E{d})" for d in (1, 2, 3)]
+    Path(raw, "1.log").write_text("\n".join([*lines, "9999-99-99 00:00:00, INFO: x"]))
+    for _ in range(2):
+        main(["clean", raw, clean, "--mode", "replace"])
+    main(["register", table, clean, "--format", "parquet", "--partition-by", "day"])
+    assert spark.table(table).count() == 4
+    Path(raw, "1.log").write_text("2024-01-04 00:00:00, ERROR: x, (E4)\n2024-01-05 00:00:00, ERROR: x, (E5)")
+    main(["clean", raw, clean, "--mode", "replace"])
+    main(["add-days", table, "2024-01-04", "none"])
+    assert spark.table(table).count() == 5
+
+    capsys.readouterr()
+    main(["query", f"SELECT count(*) AS n FROM {table}", "--keep", folder("kept")])
+    id = capsys.readouterr().out.strip()
+    main(["result", folder("kept"), id])
+    assert capsys.readouterr().out.split() == ["n", "5"]
+    main(["results", folder("kept")])
+    assert id in capsys.readouterr().out
+
+    main(["stream-counts", raw, folder("counts"), "--checkpoint", folder("state"), "--once", "--bucket", "1 day"])
+    main(["stream-result", folder("counts"), "--checkpoint", folder("state")])
+    assert capsys.readouterr().out.count("ERROR\t1") == 2
+    main(["stream-result", folder("counts"), "--checkpoint", folder("state"), "--kind", "late"])
+    assert len(capsys.readouterr().out.splitlines()) == 1
+
+    main(["parse", raw, folder("json")])
+    with open(next(Path(folder("json")).glob("*.json")), "a") as file:
+        file.write('{"timestamp": "torn')
+    next(Path(folder("json")).glob(".*.json.crc")).unlink()
+    main(["mend", folder("json"), folder("mended")])
+    assert ll.read_parsed_logs(spark, f"{folder('mended')}/kind=whole").count() == 2
+
+
 def test_results_are_printed_whole(spark, capsys):
     show(spark.range(1500).selectExpr("concat('E', id) AS id", "id AS count"))
     assert capsys.readouterr().out.splitlines() == ["id\tcount", *(f"E{k}\t{k}" for k in range(1500))]
