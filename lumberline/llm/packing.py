@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
 from lumberline.llm.common import OWN, Stored, of, shuffle_partitions, text_key, worker_cache
-from lumberline.llm.words import Words, slices, spread
+from lumberline.llm.words import Words, flat, slices, spread
 
 CAPACITY = 4096
 END = 2
@@ -23,22 +23,49 @@ UNITS = CAPACITY // WIDTH
 #: The linear program ends when its value is proven to be this near the least.
 GAP = 0.002
 MOST_ROUNDS = 4000
-#: Words whose ids a Python worker remembers; it then starts afresh.
+#: Words whose ids a Python worker remembers; it then keeps those that it met again.
 REMEMBERED = 800_000
 #: Bytes of text worked on at once.
 SLICE = 8 << 20
 #: Words encoded at once, and what stands between them.
-AT_ONCE = 5000
+AT_ONCE = 500
 MARK = "\x00"
-PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]?").fullmatch
+PLAIN = r"^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
+
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+#: The second byte of À to ÿ in UTF-8, after 0xC3, without the signs × and ÷.
+_ACCENTED = np.zeros(256, bool)
+_ACCENTED[[b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)]] = True
+_BLANK = np.zeros(256, bool)
+_BLANK[[*range(0x09, 0x0E), 0x20]] = True
+
+
+def spaced(texts: pa.Array) -> pa.Array:
+    """Texts with a blank before each point or comma that ends a word after a letter.
+
+    The tokenizer cuts there anyway, so the ids are the same, and a word has one entry instead of three.
+    """
+    data, offsets = flat(pc.fill_null(texts, ""))
+    at = np.flatnonzero((data == 0x2E) | (data == 0x2C))
+    at = at[np.isin(at, offsets, invert=True, assume_unique=False)] if len(at) else at
+    padded = np.concatenate([np.zeros(2, np.uint8), data, np.full(1, 0x20, np.uint8)])
+    before, earlier, after = padded[at + 1], padded[at], padded[at + 3]
+    letter = _LETTER[before] | (_ACCENTED[before] & (earlier == 0xC3))
+    ends = _BLANK[after] | np.isin(at + 1, offsets)
+    at = at[letter & ends]
+    made = np.insert(data, at, 0x20)
+    moved = offsets + np.searchsorted(at, offsets, side="left")
+    return pa.LargeStringArray.from_buffers(
+        len(texts), pa.py_buffer(moved.astype(np.int64).tobytes()), pa.py_buffer(made.tobytes()))
 
 
 class WordIds:
     """Ids of words. No token spans white space, so a word has the same ids in every text.
 
-    New words are encoded many at once. The tokenizer cuts letters from other signs and ends the last token
-    of each such part with ``</w>``, so words of letters, or of letters and a point or comma, are told apart by
-    the number of their parts; other words get a mark between them that is a token of its own.
+    New words are encoded many at once. The tokenizer ends the last token of each part it cuts with ``</w>``, so words
+    of letters, which are one part, are told apart by these ends; other words get a mark between them that is a
+    token of its own.
     """
 
     def __init__(self, path: str):
@@ -56,17 +83,31 @@ class WordIds:
         self.begins = np.zeros(1 << 12, np.int64)
         self.ids = np.zeros(1 << 14, np.uint32)
         self.used = 0
+        self.again = np.zeros(1 << 12, bool)
+
+    def _clean(self) -> None:
+        """Forgets the words that were not met again since they were learnt."""
+        kept = [w for w, i in self.number.items() if self.again[i]]
+        old = np.fromiter((self.number[w] for w in kept), np.int64, len(kept))
+        sizes = self.sizes[old].astype(np.int64)
+        ids, ends = spread(np.arange(len(old)), sizes, self.ids, self.begins[old])
+        self._forget()
+        if 2 * len(kept) > REMEMBERED:
+            return
+        self.number = dict(zip(kept, range(len(kept))))
+        self.sizes, self.begins = sizes.astype(np.int32), ends[:-1].astype(np.int64)
+        self.ids, self.used = ids.astype(np.uint32), len(ids)
+        self.again = np.zeros(len(kept), bool)
 
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
     def _by_parts(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
         ids = self._encode(" ".join(words))
-        parts = np.fromiter((1 + (w[-1] in ".,") for w in words), np.int64, len(words))
         ends = np.flatnonzero(self.last[ids])
-        if len(ends) != parts.sum() or (len(ids) and ends[-1] != len(ids) - 1):
+        if len(ends) != len(words) or (len(ids) and ends[-1] != len(ids) - 1):
             return None
-        return np.diff(np.concatenate([[-1], ends[np.cumsum(parts) - 1]])), ids
+        return np.diff(np.concatenate([[-1], ends])), ids
 
     def _by_mark(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
         ids = self._encode(f" {MARK} ".join(words))
@@ -83,9 +124,10 @@ class WordIds:
         sizes, ids = found
         n = len(self.number)
         while len(self.sizes) < n + len(words):
-            self.sizes, self.begins = (np.concatenate([x, np.zeros_like(x)]) for x in (self.sizes, self.begins))
+            self.sizes, self.begins, self.again = (
+                np.concatenate([x, np.zeros(len(x) + 64, x.dtype)]) for x in (self.sizes, self.begins, self.again))
         while len(self.ids) < self.used + len(ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+            self.ids = np.concatenate([self.ids, np.zeros(len(self.ids) + 64, self.ids.dtype)])
         self.sizes[n : n + len(words)] = sizes
         self.begins[n : n + len(words)] = self.used + np.cumsum(sizes) - sizes
         self.ids[self.used : self.used + len(ids)] = ids
@@ -94,16 +136,21 @@ class WordIds:
 
     def __call__(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """For distinct words the number of ids of each, and where they begin in ``self.ids``."""
-        texts = words.to_pylist()
-        if len(self.number) + len(texts) > REMEMBERED:
-            self._forget()
-        new = [w for w in texts if w not in self.number]
-        plain = [w for w in new if PLAIN(w)]
-        other = [w for w in new if not PLAIN(w)]
-        for kind in (plain, other):
-            for begin in range(0, len(kind), AT_ONCE):
-                self._learn(kind[begin : begin + AT_ONCE], kind is plain)
-        at = np.fromiter(map(self.number.__getitem__, texts), np.int64, len(texts))
+        if len(self.number) + len(words) > REMEMBERED:
+            self._clean()
+        texts = words.to_numpy(zero_copy_only=False).tolist()
+        get = self.number.get
+        at = np.fromiter((get(w, -1) for w in texts), np.int64, len(texts))
+        new = at < 0
+        self.again[at[~new]] = True
+        if new.any():
+            plain = pc.match_substring_regex(words, PLAIN).to_numpy(zero_copy_only=False)
+            for kind, chosen in ((True, new & plain), (False, new & ~plain)):
+                own = np.flatnonzero(chosen)
+                for begin in range(0, len(own), AT_ONCE):
+                    self._learn([texts[i] for i in own[begin : begin + AT_ONCE].tolist()], kind)
+            own = np.flatnonzero(new)
+            at[own] = np.fromiter((get(texts[i]) for i in own.tolist()), np.int64, len(own))
         return self.sizes[at].astype(np.int64), self.begins[at]
 
 
@@ -132,7 +179,7 @@ def pieces_of(docs: DataFrame, id_col: str, text_col: str, tokenizer: str) -> Da
         for batch in batches:
             for begin, end in slices(batch.column(1), SLICE):
                 part = batch.slice(begin, end - begin)
-                ids, first = document_ids(Words(part.column(1), lower=False), ids_of)
+                ids, first = document_ids(Words(spaced(part.column(1)), lower=False), ids_of)
                 tokens = np.diff(first)
                 n = -(-tokens // CAPACITY)
                 row = np.repeat(np.arange(len(n)), n)
