@@ -1,0 +1,202 @@
+"""WARC records against records written down by hand, and pages that must not take long."""
+
+from __future__ import annotations
+
+import base64
+import gzip
+import hashlib
+import json
+import time
+import zlib
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from lumberline.llm import warc
+
+
+def sha1(data):
+    return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
+
+
+def record(fields, block, version="1.0", length=None):
+    head = "".join(f"{n}: {v}\r\n" for n, v in [*fields, ("Content-Length", len(block) if length is None else length)])
+    return f"WARC/{version}\r\n{head}\r\n".encode() + block + b"\r\n\r\n"
+
+
+def response(number, block, version="1.0", *further):
+    fields = [("WARC-Type", "response"), ("WARC-Record-ID", f"<urn:uuid:{number}>"), ("WARC-Date", "2024-05-06T07:08:09Z"),
+              ("WARC-Target-URI", f"http://site/{number}"), ("WARC-Payload-Digest", f"sha1:PAYLOAD{number}"),
+              ("Content-Type", "application/http; msgtype=response"), *further]
+    return record(fields, block, version)
+
+
+def http(body, *headers):
+    return b"HTTP/1.1 200 OK\r\n" + b"".join(f"{h}\r\n".encode() for h in headers) + b"\r\n" + body
+
+
+HTML = "Content-Type: text/html; charset=utf-8"
+PAGE = "<title>T &amp; U</title><p>one <b>two</b></p><a href='/x'>three</a>".encode()
+FURTHER = [("WARC-IP-Address", "10.0.0.1"), ("WARC-Concurrent-To", "<urn:uuid:a>"), ("WARC-Concurrent-To", "<urn:uuid:b>"),
+           ("WARC-Truncated", "length"), ("X-Own", "folded\r\n  over lines")]
+
+
+def write(path, *records, gz=False):
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
+    Path(path).write_bytes(b"".join(gzip.compress(r) if gz else r for r in records))
+
+
+def read(spark, path):
+    return {r.record_id: r for r in warc.read_warc(spark, str(path)).collect()}
+
+
+@pytest.mark.parametrize("gz", [False, True])
+@pytest.mark.parametrize("version", ["1.0", "1.1"])
+def test_records_are_read_as_they_are(spark, tmp_path, version, gz):
+    blocks = {1: http(PAGE, HTML), 2: b"", 3: b"\r\n\r\n\r\n", 4: bytes(range(256)) * 50}
+    records = [response(k, b, version, *(FURTHER if k == 1 else ())) for k, b in blocks.items()]
+    write(tmp_path / ("a.warc.gz" if gz else "a.warc"), record([("WARC-Type", "warcinfo"), ("WARC-Record-ID", "<i>")], b"software: x\r\n", version), *records, gz=gz)
+    found = read(spark, tmp_path)
+    assert len(found) == 5 and found["<i>"].warc_type == "warcinfo" and bytes(found["<i>"].block) == b"software: x\r\n"
+    for k, b in blocks.items():
+        r = found[f"<urn:uuid:{k}>"]
+        assert bytes(r.block) == b and r.content_length == len(b) and r.target_uri == f"http://site/{k}"
+        assert r.warc_date == "2024-05-06T07:08:09Z" and r.payload_digest == f"sha1:PAYLOAD{k}" and r.refers_to is None
+    first = found["<urn:uuid:1>"]
+    assert first.concurrent_to == "<urn:uuid:a>"
+    assert [tuple(h) for h in first.headers] == [
+        ("WARC-IP-Address", "10.0.0.1"), ("WARC-Concurrent-To", "<urn:uuid:b>"), ("WARC-Truncated", "length"),
+        ("X-Own", "folded over lines")]
+
+
+def test_blocks_that_hold_first_lines_of_records(spark, tmp_path):
+    whole = response(99, http(PAGE, HTML))
+    blocks = {1: b"see WARC/1.0\r\nand WARC/1.1\r\n", 2: whole + whole, 3: b"WARC/1." * 20_000, 4: b"plain", 5: whole[:60]}
+    named = [response(k, b) for k, b in blocks.items()]
+    strange = record([("WARC-Type", "metadata"), ("WARC-Record-ID", "<s>"), ("WARC-Target-URI", "http://x/WARC/1.0")], b"WARC/1.0")
+    write(tmp_path / "odd.warc", *named, strange, response(6, b"last"))
+    write(tmp_path / "plain.warc", response(7, b"seven"), response(8, b""))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("128m", "20k"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            found = warc.read_warc(spark, str(tmp_path)).collect()
+            assert len(found) == len(blocks) + 4
+            by = {r.record_id: bytes(r.block) for r in found}
+            assert all(by[f"<urn:uuid:{k}>"] == b for k, b in blocks.items())
+            assert by["<s>"] == b"WARC/1.0" and by["<urn:uuid:6>"] == b"last" and by["<urn:uuid:7>"] == b"seven"
+            (s,) = [r for r in found if r.record_id == "<s>"]
+            assert s.target_uri == "http://x/WARC/1.0"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("cut", [-1, -30])
+def test_files_that_break_off_are_errors(spark, tmp_path, cut):
+    write(tmp_path / "a.warc", response(1, b"whole"), response(2, http(PAGE, HTML))[:cut])
+    with pytest.raises(Exception, match="not as long as it says"):
+        warc.read_warc(spark, str(tmp_path)).collect()
+
+
+def test_all_headers_come_back(spark, tmp_path):
+    write(tmp_path / "in/a.warc", response(1, http(PAGE, HTML), "1.0", *FURTHER[:4]))
+    records = warc.read_warc(spark, str(tmp_path / "in"))
+    warc.write_warc(records, str(tmp_path / "out"))
+    assert [str(r) for r in warc.read_warc(spark, str(tmp_path / "out")).collect()] == [str(r) for r in records.collect()]
+
+
+def derived(spark, tmp_path, *records):
+    write(tmp_path / "a.warc", *records)
+    made = {}
+    for r in warc.derive(warc.read_warc(spark, str(tmp_path))).collect():
+        made[r.refers_to, r.warc_type] = r
+    return made
+
+
+def test_derived_records_by_hand(spark, tmp_path):
+    made = derived(spark, tmp_path, response(1, http(PAGE, HTML, "Server: s"), "1.1", *FURTHER[:4]))
+    text, described = made["<urn:uuid:1>", "conversion"], made["<urn:uuid:1>", "metadata"]
+    expected = b"T & U\none two\nthree"
+    assert bytes(text.block) == expected and text.content_length == len(expected) and text.block_digest == sha1(expected)
+    assert text.target_uri == "http://site/1" and text.warc_date == "2024-05-06T07:08:09Z"
+    assert text.payload_digest == described.payload_digest == "sha1:PAYLOAD1"
+    assert text.concurrent_to == described.record_id and described.concurrent_to == text.record_id
+    assert json.loads(bytes(described.block)) == {"Envelope": {
+        "WARC-Header-Metadata": {
+            "WARC-Type": "response", "WARC-Record-ID": "<urn:uuid:1>", "WARC-Date": "2024-05-06T07:08:09Z",
+            "WARC-Target-URI": "http://site/1", "WARC-Payload-Digest": "sha1:PAYLOAD1",
+            "Content-Type": "application/http; msgtype=response", "Content-Length": len(http(PAGE, HTML, "Server: s")),
+            "WARC-IP-Address": "10.0.0.1", "WARC-Concurrent-To": ["<urn:uuid:a>", "<urn:uuid:b>"], "WARC-Truncated": "length"},
+        "Payload-Metadata": {"HTTP-Response-Metadata": {
+            "Status": "HTTP/1.1 200 OK", "Headers": [["Content-Type", "text/html; charset=utf-8"], ["Server", "s"]],
+            "Entity-Length": len(PAGE), "Entity-Digest": sha1(PAGE),
+            "HTML-Metadata": {"Title": "T & U", "Links": [{"path": "A@/href", "url": "/x"}]}}}}}
+
+
+def chunked(body, *sizes):
+    out, at = b"", 0
+    for n in [*sizes, len(body) - sum(sizes)]:
+        out += f"{n:X};x=y\r\n".encode() + body[at : at + n] + b"\r\n"
+        at += n
+    return out + b"0\r\n\r\n"
+
+
+def test_bodies_in_chunks_and_compressed(spark, tmp_path):
+    raw = zlib.compressobj(wbits=-15)
+    bare = raw.compress(PAGE) + raw.flush()
+    packed = gzip.compress(PAGE[:20]) + gzip.compress(PAGE[20:])
+    bodies = {
+        1: http(chunked(PAGE, 5, 11), HTML, "Transfer-Encoding: chunked"),
+        2: http(packed, HTML, "Content-Encoding: gzip"), 3: http(zlib.compress(PAGE), HTML, "content-encoding: deflate"),
+        4: http(bare, HTML, "Content-Encoding: deflate"),
+        5: http(chunked(packed, 7), HTML, "Content-Encoding: GZIP", "Transfer-Encoding: chunked"),
+        6: http(PAGE, HTML, "Content-Encoding: br"), 7: http(b"", HTML, "Content-Encoding: gzip"),
+        8: http(PAGE, HTML, "Transfer-Encoding: chunked"), 9: http(PAGE, HTML, "Content-Encoding: gzip"),
+    }
+    made = derived(spark, tmp_path, *[response(k, b) for k, b in bodies.items()])
+    text = {k: bytes(made[f"<urn:uuid:{k}>", "conversion"].block).decode() for k in bodies if k != 6}
+    plain = "T & U\none two\nthree"
+    assert text == {1: plain, 2: plain, 3: plain, 4: plain, 5: plain, 7: "", 8: plain, 9: plain}
+    assert ("<urn:uuid:6>", "conversion") not in made
+    entity = json.loads(bytes(made["<urn:uuid:1>", "metadata"].block))["Envelope"]["Payload-Metadata"]["HTTP-Response-Metadata"]
+    assert entity["Entity-Length"] == len(PAGE) and entity["Entity-Digest"] == sha1(PAGE)
+
+
+@pytest.mark.parametrize("unit", [
+    "<a href ", "<a href=\"", "<a href='x", "<script>", "<script ", "<!--", "<!-- <a ", "<title>", "<", "</", "<p", "<template><noscript>",
+    "<a href=x>", "<style><b>", "&amp", "<a\thref\t", "<link src=\"><", "</script", "<title", " ", "\n<br>",
+])
+def test_pages_of_open_tags_take_no_time(unit):
+    page = unit * ((1 << 20) // len(unit))
+    began = time.process_time()
+    warc.Page(page)
+    once = time.process_time() - began
+    assert once < 4
+    began = time.process_time()
+    warc.Page(page * 2)
+    assert time.process_time() - began < 4 * once + 0.5
+
+
+def test_text_links_and_title():
+    page = warc.Page(
+        "<HTML><Head><TITLE lang=en> A &lt; B </TITLE><style>p {x: '<p>'}</style><SCRIPT src='s.js'>if (a<b) '<a href=\"no\">'</SCRIPT >"
+        "</head><body><!-- <a href=gone> --><p>One\xa0 two<br/>three<div>4 &amp; 5</div><noscript><img src=n.png></noscript>"
+        "<a class=x HREF = \"/q?a=1&amp;b=2\" href='other'>link</a> <a name=top>no link</a><form action='f>g'>x</form> 5 < 6 <é> <unclosed")
+    assert page.title == "A < B"
+    assert page.text == "A < B\nOne two\nthree\n4 & 5\nlink no link\ng'>x\n5 < 6 <é> <unclosed"
+    assert page.links == [
+        {"path": "SCRIPT@/src", "url": "s.js"}, {"path": "IMG@/src", "url": "n.png"},
+        {"path": "A@/href", "url": "/q?a=1&b=2"}, {"path": "FORM@/action", "url": "f>g"}]
+    assert warc.Page("").text == "" and warc.Page("<title>open").title is None
+    assert warc.Page("<script>never closed <b>x</b>").text == "never closed x"
+    assert warc.Page("a<!-- open > b").text == "a b"
+
+
+def test_a_further_column_may_not_be_named_like_a_records(spark):
+    pages = spark.createDataFrame([(1, "u", "x")], "page_id long, url string, html string")
+    records = warc.responses(pages, "page_id", "url", "html", "2024-01-01T00:00:00Z")
+    with pytest.raises(ValueError):
+        warc.derive(records, keep="block")
+    assert warc.derive(records.drop("headers")).count() == 2
+    assert warc.derive(records.withColumn("file", F.lit("x")), keep="file").select("file").distinct().count() == 1
