@@ -15,8 +15,10 @@ from lumberline.llm.words import Words, hashes
 WINDOW = 20
 #: Any window of 20 words holds a whole block of 10 that begins at a multiple of 10.
 BLOCK = (WINDOW + 1) // 2
-#: Documents are read in so many buckets for each shuffle partition.
+#: Documents are read in so many buckets for each shuffle partition, and in more where a bucket would hold more than so
+#: many bytes of text; so would a part of the index.
 BUCKETS_PER_PARTITION = 4
+BUCKET_BYTES, PART_BYTES = 16 << 20, 64 << 20
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _LOW = np.uint64(0xFFFFFFFF)
@@ -236,11 +238,13 @@ def drop_repeated_passages(
     are probes. What meets an indexed block elsewhere is answered to the buckets that asked, which
     extend it to windows of 20 words; of these the earliest place is looked for by two 64-bit hashes.
     Within a bucket a window is sent once, so one that stands in a third of all documents is sent
-    once by each bucket.
+    once by each bucket. There are so many buckets and parts that none is large, however few partitions Spark
+    shuffles by; only rows of one id and text share a bucket whatever their number.
     """
     spark = docs.sparkSession
-    parts = shuffle_partitions(spark)
-    buckets = BUCKETS_PER_PARTITION * parts
+    size = docs.agg(F.sum(F.octet_length(docs[text_col]))).first()[0] or 0
+    parts = max(shuffle_partitions(spark), -(-size // PART_BYTES))
+    buckets = max(BUCKETS_PER_PARTITION * shuffle_partitions(spark), -(-size // BUCKET_BYTES))
     order = F.coalesce(docs[id_col].cast("long"), F.lit(LARGEST_LONG))
     keyed = docs.withColumns({OWN + "order": order, OWN + "key": text_key(docs[text_col])}).withColumn(
         OWN + "bucket", F.pmod(F.xxhash64(OWN + "order", OWN + "key"), F.lit(buckets)).cast("int")
