@@ -7,14 +7,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from lumberline.llm.common import OWN, Stored, of
+from lumberline.llm.common import OWN, Stored, of, shuffle_partitions
 from lumberline.llm.components import components
 from lumberline.llm.words import Words, slices
 
 BITS = 64
 SEGMENTS = 2
+WIDTH = BITS // SEGMENTS
+#: A segment value that more fingerprints share is crowded.
+CROWD = 64
 SEED = 42
 #: Bytes of text worked on at once.
 SLICE = 1 << 20
@@ -80,21 +83,62 @@ def with_fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int
 def links(prints: DataFrame, max_distance: int = 2) -> DataFrame:
     """Edges (``a``, ``b``) that join just the fingerprints (``fp``, distinct) within the distance.
 
-    Each fingerprint puts itself into a table under its own value and under every value of the ball
-    of radius one in each segment, the other segment unchanged. Two that meet under a key differ
-    by two bits at most, and any two that differ by so much meet: in one segment where both bits
-    are there, and else where each has changed the other's bit. So no bucket holds a pair to
-    reject, and a bucket is kept as one long: which bits its members have changed. Its size is
-    bounded by the ball, whatever the size of a group of copies. Each edge from a bucket to its
-    first member is checked on the complete fingerprints.
+    Two fingerprints within the distance differ by at most half of it in one of their two segments. So there is a
+    table for each segment, by segment value, that has each fingerprint once; a fingerprint fetches what stands
+    under the values of the ball of that radius around its own segment, and complete distances are verified on
+    what is fetched. Of two values one bit apart only the one that has the bit asks for the other, which
+    halves the ball.
+
+    A segment value that more than ``CROWD`` fingerprints share would make all their pairs candidates. It has a mark
+    in the table instead, and those that share it or fetch its mark are joined by :func:`neighbours`, so
+    that no group of near copies, however large, makes pairs of all its members.
     """
     if max_distance not in (0, 1, 2):
         raise ValueError("max_distance must be 0, 1 or 2")
-    width = BITS // SEGMENTS
-    balls = [
-        F.shiftleft(F.lit(1).cast("long"), segment * width + bit)
-        for segment in range(SEGMENTS) for bit in range(width)
-    ]
+    none = prints.select(F.col("fp").alias("a"), F.col("fp").alias("b")).filter("false")
+    if max_distance == 0:
+        return none
+    # The fingerprints are few bytes and lie in few tasks, what they fetch is more.
+    own = prints.repartition(shuffle_partitions(prints.sparkSession), "fp")
+    radius = max_distance // SEGMENTS
+    flips = F.array(*[F.lit(f).cast("long") for f in [0, *(1 << bit for bit in range(WIDTH) if radius)]])
+
+    def entry(segment: int, value: Column) -> Column:
+        return F.struct(F.lit(segment).alias("segment"), value.alias("value"))
+
+    def ball(segment: int) -> Column:
+        value = _segment(segment)
+        asked = F.filter(flips, lambda flip: value.bitwiseAND(flip) == flip)
+        return F.transform(asked, lambda flip: entry(segment, value.bitwiseXOR(flip)))
+
+    entries = F.array(*[entry(k, _segment(k)) for k in range(SEGMENTS)])
+    table = own.select("fp", F.explode(entries).alias("at")).select("at.*", F.col("fp").alias("other"))
+    place = ["segment", "value"]
+    crowded = Stored(table.groupBy(*place).count().filter(F.col("count") > CROWD).select(*place), "simhash-crowded").rows
+    marked = table.join(crowded, place, "left_anti").unionByName(crowded, allowMissingColumns=True)
+    probes = own.select("fp", F.explode(F.concat(*[ball(k) for k in range(SEGMENTS)])).alias("at")).select("at.*", "fp")
+    distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("other")))
+    near = F.col("other").isNull() | ((F.col("fp") != F.col("other")) & (distance <= max_distance))
+    met = Stored(probes.join(marked, place).filter(near).select("fp", "other").distinct(), "simhash-met").rows
+    edges = met.filter("other IS NOT NULL").select(F.col("fp").alias("a"), F.col("other").alias("b"))
+    sharing = table.join(crowded, place, "left_semi").select(F.col("other").alias("fp"))
+    crowd = met.filter("other IS NULL").select("fp").unionByName(sharing).distinct()
+    return edges.unionByName(neighbours(crowd, max_distance))
+
+
+def _segment(number: int) -> Column:
+    return F.shiftrightunsigned("fp", number * WIDTH).bitwiseAND(F.lit((1 << WIDTH) - 1).cast("long"))
+
+
+def neighbours(prints: DataFrame, max_distance: int) -> DataFrame:
+    """The same edges, or others that join the same, of crowded fingerprints, by their neighbours' values.
+
+    Each fingerprint stands under its own value and under every value one bit away. Two that meet under a key
+    differ by two bits at most, and any two that differ by so much meet. So a key has 65 members at most, whatever
+    the size of a group, and is kept as one long: which bits its members have changed. Its first member
+    is joined to the others.
+    """
+    balls = [F.shiftleft(F.lit(1).cast("long"), bit) for bit in range(BITS)]
     flip = F.explode(F.array(F.lit(0).cast("long"), *balls)).alias("flip")
     probes = prints.select("fp", flip).select(F.expr("fp ^ flip").alias("key"), "flip")
     tables = probes.groupBy("key").agg(
@@ -103,8 +147,6 @@ def links(prints: DataFrame, max_distance: int = 2) -> DataFrame:
     met = F.bit_count("flips") + F.col("own").cast("int")
     if max_distance == 1:
         tables = tables.filter("own")
-    elif max_distance == 0:
-        tables = tables.filter("false")
     changed = F.transform(
         F.filter(F.array(*balls), lambda bit: F.col("flips").bitwiseAND(bit) != 0),
         lambda bit: F.col("key").bitwiseXOR(bit),

@@ -142,6 +142,24 @@ def test_substring_dedup(docs, empty):
     assert substring_dedup.drop_repeated_passages(empty).count() == 0
 
 
+def test_substring_dedup_in_many_buckets_of_one_partition(spark, docs, monkeypatch):
+    """Buckets and parts follow the bytes of the texts, not the number of shuffle partitions."""
+    monkeypatch.setattr(substring_dedup, "BUCKET_BYTES", 2000)
+    monkeypatch.setattr(substring_dedup, "PART_BYTES", 5000)
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "1")
+    try:
+        found = substring_dedup.drop_repeated_passages(docs.select("doc_id", "text")).collect()
+    finally:
+        spark.conf.set(setting, before)
+    expected = brute_repeats([(r.doc_id, r.text) for r in docs.collect()])
+    assert len(found) == docs.count()
+    for row in found:
+        got = row[OWN + "words"], row[OWN + "removed"], hashlib.sha256(row[OWN + "kept"].encode()).hexdigest()
+        assert got == expected[row.doc_id, row.text]
+
+
 def test_simhash(docs, empty):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
 
@@ -165,8 +183,10 @@ def test_simhash(docs, empty):
     assert {i for i in ids if i is not None} == {i for i, _, root in expected if i == root} and ids.count(None) == 2
 
 
-@pytest.mark.parametrize("distance", [0, 1, 2])
-def test_simhash_links_are_all_links(spark, distance):
+@pytest.mark.parametrize("distance, crowd", [(0, 64), (1, 64), (2, 64), (1, 1), (2, 1), (2, 5)])
+def test_simhash_links_are_all_links(spark, monkeypatch, distance, crowd):
+    """Also where most segment values are shared by more fingerprints than are compared with each other."""
+    monkeypatch.setattr(simhash, "CROWD", crowd)
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2**63, 40)
     values = {int(b) for b in base} | {0, -1, 1, 3, 7}
