@@ -35,19 +35,17 @@ NAMES = [
 ]
 
 #: Elements whose content is no text, those among them that hold no links either, and those that begin a line.
-HIDDEN = frozenset("script style noscript template".split())
-NO_LINKS = frozenset("script style".split())
+HIDDEN = frozenset(b"script style noscript template".split())
+NO_LINKS = frozenset(b"script style".split())
 BLOCKS = frozenset(
-    "address article aside blockquote br dd div dl dt footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre "
-    "section table td th title tr ul".split()
+    b"address article aside blockquote br dd div dl dt footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre "
+    b"section table td th title tr ul".split()
 )
-LINKING = frozenset("a link img script iframe area form".split())
+LINKING = frozenset(b"a link img script iframe area form".split())
 
-_LOWER = {c: c + 32 for c in range(0x41, 0x5B)}
-_NAME = re.compile(r"/?([a-z][a-z0-9]*)")
-_BLANKS = re.compile(r"[ \t\r\f\v\u00a0]+")
-_ATTRIBUTE = re.compile(r"\s(href|src|action)\s*=\s*([\"']?)")
-_BARE = re.compile(r"[^\s>\"']+")
+_TAG = re.compile(rb"<(?:(!--)|(/?)([a-z][a-z0-9]*)|[/!?])")
+_ATTRIBUTE = re.compile(rb"\s(href|src|action)\s*=\s*([\"']?)")
+_BARE = re.compile(rb"[^\s>\"']+")
 
 
 def digest(data: bytes) -> str:
@@ -68,50 +66,53 @@ class Page:
     """
 
     def __init__(self, page: str):
-        self.page, self.plain = page, page.translate(_LOWER)
-        self.missing: set[str] = set()
+        # As bytes, since these are put into lower case, letters beyond ASCII apart, at no cost.
+        self.data = data = page.encode("utf-8", "replace")
+        self.plain = plain = data.lower()
+        self.missing: set[bytes] = set()
         self.title: str | None = None
         self.links: list[dict[str, str]] = []
-        parts: list[str] = []
-        at = done = hidden = 0
-        no_links = 0
-        while (at := self._find("<", at)) >= 0:
-            if self.page.startswith("<!--", at):
-                end = self._find("-->", at + 4)
-                end = end + 3 if end >= 0 else self._after(">", at)
-            elif self.plain[at + 1 : at + 2] in _OPENS:
-                end = self._after(">", at)
-            else:
-                at += 1
-                continue
+        parts: list[bytes] = []
+        # Text is taken up to ``done``; before ``hidden`` it is no text, and before ``no_links`` there is nothing to see.
+        at = done = hidden = no_links = 0
+        while found := _TAG.search(plain, at):
+            begin = found.start()
+            comment, slash, name = found.groups()
+            end = -1
+            if comment:
+                close = self._find(b"-->", begin + 4)
+                end = close + 3 if close >= 0 else -1
             if end < 0:
-                break
-            if at >= hidden:
-                parts.append(self.page[max(done, hidden) : at])
-            named = _NAME.match(self.plain, at + 1, end)
-            name = named[1] if named else ""
-            opens = self.plain[at + 1] != "/"
-            if name in BLOCKS and at >= hidden:
-                parts.append("\n")
-            if opens and name in LINKING and at >= no_links:
-                self._link(name, at, end)
-            if opens and name == "title" and self.title is None and at >= hidden:
-                close = self._find("</title", end)
-                self.title = html.unescape(self.page[end:close]).strip() if close >= 0 else None
-            if opens and name in HIDDEN and at >= hidden:
-                close = self._closing(name, end)
-                if close >= 0:
-                    hidden = close
-                    no_links = close if name in NO_LINKS else no_links
-            at = done = end
-            if no_links > at:
-                at = done = no_links
-        parts.append(self.page[max(done, hidden) :])
-        text = "".join(parts)
-        text = _BLANKS.sub(" ", html.unescape(text) if "&" in text else text)
+                end = plain.find(b">", found.end()) + 1
+                if end == 0:
+                    break
+            if begin >= hidden:
+                parts.append(data[done:begin])
+                if name in BLOCKS:
+                    parts.append(b"\n")
+                if not slash and name in HIDDEN:
+                    close = self._find(b"</" + name, end)
+                    close = plain.find(b">", close) + 1 if close >= 0 else 0
+                    if close:
+                        hidden = close
+                        no_links = close if name in NO_LINKS else no_links
+                if name == b"title" and not slash and self.title is None:
+                    close = self._find(b"</title", end)
+                    self.title = _said(data[end:close]).strip() if close >= 0 else None
+            if not slash and name in LINKING:
+                self._link(name, begin, end)
+            at = max(end, no_links)
+            done = max(at, hidden)
+        if done < len(data):
+            parts.append(data[done:])
+        text = _said(b"".join(parts))
+        for blank in "\t\r\f\v\u00a0":
+            text = text.replace(blank, " ")
+        while "  " in text:
+            text = text.replace("  ", " ")
         self.text = "\n".join(line for line in (x.strip() for x in text.split("\n")) if line)
 
-    def _find(self, what: str, at: int) -> int:
+    def _find(self, what: bytes, at: int) -> int:
         if what in self.missing:
             return -1
         found = self.plain.find(what, at)
@@ -119,16 +120,7 @@ class Page:
             self.missing.add(what)
         return found
 
-    def _after(self, what: str, at: int) -> int:
-        found = self._find(what, at)
-        return found + len(what) if found >= 0 else -1
-
-    def _closing(self, name: str, at: int) -> int:
-        """Behind the end tag of an element; -1 if there is none."""
-        found = self._find(f"</{name}", at)
-        return self._after(">", found) if found >= 0 else -1
-
-    def _link(self, name: str, at: int, end: int) -> None:
+    def _link(self, name: bytes, at: int, end: int) -> None:
         """The first address that a tag has; a quoted one may hold a ">"."""
         found = _ATTRIBUTE.search(self.plain, at, end)
         if not found:
@@ -137,13 +129,16 @@ class Page:
         if quote:
             stop = self._find(quote, start)
         else:
-            bare = _BARE.match(self.page, start, end)
+            bare = _BARE.match(self.data, start, end)
             stop = bare.end() if bare else -1
         if stop >= 0:
-            self.links.append({"path": f"{name.upper()}@/{found[1]}", "url": html.unescape(self.page[start:stop])})
+            path = f"{name.upper().decode()}@/{found[1].decode()}"
+            self.links.append({"path": path, "url": _said(self.data[start:stop])})
 
 
-_OPENS = frozenset("abcdefghijklmnopqrstuvwxyz/!?")
+def _said(data: bytes) -> str:
+    text = data.decode("utf-8", "replace")
+    return html.unescape(text) if "&" in text else text
 
 
 def page_text(page: str) -> str:
