@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from lumberline.llm.common import LARGEST_LONG, OWN, Stored, shuffle_partitions, text_key
-from lumberline.llm.words import Words, hashes
+from lumberline.llm.words import Words, flat, hashes
 
 WINDOW = 20
 #: Any window of 20 words holds a whole block of 10 that begins at a multiple of 10.
@@ -20,6 +20,8 @@ BLOCK = (WINDOW + 1) // 2
 BUCKETS_PER_PARTITION = 4
 BUCKET_BYTES, PART_BYTES = 16 << 20, 64 << 20
 
+_BLANK = np.zeros(256, bool)
+_BLANK[[*range(0x09, 0x0E), 0x20]] = True
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _LOW = np.uint64(0xFFFFFFFF)
 
@@ -47,7 +49,8 @@ class Bucket:
         self.rank = np.lexsort((keys, ids))
         self.ids, self.keys = ids[self.rank], keys[self.rank]
         texts = table.column(OWN + "text").combine_chunks().cast(pa.large_string())
-        self.words = Words(texts.take(pa.array(self.rank)), lower=False)
+        self.texts = texts.take(pa.array(self.rank))
+        self.words = Words(self.texts, lower=False)
         codes, distinct = self.words.coded()
         self.hashes = hashes(distinct, xxhash.xxh64_intdigest)[codes]
         self.document = self.words.document()
@@ -188,7 +191,25 @@ def _earliest(key: tuple, table: pa.Table) -> pa.Table:
     return _answer(row[later], key[0].as_py(), table, both, "later")
 
 
-def _cut(schema: T.StructType, fields: list[str]):
+def _without(own: Bucket, covered: np.ndarray) -> pa.Array:
+    """The texts without the covered words and the white space before each of them; all else stays as it is."""
+    data, offsets = flat(pc.fill_null(own.texts, ""))
+    blank = _BLANK[data]
+    begins = ~blank
+    begins[1:] &= blank[:-1]
+    ends = offsets[1:-1]
+    ends = ends[ends < len(data)]
+    begins[ends] = ~blank[ends]
+    number = np.cumsum(begins)
+    kept = np.append(~covered, True)
+    last = np.repeat(own.words.first[1:], np.diff(offsets))
+    stays = np.where(blank, (number >= last) | kept[number], kept[number - 1])
+    moved = np.concatenate([[0], np.cumsum(stays)])[offsets]
+    return pa.LargeStringArray.from_buffers(
+        len(own.texts), pa.py_buffer(moved.astype(np.int64).tobytes()), pa.py_buffer(data[stays].tobytes()))
+
+
+def _cut(schema: T.StructType, fields: list[str], spaces: bool):
     def run(table: pa.Table, later: pa.Table) -> pa.Table:
         own = Bucket(table)
         n = len(own.hashes)
@@ -211,11 +232,14 @@ def _cut(schema: T.StructType, fields: list[str]):
         covered = np.cumsum(edge)[:n] > 0
         removed = np.concatenate([[0], np.cumsum(covered)])
         n_removed = (removed[own.words.first[1:]] - removed[own.words.first[:-1]]).astype(np.int64)
-        kept_words = own.words.values.filter(pa.array(~covered))
-        kept_first = own.words.first - removed[own.words.first]
-        offsets = pa.array(kept_first, pa.int32())
-        lists = pa.ListArray.from_arrays(offsets, kept_words.cast(pa.string()))
-        kept = pc.binary_join(lists, " ")
+        if spaces:
+            kept = _without(own, covered).cast(pa.string())
+        else:
+            kept_words = own.words.values.filter(pa.array(~covered))
+            kept_first = own.words.first - removed[own.words.first]
+            offsets = pa.array(kept_first, pa.int32())
+            lists = pa.ListArray.from_arrays(offsets, kept_words.cast(pa.string()))
+            kept = pc.binary_join(lists, " ")
         rows = table.select(fields).take(pa.array(own.rank))
         made = [pa.array(own.words.counts.astype(np.int64)), pa.array(n_removed), kept]
         return pa.Table.from_arrays([*[c.combine_chunks() for c in rows.columns], *made], names=schema.names)
@@ -224,10 +248,13 @@ def _cut(schema: T.StructType, fields: list[str]):
 
 
 def drop_repeated_passages(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spaces: bool = False
 ) -> DataFrame:
     """``docs`` with ``_llm_words, _llm_removed`` (long) and ``_llm_kept``: the words kept, joined by a space.
 
+    With ``spaces`` it is the text instead, from which only the words that go were cut, and the white space before each
+    of them.
+
     A word goes if a window of 20 words of its document that covers it also starts earlier: in a
     document of smaller id, or earlier in the same one. Windows are those of the input. Null texts have
     no words. A null id comes after all others. Rows that share an id are ordered by their texts' hash;
@@ -269,5 +296,5 @@ def drop_repeated_passages(
     ])
     whole = keyed.withColumn(OWN + "text", F.col(text_col))
     return whole.groupBy(OWN + "bucket").cogroup(later.rows.groupBy("bucket")).applyInArrow(
-        _cut(schema, docs.columns), schema
+        _cut(schema, docs.columns, spaces), schema
     )

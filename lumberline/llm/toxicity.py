@@ -13,17 +13,21 @@ from lumberline.llm.common import OWN, crc_mod, of
 from lumberline.llm.words import Words, flat, slices
 
 BUCKETS = 1 << 18
-GRAMS = (3, 4, 5)
+GRAMS = (3, 4, 5, 6)
 DIMENSIONS = 8
-#: The fit uses so many labelled rows of each class at most, of texts up to so many characters.
+#: The fit uses so many labelled rows of each class at most.
 SAMPLE_ROWS = 2500
-#: Of longer texts the sample has so many stretches spread over the whole text, together of so many characters at most.
-SAMPLE_CHARS, STRETCHES = 1 << 14, 8
-#: A text is judged by its strongest stretch of so many words.
-WINDOW = 4
-WHOLE_EPOCHS, WINDOW_EPOCHS, BATCH, RATE = 1, 8, 128, 0.05
+#: A text is judged by so many of its words, each once, the strongest ones wherever they stand.
+STRONGEST = 3
+EPOCHS, BATCH, RATE = 8, 128, 0.05
+#: The first epoch, when no word is stronger than another, takes so many words of each text, drawn by chance.
+DRAWN = 32
 #: Small samples are gone through more often, for so many steps at least.
-LEAST_STEPS = 400
+LEAST_STEPS = 150
+#: Parts that the sample is cut into to learn the scale of the scores on texts that a fit has not seen.
+FOLDS = 4
+#: How far the scale is drawn to that of the fit, and the steps of Newton's method for it.
+SCALE_RIDGE, SCALE_STEPS = 0.1, 50
 THRESHOLD = 0.7
 #: Bytes of text scored at once.
 SLICE = 1 << 20
@@ -34,6 +38,8 @@ class Model(NamedTuple):
 
     weights: np.ndarray
     bias: float
+    #: The log odds of label 1 among all texts, for a text without words.
+    prior: float
 
 
 def subwords(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -65,132 +71,192 @@ def subwords(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(owners), np.concatenate(buckets)
 
 
-def windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First word and size of each window, and the first window of each document (and the end).
-
-    Windows begin at every word from which ``WINDOW`` words follow; a shorter text is one window.
-    """
-    counts = np.diff(first)
-    n = np.where(counts > 0, np.maximum(counts - WINDOW + 1, 1), 0)
-    of_document = np.concatenate([[0], np.cumsum(n)])
-    owner = np.repeat(np.arange(len(counts)), n)
-    begin = first[:-1][owner] + (np.arange(len(owner)) - of_document[owner])
-    return begin, np.minimum(begin + WINDOW, first[1:][owner]) - begin, of_document
-
-
-def strongest(of_word: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The mean of the strongest window of each document, its first word and size; 0 without words.
-
-    A shorter window counts as filled up with words that say nothing.
-    """
-    begin, size, of_document = windows(first)
-    best, at, length = np.zeros(len(first) - 1), first[:-1].copy(), np.zeros(len(first) - 1, np.int64)
-    some = np.diff(of_document) > 0
-    if some.any():
-        means = np.zeros(len(begin))
-        for k in range(WINDOW):  # in the same order for every window, so that equal windows are equal
-            means += np.where(size > k, of_word[np.minimum(begin + k, len(of_word) - 1)], 0)
-        means /= WINDOW
-        best[some] = np.maximum.reduceat(means, of_document[:-1][some])
-        owner = np.repeat(np.arange(len(best)), np.diff(of_document))
-        top = np.flatnonzero(means == best[owner])[::-1]  # the first of equal ones is set last
-        at[owner[top]], length[owner[top]] = begin[top], size[top]
-    return best, at, length
+class Bags:
+    """The distinct words of some texts; text ``t`` has ``word[first[t]:first[t + 1]]``."""
+
+    def __init__(self, texts: pa.Array):
+        words = Words(texts, lower=True)
+        codes, distinct = words.coded()
+        self.texts, self.words = len(words.first) - 1, len(distinct)
+        pairs = np.unique(words.document() * np.int64(max(1, self.words)) + codes)
+        self.text, self.word = np.divmod(pairs, np.int64(max(1, self.words)))
+        self.first = np.searchsorted(self.text, np.arange(self.texts + 1))
+        owner, bucket = subwords(distinct)
+        order = np.argsort(owner, kind="stable")
+        self.owner, self.grams = owner[order], bucket[order]
+        #: Where the subwords of each word begin, and the end.
+        self.begin = np.searchsorted(self.owner, np.arange(self.words + 1))
+
+    def of_words(self, weights: np.ndarray) -> np.ndarray:
+        """The mean of each word's subwords."""
+        return np.bincount(self.owner, weights[self.grams], self.words) / np.maximum(np.diff(self.begin), 1)
+
+    def strongest(self, of_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The mean of the ``STRONGEST`` words of each text, and which they are (-1: it has fewer).
+
+        What is missing counts as words that say nothing.
+        """
+        value = of_word[self.word].astype(np.float64)
+        mean, chosen = np.zeros(self.texts), np.full((self.texts, STRONGEST), -1, np.int64)
+        some = np.flatnonzero(np.diff(self.first) > 0)
+        for k in range(STRONGEST):
+            best = np.full(self.texts, -np.inf)
+            if len(some):
+                best[some] = np.maximum.reduceat(value, self.first[some])
+            at = np.flatnonzero(value == best[self.text])[::-1]  # the first of equal ones is set last
+            pick = np.full(self.texts, -1, np.int64)
+            pick[self.text[at]] = at
+            have = np.flatnonzero(np.diff(self.first) > k)
+            chosen[have, k] = self.word[pick[have]]
+            mean[have] += best[have]
+            value[pick[have]] = -np.inf
+        return mean / STRONGEST, chosen
+
+    def odds(self, weights: np.ndarray, bias: float) -> np.ndarray:
+        return self.strongest(self.of_words(weights))[0] + bias
 
 
 def scores(model: Model, texts: pa.Array) -> np.ndarray:
     """The chance of label 1 for each whole text."""
-    words = Words(texts, lower=True)
-    codes, distinct = words.coded()
-    owner, bucket = subwords(distinct)
-    of_word = np.bincount(owner, model.weights[bucket], len(distinct))
-    of_word /= np.maximum(np.bincount(owner, minlength=len(distinct)), 1)
-    best, _, _ = strongest(of_word[codes], words.first)
-    return 1 / (1 + np.exp(-np.clip(best + model.bias, -500, 500)))
+    bags = Bags(texts)
+    odds = np.where(np.diff(bags.first) > 0, bags.odds(model.weights, model.bias), model.prior)
+    return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
 
 
 def fit(texts: pa.Array, toxic: np.ndarray, weight: np.ndarray, seed: int = 7) -> Model:
-    """Embeddings and softmax together, by Adam on the weighted log loss. Same input, same model.
+    """A model of some texts. Same input, same model.
 
-    The first epochs average over whole texts; then each epoch takes the window of each text that
-    the model so far finds strongest, so a few words weigh as much in a long text as in a short one.
+    The scale of its scores is learnt on texts that it has not seen: each part of the sample is scored by a fit to the
+    others, and a logistic curve over these scores gives the scale and the bias, since a fit finds the
+    texts it learnt from far surer than new ones.
+    """
+    bags, rows = Bags(texts), np.arange(len(toxic))
+    rng = np.random.default_rng(seed)
+    fold = np.zeros(len(toxic), np.int64)
+    for label in (0, 1):
+        own = np.flatnonzero(toxic == label)
+        fold[rng.permutation(own)] = np.arange(len(own)) % FOLDS
+    unseen = np.zeros(len(toxic))
+    for k in range(FOLDS):
+        others = rows[fold != k]
+        if len(set(toxic[others])) == 2:
+            unseen[fold == k] = bags.odds(*_trained(bags, others, toxic, weight, seed))[fold == k]
+    weights, bias = _trained(bags, rows, toxic, weight, seed)
+    scale, shift = _scale(unseen, toxic, weight)
+    share = np.bincount(toxic, weight, 2) + 0.5
+    return Model((weights * scale).astype(np.float32), bias * scale + shift, float(np.log(share[1] / share[0])))
+
+
+def _scale(odds: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Scale and shift of the logistic curve through the labels, by Newton's method."""
+    x = np.stack([odds, np.ones(len(odds))], 1)
+    found, ridge = np.array([1.0, 0.0]), np.diag([SCALE_RIDGE * max(odds.var(), 1e-6), 0.0])
+    for _ in range(SCALE_STEPS):
+        chance = 1 / (1 + np.exp(-np.clip(x @ found, -30, 30)))
+        slope = x.T @ ((chance - toxic) * weight) + ridge @ (found - [1.0, 0.0])
+        curve = (x * (weight * chance * (1 - chance) + 1e-9)[:, None]).T @ x + ridge + 1e-9 * np.eye(2)
+        step = np.clip(np.linalg.solve(curve, slope), -2, 2)
+        found = found - step
+        if np.abs(step).max() < 1e-8:
+            break
+    return max(float(found[0]), 1e-3), float(found[1])
+
+
+def _trained(
+    bags: Bags, rows: np.ndarray, toxic: np.ndarray, weight: np.ndarray, seed: int
+) -> tuple[np.ndarray, float]:
+    """Weights of the subwords and the bias: embeddings and softmax together, by Adam on the weighted log loss.
+
+    The first epoch averages over words drawn from a text; then each epoch takes those that the model so far
+    finds strongest, so a few words weigh as much in a long text as in a short one. Only embeddings
+    that a step reads are changed by it.
     """
     rng = np.random.default_rng(seed)
-    words = Words(texts, lower=True)
-    codes, distinct = words.coded()
-    owner, bucket = subwords(distinct)
-    order = np.argsort(owner, kind="stable")
-    grams, owner = bucket[order], owner[order]
-    del order, bucket
-    first = np.searchsorted(owner, np.arange(len(distinct) + 1))
-    table = rng.normal(0, 0.05, (BUCKETS, DIMENSIONS)).astype(np.float32)
-    top = rng.normal(0, 1, (DIMENSIONS, 2)).astype(np.float32)
-    bias = np.zeros(2, np.float32)
-    state = [(p, np.zeros_like(p), np.zeros_like(p)) for p in (table, top, bias)]
-    target = np.eye(2, dtype=np.float32)[toxic]
-    step = 0
-    batches = -(-len(toxic) // BATCH)
-    for epoch in range(max(WHOLE_EPOCHS + WINDOW_EPOCHS, -(-LEAST_STEPS // batches))):
-        at, size = words.first[:-1], words.counts
-        if epoch >= WHOLE_EPOCHS:
-            odds = (table @ (top[:, 1] - top[:, 0])).astype(np.float64)
-            sums = np.bincount(owner, odds[grams], len(distinct)) / np.maximum(np.diff(first), 1)
-            _, at, size = strongest(sums[codes], words.first)
-        for rows in np.array_split(rng.permutation(len(toxic)), batches):
-            document, gram, share = _bag(at[rows], size[rows], codes, grams, first)
-            vectors = np.stack(
-                [np.bincount(document, table[gram, d] * share, len(rows)) for d in range(DIMENSIONS)], 1
-            )
+    used, gram_of = np.unique(bags.grams, return_inverse=True)
+    table = rng.normal(0, 0.05, (len(used), DIMENSIONS))
+    top, bias = rng.normal(0, 1, (DIMENSIONS, 2)), np.zeros(2)
+    moments = [(p, np.zeros_like(p), np.zeros_like(p)) for p in (table, top, bias)]
+    target, seen = np.eye(2)[toxic], np.zeros(len(used), bool)
+    batches, step = -(-len(rows) // BATCH), 0
+    for epoch in range(max(EPOCHS, -(-LEAST_STEPS // batches))):
+        if epoch == 0:
+            chosen = _drawn(bags, rng)
+        else:
+            weights = np.zeros(BUCKETS)
+            weights[used] = table @ (top[:, 1] - top[:, 0])
+            _, chosen = bags.strongest(bags.of_words(weights))
+        for batch in np.array_split(rng.permutation(rows), batches):
+            text, gram, share = _bag(bags, batch, chosen, gram_of)
+            order = np.argsort(gram, kind="stable")
+            begin = np.flatnonzero(np.diff(gram[order], prepend=-1))
+            touched = gram[order[begin]]
+            seen[touched] = True
+            vectors = np.zeros((len(batch), DIMENSIONS))
+            of_text = np.flatnonzero(np.diff(text, prepend=-1))  # texts come in order
+            if len(text):
+                vectors[text[of_text]] = np.add.reduceat(table[gram] * share[:, None], of_text)
             logits = vectors @ top + bias
             chance = np.exp(logits - logits.max(1, keepdims=True))
             chance /= chance.sum(1, keepdims=True)
-            error = (chance - target[rows]) * weight[rows, None] / len(rows)
+            error = (chance - target[batch]) * weight[batch, None] / len(batch)
             back = error @ top.T
-            d_table = np.stack(
-                [np.bincount(gram, back[document, d] * share, BUCKETS) for d in range(DIMENSIONS)], 1
-            )
+            d_table = np.zeros((len(touched), DIMENSIONS))
+            if len(text):
+                d_table = np.add.reduceat(back[text[order]] * share[order, None], begin)
             step += 1
-            for (value, m, v), grad in zip(state, (d_table, vectors.T @ error, error.sum(0))):
-                m += 0.1 * (grad - m)
-                v += 0.001 * (grad**2 - v)
-                value -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    odds = top[:, 1] - top[:, 0]
-    weights = (table @ odds).astype(np.float32)
-    weights[np.bincount(grams, minlength=BUCKETS) == 0] = 0  # never seen, so still what they were drawn as
-    return Model(weights, float(bias[1] - bias[0]))
-
-
-def _bag(at, counts, codes, grams, first):
-    """Document, subword and share of each subword of some stretches; shares add up to one at most."""
-    document = np.repeat(np.arange(len(counts)), counts)
-    shift = np.repeat(at - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts)
-    word = codes[shift + np.arange(len(document))]
-    pair, times = np.unique(document * np.int64(len(first)) + word, return_counts=True)
-    document, word = np.divmod(pair, np.int64(len(first)))
-    size = first[word + 1] - first[word]
-    share = times / np.maximum(np.maximum(counts, WINDOW)[document] * size, 1)
-    start = np.concatenate([[0], np.cumsum(size)[:-1]])
-    gram = grams[np.repeat(first[word] - start, size) + np.arange(size.sum())]
-    return np.repeat(document, size), gram, np.repeat(share, size)
-
-
-def _bounded(text: Column) -> Column:
-    """A text, or where it is long its stretches; words cut at their edges are left out. Null is empty."""
-    length, size = F.length(text), SAMPLE_CHARS // STRETCHES
-    starts = [F.floor((length - size) * k / (STRETCHES - 1)).cast("int") + 1 for k in range(STRETCHES)]
-    parts = []
-    for k, start in enumerate(starts):
-        edges = "|".join([r"^\S*\s"] * (k > 0) + [r"\s\S*$"] * (k < STRETCHES - 1))
-        parts.append(F.regexp_replace(F.substring(text, start, F.lit(size - 1)), edges, ""))
-    return F.coalesce(F.when(length <= SAMPLE_CHARS, text).otherwise(F.concat_ws(" ", *parts)), F.lit(""))
+            for (value, m, v), grad, own in zip(
+                moments, (d_table, vectors.T @ error, error.sum(0)), (touched, slice(None), slice(None))
+            ):
+                m[own] += 0.1 * (grad - m[own])
+                v[own] += 0.001 * (grad**2 - v[own])
+                value[own] -= RATE * (m[own] / (1 - 0.9**step)) / (np.sqrt(v[own] / (1 - 0.999**step)) + 1e-8)
+    weights = np.zeros(BUCKETS)
+    weights[used[seen]] = (table @ (top[:, 1] - top[:, 0]))[seen]  # others are still what they were drawn as
+    return weights, float(bias[1] - bias[0])
+
+
+def _drawn(bags: Bags, rng: np.random.Generator) -> np.ndarray:
+    """``DRAWN`` words of each text, drawn with repetition; all -1 where it has none."""
+    counts = np.diff(bags.first)
+    at = bags.first[:-1, None] + (rng.random((bags.texts, DRAWN)) * counts[:, None]).astype(np.int64)
+    some = np.broadcast_to(counts[:, None] > 0, at.shape)
+    return np.where(some, bags.word[np.where(some, at, 0)] if len(bags.word) else -1, -1)
+
+
+def _bag(
+    bags: Bags, rows: np.ndarray, chosen: np.ndarray, gram_of: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, subword and share of each subword of the chosen words; shares add up to one at most."""
+    text, k = np.nonzero(chosen[rows] >= 0)
+    word = chosen[rows][text, k]
+    sizes = bags.begin[word + 1] - bags.begin[word]
+    owner, at = _ranges(bags.begin[word], sizes)
+    return text[owner], gram_of[at], 1 / (chosen.shape[1] * sizes[owner])
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers from each start on, one range after the other, and the range of each."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    before = np.cumsum(sizes) - sizes
+    return owner, starts[owner] + np.arange(len(owner)) - before[owner]
+
+
+def _distinct_words(text: Column) -> Column:
+    """A text's words in lower case, each once; null has none. All that the fit looks at, whatever the text's length."""
+    return F.array_join(F.array_distinct(F.split(F.coalesce(_lower(text), F.lit("")), r"[\x20\x09-\x0D]+")), " ")
+
+
+def _lower(text: Column) -> Column:
+    """A to Z alone."""
+    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """A model from labelled documents whose crc32(id) mod 3 is not 1.
 
     ``labels`` has the id and ``toxic``. Of each class at most ``SAMPLE_ROWS`` rows are used, drawn
-    by a hash of the id, and of a long text stretches spread over it, so the driver holds a bounded sample; classes weigh as in all labelled
-    rows. Rows whose label is null don't count; of several labels of one id the largest does.
+    by a hash of the id, whole texts as their distinct words, which are cut out in the tasks; classes weigh as in all
+    labelled rows. Rows whose label is null don't count; of several labels of one id the largest does.
     Without labelled rows of both classes the model is the prior.
     """
     known = (
@@ -207,13 +273,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     # Bounded by the limits above.
     sample = F.broadcast(drawn[0].unionByName(drawn[1]))
     texts = of(docs, id=id_col, text=text_col)
-    chosen = texts.join(sample, OWN + "id").withColumn(OWN + "text", _bounded(F.col(OWN + "text")))
+    chosen = texts.join(sample, OWN + "id").withColumn(OWN + "text", _distinct_words(F.col(OWN + "text")))
     rows = chosen.orderBy(OWN + "id", OWN + "text").toArrow()
     toxic = rows.column(OWN + "toxic").to_numpy().astype(np.int64)
     n = np.maximum(np.bincount(toxic, minlength=2), 1)
     if min(share.get(0, 0), share.get(1, 0)) == 0 or len(toxic) == 0 or len(set(toxic)) < 2:
         odds = np.log((share.get(1, 0) + 0.5) / (share.get(0, 0) + 0.5))
-        return Model(np.zeros(BUCKETS, np.float32), float(odds))
+        return Model(np.zeros(BUCKETS, np.float32), float(odds), float(odds))
     weight = np.array([share[0], share[1]]) / n
     weight = (weight * len(toxic) / (share[0] + share[1]))[toxic]
     return fit(pa.concat_arrays(rows.column(OWN + "text").chunks), toxic, weight)

@@ -142,6 +142,18 @@ def test_substring_dedup(docs, empty):
     assert substring_dedup.drop_repeated_passages(empty).count() == 0
 
 
+def test_cut_texts_keep_their_white_space(spark):
+    one, other = " ".join(f"p{k}" for k in range(25)), "\t".join(f"p{k}" for k in range(25))
+    rows = [
+        (1, f"first\n\n {one}\nend \n"), (2, f" a\n\tb  {other} \n c\n\nd "), (3, one), (4, None), (5, " \n "), (6, ""),
+        (7, f"{one}\n{one} é\n日本  x"), (8, "no\n repeats  here\t"),
+    ]
+    found = substring_dedup.drop_repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), spaces=True)
+    kept = {r.doc_id: r[OWN + "kept"] for r in found.collect()}
+    assert kept == {
+        1: rows[0][1], 2: " a\n\tb \n c\n\nd ", 3: "", 4: "", 5: " \n ", 6: "", 7: " é\n日本  x", 8: "no\n repeats  here\t"}
+
+
 def test_substring_dedup_in_many_buckets_of_one_partition(spark, docs, monkeypatch):
     """Buckets and parts follow the bytes of the texts, not the number of shuffle partitions."""
     monkeypatch.setattr(substring_dedup, "BUCKET_BYTES", 2000)
@@ -505,21 +517,21 @@ def test_toxicity_learns_from_long_texts(spark):
     model = toxicity.fit_toxicity(texts, labels)
     bad, good = toxicity.scores(model, pa.array([f"{sentence(30)} zorgle blatfen grumsk zorgle", sentence(40)]))
     assert bad > 0.7 > 0.5 > good
-    cut = texts.select(toxicity._bounded(F.col("text")).alias("t"), F.col("text").alias("whole")).collect()
-    for row in cut:
-        assert len(row.t) <= toxicity.SAMPLE_CHARS and set(row.t.split()) <= set(row.whole.split())
-        assert row.t.split()[0] == row.whole.split()[0] and row.t.split()[-1] == row.whole.split()[-1]
-    odd = spark.createDataFrame([("x" * 40000, 1), ("a b", 2), (None, 3)], "text string, k int").orderBy("k")
-    one, short, none = [r[0] for r in odd.select(toxicity._bounded(F.col("text"))).collect()]
-    assert len(one) <= toxicity.SAMPLE_CHARS and set(one) <= {"x", " "} and "x" in one and (short, none) == ("a b", "")
+    odd = spark.createDataFrame([("x " * 40000 + "Y", 1), ("a b a\tB \n", 2), (None, 3), (" ", 4)], "text string, k int").orderBy("k")
+    found = [r[0].split() for r in odd.select(toxicity._distinct_words(F.col("text"))).collect()]
+    assert found == [["x", "y"], ["a", "b"], [], []]
 
 
-def test_toxic_phrase_counts_the_same_wherever_it_stands():
-    phrase, rest = [3.0, 3.0, 3.0, 3.0], [-1.0] * 20
-    for shift in range(9):
-        value = np.array(rest[:shift] + phrase + rest[shift:])
-        best, at, size = toxicity.strongest(np.concatenate([value, [2.0, 1.0]]), np.array([0, 24, 24, 26]))
-        assert best.tolist() == [3.0, 0.0, 0.75] and at.tolist()[0] == shift and size.tolist() == [4, 0, 2]
+def test_strongest_words_count_the_same_wherever_they_stand():
+    texts = ["c b a", "a b c d", "a", "", "b b b b", None, "d c x"]
+    bags = toxicity.Bags(pa.array(texts))
+    worth = {"a": 6.0, "b": 3.0, "c": -1.0, "d": 0.5, "x": -3.0}
+    names = {w: k for k, w in enumerate(dict.fromkeys(" ".join(t or "" for t in texts).split()))}
+    of_word = np.array([worth[w] for w in names])
+    mean, chosen = bags.strongest(of_word)
+    assert mean.tolist() == [8 / 3, 9.5 / 3, 2.0, 0.0, 1.0, 0.0, -3.5 / 3]
+    assert chosen[1].tolist() == [names["a"], names["b"], names["d"]] and chosen[3].tolist() == [-1, -1, -1]
+    assert chosen[4].tolist() == [names["b"], -1, -1]
 
 
 def test_sentencepiece(docs, empty):
@@ -593,3 +605,77 @@ def test_pipeline(spark, docs, folder):
         assert table.columns == texts.columns and table.count() > 0
         assert table.filter("text IS NOT NULL AND n_chars <> length(text)").count() == 0 or name == "toxicity"
     assert corpus_pipeline.run(spark, sf).count() >= 10
+
+
+def brute_pipeline(rows, toxic):
+    """All stages but packing, on rows of (id, text, source) with ids of their own."""
+    rows = [r for r in rows if r[0] not in toxic]
+    sites = defaultdict(set)
+    for _, text, source in rows:
+        for line in (text or "").split("\n"):
+            if line.strip(" \t\r"):
+                sites[line.strip(" \t\r")].add(source)
+    shared = {line for line, found in sites.items() if len(found) >= line_dedup.MIN_SITES}
+    rows = [
+        (i, None if t is None else "\n".join(x for x in t.split("\n") if x.strip(" \t\r") not in shared), s) for i, t, s in rows]
+
+    def fingerprint(text):
+        words = (text or "").encode().lower().split()
+        shingles = [b" ".join(words[k : k + 3]) for k in range(max(1, len(words) - 2))] if words else []
+        hashed = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+        return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashed) > len(hashed))
+
+    prints = {r[0]: fingerprint(r[1]) for r in rows}
+    label = union([(a, b) for a in prints for b in prints if (prints[a] ^ prints[b]).bit_count() <= 2], prints)
+    rows = sorted(r for r in rows if label[r[0]] == r[0])
+    first, out = set(), {}
+    for i, text, _ in rows:
+        spans = [m.span() for m in __import__("re").finditer(r"[^\x20\x09-\x0D]+", text or "")]
+        words = [text[a:b] for a, b in spans]
+        gone = set()
+        for k in range(len(words) - 19):
+            window = tuple(words[k : k + 20])
+            if window in first:
+                gone.update(range(k, k + 20))
+            first.add(window)
+        at, kept = 0, ""
+        for k, (a, b) in enumerate(spans):
+            kept += "" if k in gone else text[at:b]
+            at = b
+        out[i] = None if text is None else kept + text[at:]
+    return out
+
+
+def test_pipeline_against_brute_force(spark, folder, monkeypatch):
+    """Every stage's decision takes effect on what the stage before it kept; then all of it is packed."""
+    sf = folder("sf")
+    passage = sentence(45)
+    rows = [(k, f"site line\n{sentence(60)}\n\n  {sentence(30)} \n", f"s{k % 12}") for k in range(40)]
+    rows += [(100 + k, f"{sentence(20)}\n{passage}\n\t{sentence(25)}", f"s{k}") for k in range(6)]
+    rows += [(200 + k, f"{rows[5][1]} " + ("x" if k else ""), "s1") for k in range(3)]
+    rows += [(300, None, "s1"), (301, "", None), (302, " \n", "s2"), (303, "site line", "s3"), (304, rows[0][1].replace(" ", "  "), "s3")]
+    bad = {7, 8, 100}
+    spark.createDataFrame([(i, t, "en", s, len(t or "")) for i, t, s in rows], DOCS).write.parquet(f"{sf}/documents.parquet")
+    spark.createDataFrame([(0, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
+    # The classifier is compared with labels elsewhere; here it is told what to say.
+    monkeypatch.setattr(
+        toxicity, "score_toxicity",
+        lambda docs, model: docs.withColumn(OWN + "score", F.col("doc_id").isin(*bad).cast("double")))
+    table = spark.read.parquet(f"{sf}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        table = stage(spark, table, sf)
+    expected = brute_pipeline(rows, bad)
+    assert {r.doc_id: r.text for r in table.collect()} == expected
+    assert len(expected) < len(rows) - len(bad)
+    tokenizer = Tokenizer.from_file(WORD_BPE)
+    packed = defaultdict(int)
+    for r in corpus_pipeline.run(spark, sf).collect():
+        packed[r.doc_id] += r.length
+    assert packed == {i: len(tokenizer.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in expected.items()}
+
+
+def test_pipeline_of_an_empty_table(spark, empty, folder):
+    sf = folder("sf")
+    empty.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{sf}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
+    assert corpus_pipeline.run(spark, sf).count() == 0
