@@ -1,4 +1,9 @@
-"""The corpus pipeline: toxic documents out, shared lines out, near copies out, repeats out, packing."""
+"""The corpus pipeline: toxic documents out, shared lines out, near copies out, repeats out, packing.
+
+Every stage takes any rows: a null text stays null until packing, where it is empty, like an empty one a document of one
+id; of rows that share an id and are near copies one stays; rows with a null id are never near copies; other columns come
+back as they are. An empty table passes all stages.
+"""
 
 from __future__ import annotations
 
@@ -37,8 +42,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated passages go from the texts; a text without any stays as it is, white space included."""
-    found = substring_dedup.drop_repeated_passages(docs)
+    """Repeated passages go from the texts; what stands around them stays as it is, white space included."""
+    found = substring_dedup.drop_repeated_passages(docs, spaces=True)
     text = F.when(F.col(OWN + "removed") > 0, F.col(OWN + "kept")).otherwise(F.col("text"))
     return _same_columns(docs, found.withColumn("text", text))
 
