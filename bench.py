@@ -18,7 +18,6 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import lumberline as ll
-from lumberline.schema import LINE_GRAMMAR
 from lumberline.scratch import scratch_path
 from lumberline.workload import QUERIES
 
@@ -27,6 +26,8 @@ CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 REPEATS = int(os.environ.get("BENCH_REPEATS", "2"))
 LINES = int(os.environ.get("BENCH_LINES", "2000000"))
 
+# Fixed value: the line grammar in Python's notation, whose classes are Unicode ones.
+LINE_GRAMMAR = r"(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}), (\w+): (.*?)(?:, \((\w+)\))?$"
 GRAMMAR = re.compile(LINE_GRAMMAR)
 
 

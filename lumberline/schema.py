@@ -38,8 +38,6 @@ TIMESTAMP_PATTERN = (
     rf"{DIGIT}{{4}}-{DIGIT}{{2}}-{DIGIT}{{2}} {DIGIT}{{2}}:{DIGIT}{{2}}:{DIGIT}{{2}}"
 )
 LINE_PATTERN = rf"^({TIMESTAMP_PATTERN}), ({WORD}+): (.*?)(?:, \(({WORD}+)\))?$"
-# The same in Python's notation, whose classes are Unicode ones.
-LINE_GRAMMAR = r"(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}), (\w+): (.*?)(?:, \((\w+)\))?$"
 ERROR_ID_PREFIX, ERROR_ID_FIRST = "E", 2001
 WARNING_ID_PREFIX, WARNING_ID_FIRST = "W", 1001
 IDS_PER_LEVEL = 10

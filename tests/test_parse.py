@@ -7,12 +7,11 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 import lumberline as ll
-from lumberline.schema import LINE_GRAMMAR
+from bench import GRAMMAR
 from lumberline.sources.raw import read_raw_logs
 
 TS = "2024-01-02 03:04:05"
 
-GRAMMAR = re.compile(LINE_GRAMMAR)
 NO_MATCH = (None, None, None, None)
 
 
