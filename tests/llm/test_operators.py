@@ -7,6 +7,7 @@ import math
 import random
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -393,26 +394,50 @@ def test_lm_scoring(spark, docs, empty):
     assert mixing_lm.score_documents(empty).count() == 0
 
 
+def lm_chances(model, steps):
+    """The chance of each bit under the start weights and refinement, written down anew."""
+    z = (model.start[:, steps.gate] * steps.x).sum(0)
+    z = z + model.refined[steps.gate, np.rint(np.clip(2 * z, -mixing_lm.HALF, mixing_lm.HALF)).astype(int) + mixing_lm.HALF]
+    return 1 / (1 + np.exp(-np.where(steps.bits == 1, z, -z).astype(np.float64)))
+
+
 def test_lm_chances_add_up_to_one():
-    """Over all bytes that may follow, the chances of a spelled byte sum to one, and so do those of coded symbols."""
-    counts = np.array([50, 20, 10, 5, 3, 1])
-    words = np.arange(10, 16, dtype=np.uint64)
+    """All symbols that may come next, the escape included, sum to one in any context, and so do all bytes that may follow."""
+    rng = np.random.default_rng(0)
+    words, counts = np.arange(10, 40, dtype=np.uint64), rng.integers(1, 60, 30)
     code, ways = mixing_lm.build_code(words, counts, 4)
-    grid = np.random.default_rng(0).integers(0, 20, (mixing_lm.FREQUENT + 1, 7))
-    pairs, rest = mixing_lm.first_context(code, ways, grid, 4.0)
-    empty_pairs = mixing_lm._pairs(np.zeros(1 << 20), np.zeros(1 << 20), 4.0)
-    model = mixing_lm.Model(code, [pairs, empty_pairs], rest, [empty_pairs] * 4, words, counts, True, 93, 6)
-    gram = np.array([(0x20 << 8 | 0x61 << 16 | 0x20 << 24 | 0x20 << 32) + b for b in range(256)], np.uint64)
-    slots, bits = mixing_lm._spelling_slots(gram)
-    assert len({tuple(b) for b in bits.tolist()}) == 256
-    tokens = mixing_lm.Tokens(pa.array(["a"]))
-    chances = []
-    for symbol in range(7):
-        z = mixing_lm.code_scores(model, tokens, np.array([symbol, symbol]))
-        first = mixing_lm.code_scores(model, tokens, np.array([symbol, 6])) if symbol != 6 else z
-        chances.append(first)
-    whole = [10 ** float(c[0]) for c in chances]
-    assert 0 < sum(whole) < 1
+    pairs, rest = mixing_lm.first_context(code, ways, rng.integers(0, 20, (mixing_lm.FREQUENT + 1, 31)), 4.0)
+
+    def table(doubt):
+        total = rng.integers(0, 30, 1 << mixing_lm.SLOT_BITS)
+        return mixing_lm._pairs(rng.integers(0, total + 1), total, doubt)
+
+    model = mixing_lm.Model(
+        code, [pairs, table(4.0), table(4.0)], rest, [table(8.0) for _ in mixing_lm.ORDERS], words, counts, True, 93, 6,
+        rng.normal(1, 0.4, (mixing_lm.INPUTS, mixing_lm.GATES)).astype(np.float32),
+        rng.normal(0, 0.3, (mixing_lm.GATES, mixing_lm.REFINED)).astype(np.float32))
+    tokens = mixing_lm.Tokens(pa.array(["b c b"]))
+    for before in ([], [3], [30, 3], [3, 7, 3]):
+        at = len(before)
+        sums = 0.0
+        for symbol in range(31):
+            symbols = np.array([*before, symbol, *[0] * (3 - at)])
+            turn = np.arange(4)
+            steps = mixing_lm.coded_steps(model, tokens, symbols, turn, False)
+            sums += lm_chances(model, steps)[steps.turn == at].prod()
+        assert sums == pytest.approx(1, abs=1e-5)
+    # A word of each single byte: the chances of its first eight bits.
+    every = SimpleNamespace(
+        code=np.arange(256), document=np.arange(256), distinct=pa.array([bytes([b]) for b in range(256)], pa.binary()))
+    steps = mixing_lm.spelled_steps(model, every, np.full(256, 30), np.zeros(256, np.int64), False)
+    first = lm_chances(model, steps).reshape(256, 2, 8)[:, 0].prod(1)
+    assert first.sum() == pytest.approx(1, abs=1e-5) and first.min() > 0
+    # The score of a text is the sum of these, as long as nothing was learnt on the way.
+    one = mixing_lm.Tokens(pa.array([""]))
+    for symbol in range(30):
+        steps = mixing_lm.coded_steps(model, one, np.array([symbol]), np.zeros(1, np.int64), False)
+        expected = np.log10(lm_chances(model, steps)).sum()
+        assert mixing_lm.code_scores(model, one, np.array([symbol]))[0] == pytest.approx(expected, abs=1e-4)
 
 
 def test_lm_mixes_every_bit_under_every_context():
@@ -480,6 +505,31 @@ def test_lm_own_sighting_is_left_out():
     assert np.allclose(found, mixing_lm._pairs(ones - bits, total - 1, 4.0), atol=1e-3)
 
 
+CLASHES = ("line", "site", "h", "h2", "text_key", "doc_key", "units", "deal", "rank", "own", "asks", "v", "id", "key", "row", "part")
+
+
+def test_columns_with_clashing_names(spark, docs):
+    """Columns named like the operators' own change nothing: the results are those of the plain columns."""
+    rows = docs.select("doc_id", "text", "source")
+    odd = rows.withColumns({c: F.lit("extra") for c in CLASHES})
+    for operator in (
+        line_dedup.drop_shared_lines, lambda d: packing.pack(d, WORD_BPE), mixing_lm.score_documents,
+        lambda d: sentencepiece_codec.encode(d, PIECE_MODEL), lambda d: simhash.simhash_components(d),
+    ):
+        plain, found = operator(rows), operator(odd)
+        keys = ["doc_id", "start", "length", "offset"] if "sequence_id" in plain.columns else plain.columns
+        keys = [c for c in keys if c != "offset"]
+        if "score" in plain.columns:
+            keys = ["doc_id", "n_tokens", "n_known"]
+        assert sorted(map(str, found.select(*keys).collect())) == sorted(map(str, plain.select(*keys).collect()))
+    vectors = spark.createDataFrame([(k, [float(k % 5), 1.0]) for k in range(60)], "vec_id long, embedding array<double>")
+    extra = vectors.withColumns({c: F.lit("extra") for c in CLASHES})
+    for operator in (
+        lambda t: topk.top_k(t, t["vec_id"] % 20 == 0), embedding_dedup.near_duplicates,
+    ):
+        assert sorted(map(str, operator(extra).collect())) == sorted(map(str, operator(vectors).collect()))
+
+
 def test_toxicity(spark, docs, empty):
     bad = ["zorgle", "blatfen", "grumsk"]
     rows, labels = [], []
