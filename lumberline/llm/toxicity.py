@@ -29,6 +29,8 @@ FOLDS = 4
 #: How far the scale is drawn to that of the fit, and the steps of Newton's method for it.
 SCALE_RIDGE, SCALE_STEPS = 0.1, 50
 THRESHOLD = 0.7
+#: Words whose subwords are made at once.
+CHUNK = 1 << 15
 #: Bytes of text scored at once.
 SLICE = 1 << 20
 
@@ -78,18 +80,29 @@ class Bags:
         words = Words(texts, lower=True)
         codes, distinct = words.coded()
         self.texts, self.words = len(words.first) - 1, len(distinct)
-        pairs = np.unique(words.document() * np.int64(max(1, self.words)) + codes)
-        self.text, self.word = np.divmod(pairs, np.int64(max(1, self.words)))
+        pairs = words.document() * np.int64(max(1, self.words))
+        pairs += codes
+        pairs = np.unique(pairs)
+        self.text, self.word = (x.astype(np.int32) for x in np.divmod(pairs, np.int64(max(1, self.words))))
+        del pairs, codes, words
         self.first = np.searchsorted(self.text, np.arange(self.texts + 1))
-        owner, bucket = subwords(distinct)
-        order = np.argsort(owner, kind="stable")
-        self.owner, self.grams = owner[order], bucket[order]
+        owners, grams = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+        for start in range(0, self.words, CHUNK):
+            owner, bucket = subwords(distinct.slice(start, CHUNK))
+            order = np.argsort(owner, kind="stable")
+            owners.append(owner[order] + np.int32(start))
+            grams.append(bucket[order])
+        self.grams = np.concatenate(grams)
         #: Where the subwords of each word begin, and the end.
-        self.begin = np.searchsorted(self.owner, np.arange(self.words + 1))
+        self.begin = np.searchsorted(np.concatenate(owners), np.arange(self.words + 1))
+        del owners, grams
 
     def of_words(self, weights: np.ndarray) -> np.ndarray:
-        """The mean of each word's subwords."""
-        return np.bincount(self.owner, weights[self.grams], self.words) / np.maximum(np.diff(self.begin), 1)
+        """The mean of each word's subwords; the shortest word has one."""
+        if not self.words:
+            return np.zeros(0)
+        sums = np.add.reduceat(weights.astype(np.float32)[self.grams], self.begin[:-1], dtype=np.float64)
+        return sums / np.diff(self.begin)
 
     def strongest(self, of_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The mean of the ``STRONGEST`` words of each text, and which they are (-1: it has fewer).
@@ -136,12 +149,17 @@ def fit(texts: pa.Array, toxic: np.ndarray, weight: np.ndarray, seed: int = 7) -
     for label in (0, 1):
         own = np.flatnonzero(toxic == label)
         fold[rng.permutation(own)] = np.arange(len(own)) % FOLDS
+    # Subwords are numbered among those that occur, by which embeddings are kept.
+    used = np.flatnonzero(np.bincount(bags.grams, minlength=BUCKETS))
+    place = np.zeros(BUCKETS, np.int32)
+    place[used] = np.arange(len(used), dtype=np.int32)
+    gram_of = place[bags.grams]
     unseen = np.zeros(len(toxic))
     for k in range(FOLDS):
         others = rows[fold != k]
         if len(set(toxic[others])) == 2:
-            unseen[fold == k] = bags.odds(*_trained(bags, others, toxic, weight, seed))[fold == k]
-    weights, bias = _trained(bags, rows, toxic, weight, seed)
+            unseen[fold == k] = bags.odds(*_trained(bags, used, gram_of, others, toxic, weight, seed))[fold == k]
+    weights, bias = _trained(bags, used, gram_of, rows, toxic, weight, seed)
     scale, shift = _scale(unseen, toxic, weight)
     share = np.bincount(toxic, weight, 2) + 0.5
     return Model((weights * scale).astype(np.float32), bias * scale + shift, float(np.log(share[1] / share[0])))
@@ -163,7 +181,7 @@ def _scale(odds: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[flo
 
 
 def _trained(
-    bags: Bags, rows: np.ndarray, toxic: np.ndarray, weight: np.ndarray, seed: int
+    bags: Bags, used: np.ndarray, gram_of: np.ndarray, rows: np.ndarray, toxic: np.ndarray, weight: np.ndarray, seed: int
 ) -> tuple[np.ndarray, float]:
     """Weights of the subwords and the bias: embeddings and softmax together, by Adam on the weighted log loss.
 
@@ -172,7 +190,6 @@ def _trained(
     that a step reads are changed by it.
     """
     rng = np.random.default_rng(seed)
-    used, gram_of = np.unique(bags.grams, return_inverse=True)
     table = rng.normal(0, 0.05, (len(used), DIMENSIONS))
     top, bias = rng.normal(0, 1, (DIMENSIONS, 2)), np.zeros(2)
     moments = [(p, np.zeros_like(p), np.zeros_like(p)) for p in (table, top, bias)]
