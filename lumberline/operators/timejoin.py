@@ -100,9 +100,9 @@ def as_of_join(
     asks = asking.filter(some).withColumn("bucket", _start(F.col("at"), of))
 
     place = [*names, "bucket"]
-    last = found.groupBy(*place).agg(F.max("known").alias("known"))
-    heads = last.withColumn("asks", F.lit(False)).unionByName(
-        asks.select(*place).distinct().withColumn("asks", F.lit(True)), allowMissingColumns=True
+    # One row per bucket and task leaves the tasks of either side.
+    heads = found.withColumn("asks", F.lit(False)).unionByName(
+        asks.select(*place).withColumn("asks", F.lit(True)), allowMissingColumns=True
     ).groupBy(*place).agg(F.max("known").alias("known"), F.max("asks").alias("asks"))
     before = Window.partitionBy(*names).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = heads.withColumn("known", F.max("known").over(before)).filter("asks AND known IS NOT NULL").drop("asks")
@@ -236,11 +236,14 @@ def _dealt(left: DataFrame, right: DataFrame, place: list[str]) -> tuple[DataFra
     every task to know.
     """
     counts = left.groupBy(*place).count()
-    most = F.greatest(F.lit(ROWS_PER_SHARE), F.ceil(F.lit(left.count()) / SHARES))
+    total, largest = counts.agg(F.sum("count"), F.max("count")).first()
+    most = max(ROWS_PER_SHARE, -(-(total or 0) // SHARES))
+    if (largest or 0) <= most:
+        return left.withColumn("share", F.lit(0)), right.withColumn("share", F.lit(0))
     hot = counts.filter(F.col("count") > most).select(*place, F.ceil(F.col("count") / most).cast("int").alias("shares"))
     hot = F.broadcast(hot)
     n = F.coalesce("shares", F.lit(1))
-    columns = [F.xxhash64(*left.columns)]
-    left = left.join(hot, place, "left").withColumn("share", F.pmod(columns[0], n).cast("int")).drop("shares")
+    dealt = F.pmod(F.xxhash64(*left.columns), n).cast("int")
+    left = left.join(hot, place, "left").withColumn("share", dealt).drop("shares")
     right = right.join(hot, place, "left").withColumn("share", F.explode(F.sequence(F.lit(0), n - 1))).drop("shares")
     return left, right
