@@ -86,22 +86,23 @@ class Bags:
         self.text, self.word = (x.astype(np.int32) for x in np.divmod(pairs, np.int64(max(1, self.words))))
         del pairs, codes, words
         self.first = np.searchsorted(self.text, np.arange(self.texts + 1))
-        owners, grams = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+        sizes, grams = [np.zeros(1, np.int64)], [np.zeros(0, np.int32)]
         for start in range(0, self.words, CHUNK):
             owner, bucket = subwords(distinct.slice(start, CHUNK))
             order = np.argsort(owner, kind="stable")
-            owners.append(owner[order] + np.int32(start))
+            sizes.append(np.bincount(owner, minlength=min(CHUNK, self.words - start)))
             grams.append(bucket[order])
         self.grams = np.concatenate(grams)
         #: Where the subwords of each word begin, and the end.
-        self.begin = np.searchsorted(np.concatenate(owners), np.arange(self.words + 1))
-        del owners, grams
+        self.begin = np.cumsum(np.concatenate(sizes))
 
     def of_words(self, weights: np.ndarray) -> np.ndarray:
         """The mean of each word's subwords; the shortest word has one."""
-        if not self.words:
-            return np.zeros(0)
-        sums = np.add.reduceat(weights.astype(np.float32)[self.grams], self.begin[:-1], dtype=np.float64)
+        weights, sums = weights.astype(np.float32), np.zeros(self.words)
+        for start in range(0, self.words, CHUNK):
+            begin = self.begin[start : start + CHUNK + 1]
+            own = weights[self.grams[begin[0] : begin[-1]]]
+            sums[start : start + CHUNK] = np.add.reduceat(own, begin[:-1] - begin[0], dtype=np.float64)
         return sums / np.diff(self.begin)
 
     def strongest(self, of_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -150,10 +151,14 @@ def fit(texts: pa.Array, toxic: np.ndarray, weight: np.ndarray, seed: int = 7) -
         own = np.flatnonzero(toxic == label)
         fold[rng.permutation(own)] = np.arange(len(own)) % FOLDS
     # Subwords are numbered among those that occur, by which embeddings are kept.
-    used = np.flatnonzero(np.bincount(bags.grams, minlength=BUCKETS))
-    place = np.zeros(BUCKETS, np.int32)
+    occurs, place, gram_of = np.zeros(BUCKETS, bool), np.zeros(BUCKETS, np.int32), np.empty_like(bags.grams)
+    parts = [slice(a, a + (CHUNK << 4)) for a in range(0, len(bags.grams), CHUNK << 4)]
+    for part in parts:
+        occurs[bags.grams[part]] = True
+    used = np.flatnonzero(occurs)
     place[used] = np.arange(len(used), dtype=np.int32)
-    gram_of = place[bags.grams]
+    for part in parts:
+        gram_of[part] = place[bags.grams[part]]
     unseen = np.zeros(len(toxic))
     for k in range(FOLDS):
         others = rows[fold != k]
