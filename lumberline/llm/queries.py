@@ -267,11 +267,75 @@ placed AS (
 SELECT doc_id, size, source_size, target, ((floor(place * rate + start) - floor((place - 1) * rate + start)) * size)::BIGINT AS taken
 FROM placed"""
 
-#: Repair by parsing, packing, trained models, 64-bit hashes of shingles and the tokenizer are beyond SQL.
+#: The cheapest edits row by row, by the initial that the output so far ends in; at most two turns are inserted between rows.
+_REPAIR = f"""
+WITH RECURSIVE {_CRC_TABLE},
+keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS word FROM conversations),
+faults AS (SELECT *, {_CRC} % 20 AS fault FROM keyed, crc_table),
+damaged AS (
+  SELECT conv_id, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE fault WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM faults WHERE fault <> 0),
+placed AS (
+  SELECT *, regexp_replace(text, '[\\x20\\x09-\\x0D]+$', '') AS ended, substr(role, 1, 1) AS initial,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+judged AS (
+  SELECT *, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+         CASE WHEN ended = '' THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+              WHEN ended[-1] NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'fine' END AS kind
+  FROM placed),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+         count_if(kind = 'blank')::BIGINT AS blank, count_if(kind = 'duplicate')::BIGINT AS duplicate,
+         count_if(kind = 'truncated')::BIGINT AS truncated,
+         count_if(i > 1 AND before || initial NOT IN ('su', 'ua', 'au'))::BIGINT AS illegal
+  FROM judged GROUP BY conv_id),
+inserted(p, q, more, edit, said) AS (
+  VALUES ('', '', 0, '', []::VARCHAR[]), ('', 'u', 5, 'I', ['user:']), ('', 'a', 10, 'II', ['user:', 'assistant:']),
+         ('s', 's', 0, '', []), ('s', 'u', 5, 'I', ['user:']), ('s', 'a', 10, 'II', ['user:', 'assistant:']),
+         ('u', 'u', 0, '', []), ('u', 'a', 5, 'I', ['assistant:']),
+         ('a', 'a', 0, '', []), ('a', 'u', 5, 'I', ['user:'])),
+best AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, '' AS state, 0::BIGINT AS cost, '' AS audit, []::VARCHAR[] AS said FROM judged
+  UNION ALL
+  SELECT conv_id, i, state, m.cost, m.audit, m.said FROM (
+    SELECT conv_id, i, way.state AS state,
+           min({{'cost': cost + way.cost, 'audit': audit || way.edit, 'said': list_concat(said, way.said)}}) AS m
+    FROM (
+      SELECT r.conv_id, r.i, b.cost + n.more AS cost, b.audit || n.edit AS audit, list_concat(b.said, n.said) AS said,
+             unnest([
+               {{'ok': true, 'state': n.q, 'cost': 2, 'edit': 'D', 'said': []::VARCHAR[]}},
+               {{'ok': stays AND r.initial <> '' AND contains(may, r.initial), 'state': r.initial, 'cost': cut, 'edit': 'K',
+                 'said': [r.role || ':' || r.text]}},
+               {{'ok': stays AND contains(may, 'u'), 'state': 'u', 'cost': 1 + cut, 'edit': 'R', 'said': ['user:' || r.text]}},
+               {{'ok': stays AND contains(may, 'a'), 'state': 'a', 'cost': 1 + cut, 'edit': 'R', 'said': ['assistant:' || r.text]}}
+             ]) AS way
+      FROM best b JOIN inserted n ON b.state = n.p
+      JOIN (SELECT *, kind IN ('fine', 'truncated') AS stays, CASE kind WHEN 'truncated' THEN 5 ELSE 0 END AS cut FROM judged) r
+        ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.i = b.i + 1
+      JOIN (VALUES ('', 'su'), ('s', 'u'), ('u', 'a'), ('a', 'u')) f(state, may) ON f.state = n.q)
+    WHERE way.ok GROUP BY conv_id, i, way.state)),
+ended AS (
+  SELECT b.conv_id, min({{'cost': cost + more, 'audit': audit || edit, 'said': list_concat(b.said, n.said)}}) AS m
+  FROM best b JOIN inserted n ON b.state = n.p
+  WHERE n.q IN ('', 'a') AND b.i = (SELECT max(i) FROM judged j WHERE j.conv_id IS NOT DISTINCT FROM b.conv_id)
+  GROUP BY b.conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(m.cost, 0)::BIGINT AS cost,
+       coalesce(m.audit, '') AS audit, sha256(coalesce(array_to_string(m.said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id"""
+
+#: Links and components, packing, trained models, 64-bit hashes of shingles and the tokenizer are beyond SQL.
 ORACLE: dict[str, str] = {
     "op1_line_dedup": _LINE_DEDUP,
     "op2_substring_dedup": _SUBSTRING_DEDUP,
     "op5_topk": _TOPK,
     "op11_importance": _IMPORTANCE,
+    "op12_conversation_repair": _REPAIR,
     "op13_source_mix": _SOURCE_MIX,
 }
