@@ -155,7 +155,7 @@ def interval_join(
     """All pairs of a row of ``points`` and one of ``intervals`` with ``start <= at < end`` and equal ``by``."""
     return _overlaps(
         _spans(points, by, at, None), _spans(intervals, by, *span), points.columns,
-        [c for c in intervals.columns if c not in by], len(by), width(bucket), prefix)
+        [c for c in intervals.columns if c not in by], len(by), width(bucket), prefix, (F.lit(1), None))
 
 
 def band_join(
@@ -170,9 +170,10 @@ def band_join(
     """All pairs of rows of equal ``by`` whose times are at most ``within`` apart."""
     around = _spans(right, by, right_on or on, None)
     around = around.withColumns({"start": F.col("start") - width(within), "end": F.col("end") + width(within)})
+    lengths = F.lit(1), 2 * width(within) + 1
     return _overlaps(
         _spans(left, by, on, None), around, left.columns, [c for c in right.columns if c not in by], len(by),
-        F.greatest(width(within), F.lit(1)), prefix)
+        F.greatest(width(within), F.lit(1)), prefix, lengths)
 
 
 def _spans(df: DataFrame, by: Sequence[str], start: str, end: str | None) -> DataFrame:
@@ -186,9 +187,10 @@ def _spans(df: DataFrame, by: Sequence[str], start: str, end: str | None) -> Dat
 
 
 def _overlaps(
-    left: DataFrame, right: DataFrame, columns: list[str], others: list[str], keys: int, of: Column, prefix: str
+    left: DataFrame, right: DataFrame, columns: list[str], others: list[str], keys: int, of: Column, prefix: str,
+    lengths: tuple[Column | None, Column | None] = (None, None),
 ) -> DataFrame:
-    """Pairs of overlapping spans.
+    """Pairs of overlapping spans. ``lengths`` says how long all spans of a side are, where they are alike.
 
     A span belongs to the lowest level whose buckets are no shorter than it, each level's buckets being 16 times as
     wide as those below. It stands in each bucket of its level that it touches (at most two), and as a visitor in those of the
@@ -198,7 +200,12 @@ def _overlaps(
     """
     left, right = (df.withColumn("level", _level(F.col("end") - F.col("start"), of)) for df in (left, right))
     # Levels are powers of 16 of a width, so there are at most 16 of them.
-    levels = [sorted(r["level"] for r in df.select("level").distinct().collect()) for df in (left, right)]
+    one = left.sparkSession.range(1)
+    levels = [
+        sorted(r["level"] for r in (
+            df.select("level").distinct() if length is None else one.select(_level(length, of).alias("level"))).collect())
+        for df, length in zip((left, right), lengths)
+    ]
     place = [f"key{k}" for k in range(keys)] + ["at_level", "bucket"]
     standing = _standing(left, of, levels[1], "l"), _standing(right, of, levels[0], "r")
     left_all, right_all = _dealt(*standing, place)
