@@ -96,10 +96,9 @@ def as_of_join(
         asking, found = (df.withColumn("at", -F.col("at")) for df in (asking, found))
     some = _all_known([*names, "at"])
     of = width(bucket)
-    found = found.filter(some).select(*names, _start(F.col("at"), of).alias("bucket"), known_of.alias("known"))
-    asks = asking.filter(some).withColumn("bucket", _start(F.col("at"), of))
-
     place = [*names, "bucket"]
+    found, asks = _finer(*[df.filter(some).withColumn("bucket", _start(F.col("at"), of)) for df in (found, asking)], place, of)
+    found = found.select(*place, known_of.alias("known"))
     # One row per bucket and task leaves the tasks of either side.
     heads = found.withColumn("asks", F.lit(False)).unionByName(
         asks.select(*place).withColumn("asks", F.lit(True)), allowMissingColumns=True
@@ -124,6 +123,33 @@ def as_of_join(
     return matched.select(*own, *[F.col(f"known.row.`{c}`").alias(prefix + c) for c in others])
 
 
+def _finer(left: DataFrame, right: DataFrame, place: list[str], of: Column) -> tuple[DataFrame, DataFrame]:
+    """Both sides with hot buckets cut into as many narrower ones as they have too many rows, by the rows of both."""
+    counts = left.select(*place).unionByName(right.select(*place)).groupBy(*place).count()
+    hot = _hot(counts, place)
+    if hot is None:
+        return left, right
+    narrow = F.greatest(F.lit(1), F.floor(of / F.coalesce("shares", F.lit(1)))).cast("long")
+    inside = F.col("at") - F.col("bucket")
+    start = F.when(F.col("shares").isNull(), F.col("bucket")).otherwise(F.col("at") - F.pmod(inside, narrow))
+    cut = [df.join(hot, place, "left").withColumn("bucket", start).drop("shares") for df in (left, right)]
+    return cut[0], cut[1]
+
+
+def _hot(counts: DataFrame, place: list[str]) -> DataFrame | None:
+    """The hot buckets among ``counts``, and into how many ``shares`` each is to be cut; None if there is none.
+
+    A hot bucket has more than a thousandth of the rows, so there are at most a thousand, few enough for
+    every task to know.
+    """
+    total, largest = counts.agg(F.sum("count"), F.max("count")).first()
+    most = max(ROWS_PER_SHARE, -(-(total or 0) // SHARES))
+    if (largest or 0) <= most:
+        return None
+    shares = F.ceil(F.col("count") / most).cast("int").alias("shares")
+    return F.broadcast(counts.filter(F.col("count") > most).select(*place, shares))
+
+
 def overlap_join(
     left: DataFrame,
     right: DataFrame,
@@ -237,18 +263,10 @@ def _standing(df: DataFrame, of: Column, others: list[int], side: str) -> DataFr
 
 
 def _dealt(left: DataFrame, right: DataFrame, place: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Both sides with ``share``: the left rows of a hot bucket are dealt to shares, the right ones go to each of them.
-
-    A hot bucket has more than a thousandth of the left rows, so there are at most a thousand, few enough for
-    every task to know.
-    """
-    counts = left.groupBy(*place).count()
-    total, largest = counts.agg(F.sum("count"), F.max("count")).first()
-    most = max(ROWS_PER_SHARE, -(-(total or 0) // SHARES))
-    if (largest or 0) <= most:
+    """Both sides with ``share``: the left rows of a hot bucket are dealt to shares, the right ones go to each of them."""
+    hot = _hot(left.groupBy(*place).count(), place)
+    if hot is None:
         return left.withColumn("share", F.lit(0)), right.withColumn("share", F.lit(0))
-    hot = counts.filter(F.col("count") > most).select(*place, F.ceil(F.col("count") / most).cast("int").alias("shares"))
-    hot = F.broadcast(hot)
     n = F.coalesce("shares", F.lit(1))
     dealt = F.pmod(F.xxhash64(*left.columns), n).cast("int")
     left = left.join(hot, place, "left").withColumn("share", dealt).drop("shares")

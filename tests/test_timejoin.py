@@ -72,6 +72,23 @@ def test_as_of_join_in_any_bucket(spark, bucket):
     assert rows(inner) == rows(found.filter("right_t IS NOT NULL"))
 
 
+@pytest.mark.parametrize("forward", [False, True])
+def test_as_of_join_cuts_hot_buckets(spark, monkeypatch, forward):
+    monkeypatch.setattr(timejoin, "ROWS_PER_SHARE", 4)
+    left, right = points(300), points(120)
+    frames = [spark.createDataFrame(r, "k int, t timestamp_ntz, v int") for r in (left, right)]
+    direction = "forward" if forward else "backward"
+    found = ll.as_of_join(*frames, "t", ["k"], bucket="1 day", direction=direction)
+    assert rows(found) == brute_as_of(left, right, forward, False, None)
+    place = ["key0", "bucket"]
+    sides = [timejoin._positioned(f, ["k"], ["key0"], at="t").filter("key0 = 0 AND at IS NOT NULL") for f in frames]
+    of = timejoin.width("1 day")
+    sides = [s.withColumn("bucket", timejoin._start(F.col("at"), of)) for s in sides]
+    cut = timejoin._finer(*sides, place, of)
+    before, after = (max(r["count"] for r in s.groupBy(*place).count().collect()) for s in (sides[0], cut[0]))
+    assert before > 30 and after <= 10 and cut[0].filter("bucket > at").count() == 0
+
+
 def test_as_of_join_without_keys_by_numbers_and_dates(spark):
     left = spark.createDataFrame([(5, "a"), (-3, "b"), (None, "c"), (100, "d")], "n long, x string")
     right = spark.createDataFrame([(-4, "p"), (5, "q"), (5, "r"), (7, None)], "m int, x string")
