@@ -440,6 +440,51 @@ def test_lm_chances_add_up_to_one():
         assert mixing_lm.code_scores(model, one, np.array([symbol]))[0] == pytest.approx(expected, abs=1e-4)
 
 
+def test_lm_mixing_bit_by_bit():
+    """Weights and refinement as a document goes on, one document, stretch and bit at a time."""
+    rng = np.random.default_rng(4)
+    words, counts = np.arange(10, 40, dtype=np.uint64), rng.integers(1, 60, 30)
+    code, ways = mixing_lm.build_code(words, counts, 4)
+    pairs, rest = mixing_lm.first_context(code, ways, rng.integers(0, 20, (mixing_lm.FREQUENT + 1, 31)), 4.0)
+
+    def table(doubt):
+        total = rng.integers(0, 30, 1 << mixing_lm.SLOT_BITS)
+        return mixing_lm._pairs(rng.integers(0, total + 1), total, doubt)
+
+    start = rng.normal(1, 0.3, (mixing_lm.INPUTS, mixing_lm.GATES)).astype(np.float32)
+    refined = rng.normal(0, 0.2, (mixing_lm.GATES, mixing_lm.REFINED)).astype(np.float32)
+    model = mixing_lm.Model(
+        code, [pairs, table(4.0), table(4.0)], rest, [table(8.0) for _ in mixing_lm.ORDERS], words, counts, True, 93, 6, start, refined)
+    texts = [sentence(150), "a", "", sentence(70), "b c b c b c b"]
+    tokens = mixing_lm.Tokens(pa.array(texts))
+    symbols = rng.integers(0, 31, len(tokens.code))
+    steps = mixing_lm.steps(model, tokens, symbols)
+    expected = []
+    for document in range(len(texts)):
+        weight, extra = start.astype(float).copy(), refined.astype(float).copy()
+        bent, varied = np.full_like(weight, 1 / mixing_lm.RATE), np.full_like(extra, 1 / mixing_lm.REFINED_RATE)
+        score = 0.0
+        for turn in sorted(set(steps.turn[steps.owner == document].tolist())):
+            change, off = np.zeros_like(weight), np.zeros_like(extra)
+            for i in np.flatnonzero((steps.owner == document) & (steps.turn == turn)):
+                x, g, sign = steps.x[:, i].astype(float), steps.gate[i], 1 if steps.bits[i] else -1
+                z = float(weight[:, g] @ x)
+                bucket = int(np.rint(np.clip(2 * z, -mixing_lm.HALF, mixing_lm.HALF))) + mixing_lm.HALF
+                chance = 1 / (1 + math.exp(-max(-18, min(18, z + extra[g, bucket])) * sign))
+                score += math.log10(chance)
+                error, variance = (1 - chance) * sign, chance * (1 - chance)
+                bent[:, g] += variance * np.abs(x).sum() * np.abs(x)
+                change[:, g] += error * x
+                varied[g, bucket] += variance
+                off[g, bucket] += error
+            weight = np.clip(weight + change / bent, -4, 4)
+            extra = np.clip(extra + off / varied, -1, 1)
+        expected.append(score)
+    found = mixing_lm.code_scores(model, tokens, symbols)
+    # Single precision puts a few bits into the next bucket.
+    assert found == pytest.approx(expected, rel=2e-3, abs=1e-3)
+
+
 def test_lm_mixes_every_bit_under_every_context():
     """What a word costs depends on the two before it down to its last bit, and nothing is left to a fixed table."""
     n = 1 << 10
