@@ -24,7 +24,7 @@ UNITS = CAPACITY // WIDTH
 GAP = 0.002
 MOST_ROUNDS = 4000
 #: Words whose ids a Python worker remembers; it then keeps those that it met again.
-REMEMBERED = 800_000
+REMEMBERED = 600_000
 #: Bytes of text worked on at once.
 SLICE = 8 << 20
 #: Words encoded at once, and what stands between them.
@@ -191,6 +191,9 @@ def pieces_of(docs: DataFrame, id_col: str, text_col: str, tokenizer: str) -> Da
                     part.column(0).take(pa.array(row)), part.column(2).take(pa.array(row)),
                     pa.array(start), pa.array(length), pa.array(crc, pa.int64()), pa.array(tokens[row]),
                 ], ["doc_id", "doc_key", "start", "length", "ids_crc32", "doc_tokens"])
+                # Other stages of the same workers need the room.
+                del ids, first
+                pa.default_memory_pool().release_unused()
 
     rows = of(docs, id=id_col, text=text_col).withColumn(OWN + "key", text_key(F.col(OWN + "text")))
     return rows.mapInArrow(run, PIECES.format(kind=rows.schema[OWN + "id"].dataType.simpleString()))

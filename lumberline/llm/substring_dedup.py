@@ -200,11 +200,14 @@ def _without(own: Bucket, covered: np.ndarray) -> pa.Array:
     ends = offsets[1:-1]
     ends = ends[ends < len(data)]
     begins[ends] = ~blank[ends]
-    number = np.cumsum(begins)
+    # White space belongs to the word after it, and at the end of a text to none.
+    number = np.cumsum(begins, dtype=np.int32)
+    del begins
     kept = np.append(~covered, True)
-    last = np.repeat(own.words.first[1:], np.diff(offsets))
-    stays = np.where(blank, (number >= last) | kept[number], kept[number - 1])
-    moved = np.concatenate([[0], np.cumsum(stays)])[offsets]
+    stays = kept[number - ~blank]
+    stays |= blank & (number >= np.repeat(own.words.first[1:].astype(np.int32), np.diff(offsets)))
+    del number
+    moved = np.concatenate([[0], np.cumsum(stays, dtype=np.int32)])[offsets]
     return pa.LargeStringArray.from_buffers(
         len(own.texts), pa.py_buffer(moved.astype(np.int64).tobytes()), pa.py_buffer(data[stays].tobytes()))
 
@@ -240,6 +243,7 @@ def _cut(schema: T.StructType, fields: list[str], spaces: bool):
             offsets = pa.array(kept_first, pa.int32())
             lists = pa.ListArray.from_arrays(offsets, kept_words.cast(pa.string()))
             kept = pc.binary_join(lists, " ")
+        pa.default_memory_pool().release_unused()
         rows = table.select(fields).take(pa.array(own.rank))
         made = [pa.array(own.words.counts.astype(np.int64)), pa.array(n_removed), kept]
         return pa.Table.from_arrays([*[c.combine_chunks() for c in rows.columns], *made], names=schema.names)
