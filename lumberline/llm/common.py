@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lumberline.scratch import scratch_path
@@ -64,6 +66,13 @@ def worker_cache(name: str, make: Callable[[], Any]) -> Any:
     return kept[name]
 
 
+def give_back() -> None:
+    """Memory that this Python worker no longer uses goes back to the system, since workers live on from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    # Other C libraries than glibc have no such function.
+    worker_cache("trim", lambda: getattr(ctypes.CDLL(None), "malloc_trim", lambda pad: 0))(0)
+
+
 def of(table: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, under the operator's own names, so that others cannot clash."""
     return table.select(*[table[c].alias(OWN + name) for name, c in columns.items()])

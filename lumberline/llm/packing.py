@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
-from lumberline.llm.common import OWN, Stored, of, shuffle_partitions, text_key, worker_cache
+from lumberline.llm.common import OWN, Stored, give_back, of, shuffle_partitions, text_key, worker_cache
 from lumberline.llm.words import Words, flat, slices, spread
 
 CAPACITY = 4096
@@ -193,7 +193,7 @@ def pieces_of(docs: DataFrame, id_col: str, text_col: str, tokenizer: str) -> Da
                 ], ["doc_id", "doc_key", "start", "length", "ids_crc32", "doc_tokens"])
                 # Other stages of the same workers need the room.
                 del ids, first
-                pa.default_memory_pool().release_unused()
+                give_back()
 
     rows = of(docs, id=id_col, text=text_col).withColumn(OWN + "key", text_key(F.col(OWN + "text")))
     return rows.mapInArrow(run, PIECES.format(kind=rows.schema[OWN + "id"].dataType.simpleString()))

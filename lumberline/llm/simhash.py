@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lumberline.llm.common import OWN, Stored, of, shuffle_partitions
+from lumberline.llm.common import OWN, Stored, give_back, of, shuffle_partitions
 from lumberline.llm.components import components
 from lumberline.llm.words import Words, slices
 
@@ -75,6 +75,7 @@ def with_fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int
                 part = batch.slice(start, stop - start)
                 found = fingerprints(part.column(1), shingle).view(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found)], [OWN + "id", OWN + "fp"])
+            give_back()
 
     rows = of(docs, id=id_col, text=text_col)
     return rows.mapInArrow(run, f"{OWN}id {rows.schema[OWN + 'id'].dataType.simpleString()}, {OWN}fp long")

@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from lumberline.llm.common import LARGEST_LONG, OWN, Stored, shuffle_partitions, text_key
+from lumberline.llm.common import LARGEST_LONG, OWN, Stored, give_back, shuffle_partitions, text_key
 from lumberline.llm.words import Words, flat, hashes
 
 WINDOW = 20
@@ -73,6 +73,7 @@ def _probe(buckets: int):
     """What a bucket asks and offers: its distinct block-long windows, and which of them are blocks."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
+        give_back()
         own = Bucket(table)
         at = own.windows(BLOCK)
         value = rolling(own.hashes, BLOCK, _A)[at]
@@ -146,6 +147,7 @@ def _extend(buckets: int):
     """Hits grow into candidate windows; of each, its first place in the bucket goes out."""
 
     def run(key: tuple, table: pa.Table, hits: pa.Table) -> pa.Table:
+        give_back()
         if not table.num_rows or not hits.num_rows:
             return _candidates(key[0].as_py(), buckets, *[np.zeros(0, t) for t in ("u8", "u8", "i8", "i8", "i8")])
         own = Bucket(table)
@@ -214,6 +216,7 @@ def _without(own: Bucket, covered: np.ndarray) -> pa.Array:
 
 def _cut(schema: T.StructType, fields: list[str], spaces: bool):
     def run(table: pa.Table, later: pa.Table) -> pa.Table:
+        give_back()
         own = Bucket(table)
         n = len(own.hashes)
         start = own.windows(WINDOW)
@@ -243,7 +246,6 @@ def _cut(schema: T.StructType, fields: list[str], spaces: bool):
             offsets = pa.array(kept_first, pa.int32())
             lists = pa.ListArray.from_arrays(offsets, kept_words.cast(pa.string()))
             kept = pc.binary_join(lists, " ")
-        pa.default_memory_pool().release_unused()
         rows = table.select(fields).take(pa.array(own.rank))
         made = [pa.array(own.words.counts.astype(np.int64)), pa.array(n_removed), kept]
         return pa.Table.from_arrays([*[c.combine_chunks() for c in rows.columns], *made], names=schema.names)

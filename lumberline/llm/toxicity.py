@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lumberline.llm.common import OWN, crc_mod, of
+from lumberline.llm.common import OWN, crc_mod, give_back, of
 from lumberline.llm.words import Words, flat, slices
 
 BUCKETS = 1 << 18
@@ -319,6 +319,7 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", score_
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(found)], [*part.schema.names, score_col]
                 )
+            give_back()
 
     schema = docs.schema
     return docs.mapInArrow(run, type(schema)([*schema.fields]).add(score_col, "double"))
