@@ -550,6 +550,49 @@ def test_lm_own_sighting_is_left_out():
     assert np.allclose(found, mixing_lm._pairs(ones - bits, total - 1, 4.0), atol=1e-3)
 
 
+def test_lm_left_out_of_both_bits():
+    """The tables to learn from hold what is worked out bit by bit without them."""
+    rng = np.random.default_rng(6)
+    total = rng.integers(0, 40, 1 << mixing_lm.SLOT_BITS)
+    seen = mixing_lm._pairs(rng.integers(0, total + 1), total, 4.0)
+    slots, bits = rng.integers(0, len(seen), 5000), rng.integers(0, 2, 5000).astype(np.uint8)
+    assert np.array_equal(mixing_lm._left_out(seen, 4.0)[2 * slots + bits], mixing_lm._without(seen[slots], bits, 4.0))
+
+
+def test_lm_spelled_words_are_learnt_from_once(spark):
+    """A word without a code is learnt from by its distinct bytes and how often they come, as if each came alone."""
+    times = {"abc": 30, "abd": 2, "the": 50, "añb": 1, "abcdefg": 4}
+    the = np.array([xxhash.xxh64_intdigest(w, mixing_lm.SEED) for w in (b"the", mixing_lm.END_WORD)], np.uint64)
+    code, ways = mixing_lm.build_code(the, np.array([50, 9]), 37)
+    counts = spark.createDataFrame(
+        [(w.encode(), n) for w, n in times.items()] + [(mixing_lm.END_WORD, 9)], "word binary, n long"
+    ).withColumn("h", F.xxhash64("word"))
+    found = {r.gram: r.n for r in mixing_lm.spelled_grams(counts, code).collect()}
+    expected = Counter()
+    for word, n in times.items():
+        data = b"    " + word.encode() + b" "
+        for at in range(5, len(data) + 1) if word != "the" else ():
+            expected[int.from_bytes(data[at - 5 : at], "big")] += n
+    assert found == expected and max(found.values()) > 30
+    # Each distinct byte with its count adds as much as all sightings one by one.
+    rng = np.random.default_rng(7)
+    total = rng.integers(0, 60, 1 << mixing_lm.SLOT_BITS)
+    spelling = [mixing_lm._pairs(rng.integers(0, total + 1), total, 8.0) for _ in mixing_lm.ORDERS]
+    model = mixing_lm.Model(code, [], ways[0], spelling, the, np.array([50, 9]), True, 96, 6)
+    start = rng.normal(1, 0.3, (mixing_lm.INPUTS, mixing_lm.GATES)).astype(np.float32)
+
+    def sums(grams, n, refine):
+        x, bits, gate = mixing_lm.gram_bits(model, np.array(grams, np.uint64), True)
+        x = np.concatenate([x, np.zeros((1, *bits.shape), np.float32)]).reshape(mixing_lm.INPUTS, -1)
+        times = None if n is None else np.repeat(n, 8)
+        return mixing_lm.slopes(start, x, bits.reshape(-1), gate.reshape(-1), refine, times)
+
+    for refine in (False, True):
+        once = sums(list(found), np.array(list(found.values())), refine)
+        alone = sums([g for g, n in found.items() for _ in range(n)], None, refine)
+        assert all(np.allclose(a, b) and a.any() for a, b in zip(once, alone))
+
+
 CLASHES = ("line", "site", "h", "h2", "text_key", "doc_key", "units", "deal", "rank", "own", "asks", "v", "id", "key", "row", "part")
 
 
