@@ -120,7 +120,8 @@ def links(prints: DataFrame, max_distance: int = 2) -> DataFrame:
     probes = own.select("fp", F.explode(F.concat(*[ball(k) for k in range(SEGMENTS)])).alias("at")).select("at.*", "fp")
     distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("other")))
     near = F.col("other").isNull() | ((F.col("fp") != F.col("other")) & (distance <= max_distance))
-    met = Stored(probes.join(marked, place).filter(near).select("fp", "other").distinct(), "simhash-met").rows
+    # Spark sizes both sides as before their explodes and would broadcast one, which grows with the fingerprints.
+    met = Stored(probes.hint("merge").join(marked, place).filter(near).select("fp", "other").distinct(), "simhash-met").rows
     edges = met.filter("other IS NOT NULL").select(F.col("fp").alias("a"), F.col("other").alias("b"))
     sharing = table.join(crowded, place, "left_semi").select(F.col("other").alias("fp"))
     crowd = met.filter("other IS NULL").select("fp").unionByName(sharing).distinct()

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 from types import SimpleNamespace
@@ -218,6 +219,24 @@ def test_simhash_links_are_all_links(spark, monkeypatch, distance, crowd):
         simhash.links(spark.createDataFrame([], "fp long"), 3)
 
 
+def test_simhash_probes_are_never_broadcast(spark, monkeypatch):
+    """Their number is many times that of the fingerprints, by which Spark sizes them."""
+    plans = {}
+
+    class Seen(simhash.Stored):
+        def __init__(self, df, label, *more):
+            super().__init__(df, label, *more)
+            # What ran, as the same frame runs it again.
+            df.count()
+            plans[label] = df._jdf.queryExecution().executedPlan().toString()
+
+    monkeypatch.setattr(simhash, "Stored", Seen)
+    prints = spark.range(3000).select(F.xxhash64("id").alias("fp"))
+    simhash.links(prints.unionByName(prints.select(F.expr("fp ^ 1").alias("fp"))), 2)
+    joins = re.findall(r"(\w+Join)[^\n]*\[segment[^\n]*, Inner", plans["simhash-met"])
+    assert joins and set(joins) == {"SortMergeJoin"}
+
+
 def vectors(spark):
     rng = np.random.default_rng(5)
     centres = rng.normal(size=(30, 16))
